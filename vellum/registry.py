@@ -1,0 +1,4 @@
+"""All queries by name, with the SQL that checks them."""
+
+QUERIES: dict = {}
+ORACLE_SQL: dict[str, str] = {}
