@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from .simhash import op6_simhash
 from .suffix_dedup import op2_suffix_dedup
 
 QUERIES = {
+    "op6_simhash": op6_simhash,
     "op2_suffix_dedup": op2_suffix_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
