@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from .langid import op1_language_id
+from .quality import op10_quality
 from .simhash import op6_simhash
 from .suffix_dedup import op2_suffix_dedup
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op6_simhash": op6_simhash,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op10_quality": op10_quality,
 }
 ORACLE_SQL: dict[str, str] = {}
