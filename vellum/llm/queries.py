@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import op7_decontaminate
 from .langid import op1_language_id
 from .quality import op10_quality
 from .simhash import op6_simhash
@@ -11,6 +12,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op6_simhash": op6_simhash,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op7_decontaminate": op7_decontaminate,
     "op10_quality": op10_quality,
 }
 ORACLE_SQL: dict[str, str] = {}
