@@ -163,6 +163,12 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return source.mapInArrow(predict, schema)
 
 
+def keep_identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of df whose language is predicted and not rejected, by a model learnt from df itself."""
+    model = fit(df, F.lit(True), id_col, text_col, lang_col)
+    return identify(df, model, id_col, text_col, row=F.struct(*[F.col(f"`{c}`") for c in df.columns])).where("not rejected").select("row.*")
+
+
 def remainder(id_col: str, parts: int) -> Column:
     """crc32 of the id as text, modulo parts; null for a null id."""
     return F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % parts

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontaminate import op7_decontaminate
 from .langid import op1_language_id
+from .pieces import op5_pieces
 from .quality import op10_quality
 from .simhash import op6_simhash
 from .suffix_dedup import op2_suffix_dedup
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op6_simhash": op6_simhash,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op5_pieces": op5_pieces,
     "op7_decontaminate": op7_decontaminate,
     "op10_quality": op10_quality,
 }

@@ -254,5 +254,18 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return prints.select("id", _hex(names).alias("fingerprint")).join(every, "fingerprint").select("id", "fingerprint", "component_id")
 
 
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, radius: int = 48, words: int = 4) -> DataFrame:
+    """The rows of df without near copies: of each group the row with the smallest id stays, and of repeated rows
+    one. By default 256-bit fingerprints over 5-word shingles: texts with a Jaccard similarity of 0.8 differ in
+    39 bits on average (standard deviation 6), unrelated ones in 128. Null ids count as the smallest."""
+    digest = F.xxhash64(F.col(f"`{id_col}`").isNull(), F.col(f"`{text_col}`").cast("string"))
+    key = {"k1": F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), "k2": digest}
+    keyed = df.select(F.struct(F.col(f"`{id_col}`").alias("id"), *[v.alias(k) for k, v in key.items()]).alias("id"), F.col(f"`{text_col}`").alias("text"))
+    found = near_duplicates(keyed, "id", "text", size, radius, words)
+    kept = found.where("id = component_id").select("id.k1", "id.k2").distinct()
+    once = df.select(*[v.alias(k) for k, v in key.items()], F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")).groupBy("k1", "k2").agg(F.first("row").alias("row"))
+    return once.join(kept, ["k1", "k2"], "left_semi").select("row.*")
+
+
 def op6_simhash(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(C.table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
