@@ -8,13 +8,25 @@ from .pieces import op5_pieces
 from .quality import op10_quality
 from .simhash import op6_simhash
 from .suffix_dedup import op2_suffix_dedup
+from .warc import op4_warc
 
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op6_simhash": op6_simhash,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op4_warc": op4_warc,
     "op5_pieces": op5_pieces,
     "op7_decontaminate": op7_decontaminate,
     "op10_quality": op10_quality,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op4_warc": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, upper(sha1(coalesce(html, ''))) AS h,
+                          max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)
+        SELECT page_id, n AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   (1 + ((('0x' || substr(h, (1 + 5 * (i // 4))::INT, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31))::INT, 1)), '') AS payload_digest,
+               CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id < last THEN last END AS refers_to
+        FROM p""",
+}
