@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontaminate import op7_decontaminate
+from .knn import op3_voronoi_knn
 from .langid import op1_language_id
 from .pieces import op5_pieces
 from .quality import op10_quality
@@ -14,12 +15,21 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op6_simhash": op6_simhash,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_voronoi_knn": op3_voronoi_knn,
     "op4_warc": op4_warc,
     "op5_pieces": op5_pieces,
     "op7_decontaminate": op7_decontaminate,
     "op10_quality": op10_quality,
 }
 ORACLE_SQL = {
+    "op3_voronoi_knn": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+             s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+                   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+        SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
     "op4_warc": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, upper(sha1(coalesce(html, ''))) AS h,
                           max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)
