@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .chat import op8_chat
 from .decontaminate import op7_decontaminate
 from .knn import op3_voronoi_knn
 from .langid import op1_language_id
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op5_pieces": op5_pieces,
     "op7_decontaminate": op7_decontaminate,
+    "op8_chat": op8_chat,
     "op10_quality": op10_quality,
 }
 ORACLE_SQL = {
@@ -39,4 +41,14 @@ ORACLE_SQL = {
                CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN page_id < last THEN last END AS refers_to
         FROM p""",
+    "op8_chat": r"""
+        WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+                   UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(24 + length(role) + length(text) + len(regexp_extract_all(text, '<\\*[|]')))::BIGINT AS formatted_chars
+        FROM c GROUP BY conv_id""",
 }
