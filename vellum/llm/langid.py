@@ -85,14 +85,16 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 3000, epochs: int = 5, rate: float = 0.5) -> Model:
     """Learns from the rows of df where learn holds, at most max_rows of them."""
     order = F.xxhash64(F.col(f"`{id_col}`").cast("string"))
-    rows = _prepared(df, text_col, lang=F.col(f"`{lang_col}`").cast("string"), order=order, learn=learn).where("learn and lang is not null and has_letter")
-    found = rows.orderBy("order", "lang").limit(max_rows).select("lang", "text").mapInArrow(_features, "lang string, buckets array<int>, shares array<float>").toArrow()
+    able = df.where(learn & F.col(f"`{lang_col}`").isNotNull())
+    last = able.select(order.alias("order")).orderBy("order").limit(max_rows).agg(F.max("order")).first()[0]  # ids alone are sorted, not texts
+    rows = _prepared(able.where(order <= F.lit(last)), text_col, lang=F.col(f"`{lang_col}`").cast("string")).where("has_letter")
+    found = rows.select("lang", "text").mapInArrow(_features, "lang string, buckets array<int>, shares array<float>").toArrow()
     langs = found.column("lang").to_pylist()
     names = tuple(sorted(set(langs)))
     if not names:
         return Model((), np.zeros((1 << BITS, 0), np.float32), np.zeros(0), 0.5)
     y = np.array([names.index(x) for x in langs])
-    flat = [(np.array(b, np.int64), np.array(s, np.float32)) for b, s in zip(found.column("buckets").to_pylist(), found.column("shares").to_pylist(), strict=True)]
+    flat = C.list_rows(found, "buckets", "shares")
     rng = np.random.default_rng(7)
     order_ = rng.permutation(len(y))
     aside, train = (order_[: len(y) // 5], order_[len(y) // 5 :]) if len(y) >= 20 else (order_, order_)
@@ -111,7 +113,7 @@ def fit(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "t
             bias -= step * 0.1 * p
             emb[idx] -= step * 20 * share[:, None] * back
     scores = (emb @ weights).astype(np.float64)
-    logits = np.array([(scores[b] * s[:, None]).sum(axis=0) for b, s in (flat[i] for i in aside)]) + bias
+    logits = np.array([(scores[b] * s[:, None]).sum(axis=0) for b, s in (flat[i] for i in aside)]).reshape(len(aside), len(names)) + bias
     heats = np.geomspace(0.25, 8, 41)
     loss = [-np.log(np.maximum(_softmax(logits / t)[np.arange(len(aside)), y[aside]], 1e-12)).mean() for t in heats]
     heat = heats[int(np.argmin(loss))]

@@ -98,7 +98,7 @@ def fit(df: DataFrame, labels: DataFrame, learn: Column, label_col: str, id_col:
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     zb = nb = bias = 0.0
     y = found.column("label").to_pylist()
-    rows = [(np.array(b, np.int64), np.array(v)) for b, v in zip(found.column("buckets").to_pylist(), found.column("values").to_pylist(), strict=True)]
+    rows = C.list_rows(found, "buckets", "values")
     order = sorted(range(len(y)), key=lambda i: (len(rows[i][0]), float(rows[i][0].sum()), y[i]))  # Spark's order of rows may change
     rng = np.random.default_rng(11)
 
