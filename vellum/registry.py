@@ -1,4 +1,248 @@
-"""All queries by name, with the SQL that checks them."""
+"""All queries by name, with the SQL that checks them.
+
+Raw documents hold almost nothing that cleaning or the gate act on, so most queries run over decorated documents: the same
+SQL expression, in both engines, puts covers, tables of contents, page numbers, hyphens, quotes, notes and faults into every text.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from vellum.config import ENGINE_VERSION, Config
+from vellum.functions import text as t
+from vellum.operators import catalog as cat
+from vellum.operators import chunk, clean, dispatch, eligibility, frontmatter, gate, lines, pdf, quality, segment
+from vellum.oracles import DECORATED
+from vellum.oracles import ORACLE_SQL as ORACLE_SQL
+from vellum.plans import pipeline
+from vellum.sources.html import extract_html
+
+CONFIG = Config(min_size=200)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+
+
+def decorated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir).select("doc_id", F.expr(DECORATED).alias("text"))
+
+
+def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decorated texts as they are, so that faults meet the gate."""
+    edition = F.when(F.col("doc_id") % 19 == 0, "").otherwise("first")
+    return decorated(spark, sf_dir).select("doc_id", F.col("text").alias("body"), F.lit("txt").alias("source_format"), edition.alias("source_edition"), F.lit(None).cast("string").alias("translation_layer"))
+
+
+def _lines(spark, d) -> DataFrame:
+    return lines.explode_lines(decorated(spark, d))
+
+
+def _front(spark, d) -> DataFrame:
+    solid = _lines(spark, d).where(~t.is_blank(F.col("line")))
+    idx = F.row_number().over(Window.partitionBy("doc_id").orderBy("line_no")) - 1
+    return solid.select("doc_id", idx.alias("idx"), t.trim(F.col("line")).alias("text"))
+
+
+def _structure(spark, d) -> DataFrame:
+    return segment.segment(bodies(spark, d))
+
+
+def _pages(spark, d) -> DataFrame:
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    return spark.read.parquet(f"{d}/conversations.parquet").select(F.col("conv_id").alias("doc_id"), (F.row_number().over(order) - 1).alias("page_no"), "text")
+
+
+def text_size(spark, d):
+    c = F.col("text")
+    return decorated(spark, d).select("doc_id", t.body_size(c).alias("words"), t.body_size(c, "chars").alias("chars"), t.sha256(t.strip_sentinels(c)).alias("prose_sha256"))
+
+
+def freeze_key(spark, d):
+    raw = t.sha256(F.col("text"))
+    key = t.freeze_key(raw, F.when(F.col("doc_id") % 2 == 0, t.repertoire_hash(CONFIG.noise)), ENGINE_VERSION)
+    return documents(spark, d).select("doc_id", raw.alias("raw_hash"), key.alias("freeze_key"))
+
+
+def lines_offsets(spark, d):
+    return lines.with_offsets(_lines(spark, d)).select("doc_id", "line_no", "char_start", "char_end")
+
+
+def clean_noise(spark, d):
+    return clean.strip_noise(_lines(spark, d), CONFIG.noise).select("doc_id", "line_no", "line")
+
+
+def clean_pagenum(spark, d):
+    return clean.remove_page_numbers(_lines(spark, d)).select("doc_id", "line_no", "line")
+
+
+def clean_dehyphen(spark, d):
+    return clean.dehyphenate(_lines(spark, d)).select("doc_id", "line_no", "line")
+
+
+def clean_reflow(spark, d):
+    return clean.reflow(_lines(spark, d)).select("doc_id", "line_no", "line")
+
+
+def clean_front_matter(spark, d):
+    return clean.trim_front_matter(_lines(spark, d), CONFIG).select("doc_id", "line_no", "line")
+
+
+def clean_body(spark, d):
+    return clean.preclean(decorated(spark, d), CONFIG).select("doc_id", F.length("body").alias("n_chars"), "output_sha256")
+
+
+def fm_signals(spark, d):
+    return frontmatter.with_signals(_front(spark, d).where("idx < 80")).select("doc_id", "idx", *frontmatter.SIGNALS)
+
+
+def fm_labels(spark, d):
+    return frontmatter.with_labels(_front(spark, d)).where("label is not null").select("doc_id", "idx", "label")
+
+
+def paragraphs(spark, d):
+    return _structure(spark, d).select("doc_id", "para_idx", "char_start", "char_end", "block_type", "chapter_id", t.sha256(F.col("text")).alias("text_sha256"))
+
+
+def classification(spark, d):
+    return segment.classify(_structure(spark, d)).select("doc_id", "index", "block_type", "block_class", "has_note_call", "position")
+
+
+def class_counts(spark, d):
+    return segment.class_counts(segment.classify(_structure(spark, d)))
+
+
+def gate_checks(spark, d):
+    b = bodies(spark, d)
+    return gate.static_checks(b, CONFIG).unionByName(gate.roundtrip_checks(b, segment.segment(b))).select("doc_id", "ord", "code", "passed")
+
+
+def gate_results(spark, d):
+    b = bodies(spark, d)
+    checks = gate.static_checks(b, CONFIG).unionByName(gate.roundtrip_checks(b, segment.segment(b)))
+    return gate.results(checks, b, CONFIG).select("doc_id", "passed", "first_failure", "body_hash", "body_size")
+
+
+def _catalog(spark, d) -> DataFrame:
+    """A log built from decorated texts: hash by hash, an old contract for some, and later entries for a few."""
+    first = decorated(spark, d).where("doc_id % 2 = 0").select(
+        t.sha256(F.col("text")).alias("text_id"), F.when(F.col("doc_id") % 6 == 0, "config").otherwise("canonical").alias("rung"),
+        F.struct(F.lit("canonical").alias("kind"), F.lit(None).cast("string").alias("ref")).alias("filling"),
+        F.struct(F.lit("txt").alias("source_format"), F.lit("first").alias("source_edition"), F.lit(None).cast("string").alias("translation_layer")).alias("provenance"), F.lit(1).alias("body_size"),
+        F.struct(F.lit(True).alias("passed"), F.when(F.col("doc_id") % 4 == 0, "0.9.0").otherwise("1.0.0").alias("contract_version")).alias("gate"),
+        t.sha256(F.col("text")).alias("body_hash"), F.lit(None).cast("string").alias("freeze_key"), (F.col("doc_id") * 2).alias("seq"), "doc_id",
+    )
+    later = first.where("doc_id % 10 = 0").withColumn("rung", F.lit("hook")).withColumn("seq", F.col("seq") + 1)
+    return first.unionByName(later).drop("doc_id")
+
+
+def catalog_current(spark, d):
+    return cat.current(_catalog(spark, d)).select("text_id", "rung", F.col("gate.contract_version").alias("contract_version"), "seq")
+
+
+def catalog_stats(spark, d):
+    return cat.stats(cat.current(_catalog(spark, d)))
+
+
+def catalog_stale(spark, d):
+    return cat.stale(cat.current(_catalog(spark, d)))
+
+
+def catalog_lookup(spark, d):
+    docs = decorated(spark, d).select("doc_id", t.sha256(F.col("text")).alias("raw_hash"))
+    return cat.lookup(docs, cat.current(_catalog(spark, d))).select("doc_id", F.col("entry.rung").alias("rung"), F.col("entry.body_hash").alias("body_hash"))
+
+
+def dispatch_status(spark, d):
+    docs = bodies(spark, d).withColumnRenamed("body", "text")
+    return dispatch.dispatch(docs, CONFIG).select("doc_id", "status", "body_hash", "static_failure", "roundtrip_failure")
+
+
+def _chunk_rows(df: DataFrame) -> DataFrame:
+    types = F.array_join(F.transform(F.array_sort(F.map_entries("block_types")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",")
+    spans = F.array_join(F.transform("paragraph_spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return df.select("doc_id", "chunk_id", "char_start", "char_end", "n_paragraphs", t.sha256(F.col("text")).alias("text_sha256"), types.alias("block_types"), "quote_ratio", "footnote_ratio", "chapter_id", spans.alias("spans"))
+
+
+def chunks(spark, d):
+    return _chunk_rows(chunk.conceptual(_structure(spark, d)))
+
+
+def chunks_formal(spark, d):
+    return _chunk_rows(chunk.formal(_structure(spark, d)))
+
+
+def _quality_rows(df: DataFrame) -> DataFrame:
+    m = F.col("quality.metrics")
+    return df.select("doc_id", "chunk_id", F.col("quality.status").alias("status"), F.round("quality.score", 4).alias("score"), F.array_join("quality.flags", ",").alias("flags"), *[m[c].alias(c) for c in ("word_count", "line_count", "sentence_count", "reference_hits")])
+
+
+def quality_chunks(spark, d):
+    """Minimum slice: documents to lines, paragraphs, chunks and quality."""
+    return _quality_rows(quality.records(chunk.conceptual(segment.segment(documents(spark, d), "text"))))
+
+
+def quality_documents(spark, d):
+    return _quality_rows(quality.with_quality(decorated(spark, d).withColumn("chunk_id", F.lit(0))))
+
+
+def quality_report(spark, d):
+    q = quality.with_quality(documents(spark, d).withColumn("chunk_id", F.lit(0)))
+    as_text = lambda c: F.array_join(F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",")
+    return quality.report(q).select("total_chunks", as_text("status_counts").alias("status_counts"), as_text("flag_counts").alias("flag_counts"), F.round("avg_score", 3).alias("avg_score"), "min_score", "max_score")
+
+
+def repeated_text(spark, d):
+    return documents(spark, d).select("doc_id", quality.repeated_text_score(F.col("text")).alias("score"))
+
+
+def class_profile(spark, d):
+    s = _structure(spark, d)
+    p = eligibility.class_profile(chunk.conceptual(s), segment.classify(s))
+    return p.select("doc_id", "chunk_id", F.explode("profile").alias("block_class", "share")).withColumn("share", F.round("share", 9))
+
+
+def track_eligibility(spark, d):
+    s = _structure(spark, d)
+    return eligibility.eligibility(chunk.formal(s), segment.classify(s))
+
+
+def pdf_header_footer(spark, d):
+    pages = _pages(spark, d).withColumn("is_text", F.regexp_count("text", F.lit(r"\p{L}")) >= pdf.PAGE_LETTERS)
+    return pdf.header_footer(pdf.nonempty_lines(pages))
+
+
+def pdf_diagnostics(spark, d):
+    codes = F.array_join(F.transform("reasons", lambda r: r["code"]), ",")
+    return pdf.diagnose(_pages(spark, d)).select("doc_id", "decision", "pages_analyzed", "pages_with_text", F.round("text_page_ratio", 3).alias("text_page_ratio"), F.round("ocr_risk", 3).alias("ocr_risk"), "front_matter_at_head", codes.alias("reasons"))
+
+
+def pdf_patterns(spark, d):
+    return pdf.match_patterns(pdf.diagnose(_pages(spark, d)), pdf.seed_patterns(spark)).select("doc_id", "rank", "id", "confidence")
+
+
+def pdf_usage(spark, d):
+    diagnoses = pdf.diagnose(_pages(spark, d))
+    return pdf.usage(pdf.cases(diagnoses, pdf.match_patterns(diagnoses, pdf.seed_patterns(spark)))).select("strategy_id", "times_applied")
+
+
+def html_blocks(spark, d):
+    pages = spark.read.parquet(f"{d}/pages.parquet").select(F.col("page_id").alias("doc_id"), "html")
+    return extract_html(pages)
+
+
+def run_summary(spark, d):
+    docs = bodies(spark, d).withColumnRenamed("body", "text")
+    return pipeline.run(docs, CONFIG).summary().select(F.to_json("documents").alias("documents"), "ok_chunks", "ok_formal_chunks")
+
+
+QUERIES = {
+    "text_size": text_size, "freeze_key": freeze_key, "lines_offsets": lines_offsets, "clean_noise": clean_noise, "clean_pagenum": clean_pagenum, "clean_dehyphen": clean_dehyphen,
+    "clean_reflow": clean_reflow, "clean_front_matter": clean_front_matter, "clean_body": clean_body, "fm_signals": fm_signals, "fm_labels": fm_labels, "paragraphs": paragraphs,
+    "classification": classification, "class_counts": class_counts, "gate_checks": gate_checks, "gate_results": gate_results, "dispatch_status": dispatch_status,
+    "catalog_current": catalog_current, "catalog_stats": catalog_stats, "catalog_stale": catalog_stale, "catalog_lookup": catalog_lookup, "chunks": chunks, "chunks_formal": chunks_formal,
+    "quality": quality_chunks, "quality_documents": quality_documents, "quality_report": quality_report, "repeated_text": repeated_text, "class_profile": class_profile, "eligibility": track_eligibility,
+    "pdf_header_footer": pdf_header_footer, "pdf_diagnostics": pdf_diagnostics, "pdf_patterns": pdf_patterns, "pdf_usage": pdf_usage, "html_blocks": html_blocks, "run_summary": run_summary,
+}
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
