@@ -12,16 +12,19 @@ from vellum.llm import common, decontaminate, langid, pieces, simhash, suffix_de
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model rejects go."""
+    common.small_batches(spark)
     return langid.keep_identified(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, that with the smallest id."""
+    common.small_batches(spark)
     return simhash.keep_one(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose every byte that a repeated 200-byte string covers; n_chars follows."""
+    common.small_batches(spark)
     out = suffix_dedup.remove_repeats(docs)
     changed = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("bigint")}
     return out.select(*[changed[c].alias(c) if c in changed else F.col(f"row.`{c}`") for c in docs.columns])
@@ -29,11 +32,13 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    common.small_batches(spark)
     return decontaminate.clean(docs, common.table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's piece ids, the scores of its four best segmentations, and its round trip."""
+    common.small_batches(spark)
     encoded = pieces.encode(docs, carry=["doc_id"])
     out = pieces.digests(encoded)
     return out.select("row.doc_id", "n_pieces", "ids_sha256", "scores", "decoded_bytes", "decoded_sha256")

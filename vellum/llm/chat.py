@@ -93,11 +93,13 @@ def format_conversations(df: DataFrame, conv_col: str = "conv_id", turn_col: str
     rows = df.select(F.col(f"`{conv_col}`").alias("conv_id"), F.col(f"`{turn_col}`").alias("turn"), *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(a) for c, a in ((role_col, "role"), (text_col, "text"))])
     kind, turn = rows.schema["conv_id"].dataType.simpleString(), rows.schema["turn"].dataType.simpleString()
 
+    @C.lean
     def shown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [render(r, t) for r, t in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "shown"])
 
+    @C.lean
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         conv_type, now, part, held, size, loss = None, None, 0, [], 0, []
         ready: list[tuple] = []
@@ -141,6 +143,7 @@ def read_back(parts: DataFrame) -> DataFrame:
     """What format_conversations returned, parsed again: (conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars)."""
     kind = parts.schema["conv_id"].dataType.simpleString()
 
+    @C.lean
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         conv_type, now = None, None
         ready: list[tuple] = []

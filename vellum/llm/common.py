@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
 import shutil
 import tempfile
 import uuid
@@ -16,9 +18,33 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step handles; its work arrays take some 60 times as much.
 BLOCK = 1 << 20
+ARROW_BYTES = 8 << 20
+
+
+def lean(f):
+    """A generator over batches that gives freed memory back to the system when it ends: workers are used again,
+    and what one stage needed must not add to what the next one needs."""
+
+    @functools.wraps(f)
+    def run(*args):
+        try:
+            yield from f(*args)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on rows reach Python in Arrow batches of some MB, however long their texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -195,6 +195,7 @@ def matches(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
 def _pass(source: DataFrame, held, arrow: pa.DataType, kind: T.ArrayType, rate: float) -> DataFrame:
     again = "matches" in source.columns
 
+    @C.lean
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, ids = held.value
         items = Items(texts, rate)

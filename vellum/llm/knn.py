@@ -67,6 +67,7 @@ class _Space:
         return np.sqrt(np.maximum(0.0, square[:, None] + self.norm - 2 * (x @ self.pivots.T + high[:, None] * self.high)))
 
 
+@C.lean
 def _assigned(batches: Iterator[pa.RecordBatch], space: _Space, dims: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, 4096):
@@ -76,6 +77,7 @@ def _assigned(batches: Iterator[pa.RecordBatch], space: _Space, dims: int) -> It
             yield C.batch_of({"id": part.column("id"), "v": part.column("v"), "cell": cell.astype(np.int32), "d": d[np.arange(len(d)), cell]})
 
 
+@C.lean
 def _summaries(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """Of a partition, for each cell: rows, least, greatest and k + 1 least distances."""
     seen: dict[int, list] = {}
@@ -104,6 +106,7 @@ def _reach(x: np.ndarray, space: _Space, n: np.ndarray, near: list[np.ndarray],
     return (np.maximum(least, plane) <= (bound + slack)[:, None]) & (n > 0)
 
 
+@C.lean
 def _solve(batches: Iterator[pa.RecordBatch], k: int, dims: int, exact: bool) -> Iterator[pa.RecordBatch]:
     """Rows of a task, its block of data first, then its queries."""
     now, ids, rows, data = None, [], [], None
@@ -166,12 +169,14 @@ def nearest(df: DataFrame, queries: Column, id_col: str = "vec_id", vector_col:
     first = np.cumsum(parts) - parts  # tasks are numbered by cell and part
     tasks = max(1, int(parts.sum()))
 
+    @C.lean
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cell, ids = batch.column("cell").to_numpy(), batch.column("id").to_numpy()
             task = first[cell] + (C.mix(ids.view(np.uint64)) % parts[cell].astype(np.uint64)).astype(np.int64)
             yield C.batch_of({"task": task.astype(np.int32), "kind": np.zeros(len(ids), np.int8), "id": batch.column("id"), "v": batch.column("v")})
 
+    @C.lean
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, ids = _matrix(batch.column("v"), dims), batch.column("id").to_numpy()

@@ -66,6 +66,7 @@ def _prepared(df: DataFrame, text_col: str, **more: Column) -> DataFrame:
     return df.select(*[v.alias(k) for k, v in more.items()], F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("has_letter"), F.concat(F.lit(" "), F.lower(F.coalesce(text, F.lit(""))), F.lit(" ")).alias("text"))
 
 
+@C.lean
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text as its distinct buckets and their shares."""
     for block in C.blocks(batches):
@@ -147,6 +148,7 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     source = _prepared(df, text_col, id=F.col(f"`{id_col}`"), **more)
     kept = ["id", *more]
 
+    @C.lean
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in C.blocks(batches):
             data, off = C.text_buffer(block.column("text"))

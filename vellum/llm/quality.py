@@ -75,6 +75,7 @@ def _pieces(block: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         at = end
 
 
+@C.lean
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in C.blocks(batches):
         total = [np.zeros(0, np.int64)] * block.num_rows
@@ -126,6 +127,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     source = df.select(F.col(f"`{id_col}`").alias("id"), *[v.alias(k) for k, v in more.items()], F.col(f"`{text_col}`").cast("string").alias("text"))
     kept = ["id", *more]
 
+    @C.lean
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in C.blocks(batches):
             total, count = np.zeros(block.num_rows), np.zeros(block.num_rows)

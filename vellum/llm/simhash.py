@@ -96,6 +96,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     source = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     names = [f"f{w}" for w in range(words)]
 
+    @C.lean
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in C.blocks(batches, limit=4 * C.BLOCK):
             found = fingerprints_of([(x or "").encode() for x in block.column("text").to_pylist()], size, words)
@@ -164,6 +165,7 @@ class _Forest:
             self.label[self.label == self.label[a]] = self.label[b]
 
 
+@C.lean
 def _linked(batches: Iterator[pa.RecordBatch], radius: int, words: int) -> Iterator[pa.RecordBatch]:
     """Rows of one tile's task, its own first, then the others': a forest over all that are linked through it."""
     own: list[np.ndarray] = []
@@ -217,6 +219,7 @@ def links(prints: DataFrame, radius: int, words: int = 1) -> DataFrame:
     first = {p: k for k, (lo, hi, part, _) in enumerate(tiles) if part == 0 for p in range(lo, hi + 1)}
     n = max(1, len(tiles))
 
+    @C.lean
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [batch.column(c).to_numpy() for c in names]

@@ -62,6 +62,7 @@ def _runs(h: np.ndarray, m: np.ndarray, off: np.ndarray, width: int) -> tuple[np
     return start, np.flatnonzero(last) - start + 1
 
 
+@C.lean
 def _units(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[dict[str, np.ndarray]]:
     """Step 1. Long texts go piece by piece."""
     for block in C.blocks(batches):
@@ -121,6 +122,7 @@ def _bucket(rows: dict[str, np.ndarray], splitters: list[np.ndarray]) -> np.ndar
     return at.astype(np.int32)
 
 
+@C.lean
 def _sorted_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorts a bucket and keeps the rows whose first token is not alone: state 1, or 2 if both tokens
     agree, 3 if it also stands for its equals in the next comparison. edge is 1 for the bucket's first row, 2 for its last, 3 for both; these are kept always."""
@@ -158,6 +160,7 @@ def sort_and_compare(source: DataFrame, tokens, sample: DataFrame, estimate: flo
     spark = source.sparkSession
     n = int(max(C.partitions(spark), estimate // ROWS_PER_BUCKET))
 
+    @C.lean
     def as_batches(batches):
         for rows in tokens(batches):
             yield C.batch_of({c: rows[c] for c in ("t1", "t2", "k", "n", "start", "cnt")})
@@ -169,6 +172,7 @@ def sort_and_compare(source: DataFrame, tokens, sample: DataFrame, estimate: flo
     cuts = order[[len(order) * i // n for i in range(1, n)]] if len(order) else order
     splitters = [np.ascontiguousarray(x[cuts]) for x in known]
 
+    @C.lean
     def dealt(batches):
         for rows in tokens(batches):
             yield C.batch_of({"bucket": _bucket(rows, splitters)} | {c: rows[c] for c in ("t1", "t2", "k", "n", "start", "cnt")})
@@ -192,6 +196,7 @@ def sort_and_compare(source: DataFrame, tokens, sample: DataFrame, estimate: flo
     return out.select("k", "n", "start", (F.col("cnt") % PACK).alias("cnt"), (F.col("start") - F.floor(F.col("cnt") / PACK)).cast("int").alias("base"), state.cast("int").alias("state")).where("state > 0")
 
 
+@C.lean
 def _contents(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """The bytes of each unit that its text's row lists."""
     for batch in batches:
@@ -218,6 +223,7 @@ def _buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+@C.lean
 def _steps(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[dict[str, np.ndarray]]:
     """Step 3."""
     for block in C.blocks(batches):
@@ -246,6 +252,7 @@ def _steps(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[dict[str,
         }
 
 
+@C.lean
 def _windows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[dict[str, np.ndarray]]:
     """Step 4."""
     for block in C.blocks(batches):
@@ -283,6 +290,7 @@ def repeated_spans(docs: DataFrame, width: int = 200) -> DataFrame:
     return found.groupBy("k", "n").agg(F.collect_list(F.struct("start", (F.col("cnt") + (width - 1)).alias("length"))).alias("spans"))
 
 
+@C.lean
 def _removed(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows in C.blocks([batch], limit=16 * C.BLOCK):

@@ -305,6 +305,7 @@ def op4_warc(spark, sf_dir: str) -> DataFrame:
     path = C.fresh_path(spark, "warc")
     with_revisits(C.table(spark, sf_dir, "pages"), "page_id", "url", "html").write.format("warc").mode("append").save(path)
 
+    @C.lean
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Digest and length of what was read; of a revisit, what its headers say of the payload it shares."""
         for batch in batches:
