@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .chaining import op9_passages
 from .chat import op8_chat
 from .decontaminate import op7_decontaminate
 from .knn import op3_voronoi_knn
@@ -21,6 +22,7 @@ QUERIES = {
     "op5_pieces": op5_pieces,
     "op7_decontaminate": op7_decontaminate,
     "op8_chat": op8_chat,
+    "op9_passages": op9_passages,
     "op10_quality": op10_quality,
 }
 ORACLE_SQL = {
