@@ -21,16 +21,20 @@ WORD = r"[\p{L}\p{N}_]"
 NOT_WORD = r"[^\p{L}\p{N}_]"
 
 
+#: The same characters one by one: trimming by a set looks at the ends only, a pattern at every character.
+SPACES = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def rtrim(c: Column) -> Column:
-    return F.regexp_replace(c, f"{WS}+$", "")
+    return F.rtrim(c, F.lit(SPACES))
 
 
 def ltrim(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{WS}+", "")
+    return F.ltrim(c, F.lit(SPACES))
 
 
 def trim(c: Column) -> Column:
-    return ltrim(rtrim(c))
+    return F.trim(c, F.lit(SPACES))
 
 
 def bind(value: Column, body) -> Column:
@@ -78,7 +82,7 @@ def is_sentinel(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    return ~c.rlike(f"(?!{WS})(?s:.)")
+    return ltrim(c) == ""
 
 
 def half_even(c: Column, digits: int) -> Column:

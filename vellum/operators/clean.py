@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellum.config import PRECLEAN_VERSION, Config
+from vellum.config import NOISE_PATTERNS, PRECLEAN_VERSION, Config
 from vellum.functions.text import WORD, WS, is_blank, is_sentinel, ltrim, rtrim, sha256, trim
 
 from .frontmatter import NAVIGATION, with_labels
@@ -21,6 +21,11 @@ def java_pattern(pattern: str) -> str:
     return "(?U)" + pattern
 
 
+def noise_patterns(config: Config) -> tuple[str, ...]:
+    """The built-in patterns as one, so that a line is read once for all, and the extra ones as they are."""
+    return (java_pattern("|".join(f"(?:{p})" for p in NOISE_PATTERNS)), *map(java_pattern, config.extra_noise))
+
+
 def trim_front_matter(lines: DataFrame, config: Config) -> DataFrame:
     """Drops navigation blocks at the start; a marker line ends the zone. Where something was dropped, blank
     lines are collapsed in the whole text, and leading ones go."""
@@ -36,11 +41,11 @@ def trim_front_matter(lines: DataFrame, config: Config) -> DataFrame:
     return kept.where(~gone).select("doc_id", "line_no", "line")
 
 
-def strip_noise(lines: DataFrame, patterns: tuple[str, ...]) -> DataFrame:
+def strip_noise(lines: DataFrame, config: Config) -> DataFrame:
     """Drops lines in which any pattern is found."""
     hit = F.lit(False)
-    for p in patterns:
-        hit = hit | F.col("line").rlike(java_pattern(p))
+    for p in noise_patterns(config):
+        hit = hit | F.col("line").rlike(p)
     return lines.where(is_sentinel(F.col("line")) | ~hit)
 
 
@@ -82,7 +87,7 @@ def reflow(lines: DataFrame) -> DataFrame:
 def clean_lines(lines: DataFrame, config: Config, trim_front: bool) -> DataFrame:
     if trim_front:
         lines = trim_front_matter(lines, config)
-    return reflow(dehyphenate(remove_page_numbers(strip_noise(lines, config.noise))))
+    return reflow(dehyphenate(remove_page_numbers(strip_noise(lines, config))))
 
 
 def preclean(docs: DataFrame, config: Config | None = None, text_col: str = "text", trim_front: bool = False) -> DataFrame:

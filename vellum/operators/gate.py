@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from vellum.config import BLOCK_TOKENS, BQ_CLOSE, BQ_OPEN, CONTRACT_VERSION, ENGINE_VERSION, REF_CLOSE, REF_OPEN, Config
 from vellum.functions.text import WS, bind, body_size, freeze_key, is_sentinel, sha256, strip_sentinels
 
-from .clean import java_pattern
+from .clean import noise_patterns
 from .lines import by_doc, explode_lines, with_offsets
 from .segment import with_depth
 
@@ -34,7 +34,7 @@ def _noteref_error(body: Column) -> Column:
 
 
 def line_findings(bodies: DataFrame, config: Config) -> DataFrame:
-    """Per document: offenders (marker tokens not alone on their line), block_error, leaks (pattern and line)."""
+    """Per document: offenders (marker tokens not alone on their line), block_error, leaks (lines with noise, for the built-in patterns together and for each extra one)."""
     lines = with_depth(with_offsets(explode_lines(bodies, "body")))
     lines = lines.withColumn("_before", F.coalesce(F.lag("depth").over(by_doc()), F.lit(0)))
     lines = lines.withColumn("_level", F.when(F.col("step") == -1, F.col("_before")).otherwise(F.col("depth")))
@@ -47,8 +47,8 @@ def line_findings(bodies: DataFrame, config: Config) -> DataFrame:
     for token in BLOCK_TOKENS:
         holds = holds | F.col("line").contains(token)
     leaks = F.lit(0)
-    for p in config.noise:
-        leaks = leaks + F.col("line").rlike(java_pattern(p)).cast("int")
+    for p in noise_patterns(config):
+        leaks = leaks + F.col("line").rlike(p).cast("int")
     return lines.groupBy("doc_id").agg(
         F.sum((holds & ~is_sentinel(F.col("line"))).cast("int")).alias("offenders"),
         F.min(F.when(reason.isNotNull(), F.struct("char_start", reason.alias("reason")))).alias("_error"),

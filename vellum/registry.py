@@ -70,7 +70,7 @@ def lines_offsets(spark, d):
 
 
 def clean_noise(spark, d):
-    return clean.strip_noise(_lines(spark, d), CONFIG.noise).select("doc_id", "line_no", "line")
+    return clean.strip_noise(_lines(spark, d), CONFIG).select("doc_id", "line_no", "line")
 
 
 def clean_pagenum(spark, d):
