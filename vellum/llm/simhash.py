@@ -123,7 +123,7 @@ def _tiles(histogram: dict[int, int], size: int) -> list[tuple[int, int, int, in
         else:
             group.append(p)
             held += histogram[p]
-    return out + [(group[0], group[-1], 0, 1)] * bool(group)
+    return [*out, (group[0], group[-1], 0, 1)] if group else out
 
 
 def _sent(tiles: list[tuple[int, int, int, int]], radius: int) -> list[list[int]]:
