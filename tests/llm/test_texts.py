@@ -132,6 +132,12 @@ def test_components_of_a_chain(spark):
     assert got == {f"{i:03d}": f"{i // 20 * 20:03d}" for i in range(60)}
 
 
+def test_components_of_a_hub(spark):
+    edges = [(5, 10 + i) for i in range(3000)] + [(4999 - i, 4998 - i) for i in range(30)]
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert set(got[10 + i] for i in range(3000)) == {5} and got[5] == 5 and got[4999] == 4969
+
+
 def least_edits(item, text):
     row = [0] * (len(text) + 1)
     for j, b in enumerate(item):

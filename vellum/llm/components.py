@@ -1,7 +1,7 @@
 """Connected components of a distributed edge list: alternating large and small stars.
 
 Each round hooks the neighbours of every node to the least of them, as minima that are combined before the
-shuffle and joined back (a hub's rows are split by the skew join); rounds are written to the shared folder and
+shuffle and joined back (the rows of hubs are salted); rounds are written to the shared folder and
 end when the edges stay the same. No edge list or component is ever collected.
 """
 
@@ -13,17 +13,31 @@ from pyspark.sql import functions as F
 from . import common as C
 
 
-def _stars(edges: DataFrame, large: bool) -> DataFrame:
+SALTS, HUB_ROWS, HUBS = 16, 1000, 500
+
+
+def join_least(rows: DataFrame, least: DataFrame, key: str, total: int) -> DataFrame:
+    """rows joined with least (key, m, n: its rows) on key. A key with over HUB_ROWS rows and over 1 / HUBS of all is a
+    hub, of which there are under HUBS: its rows are salted, and its least is repeated for each salt."""
+    hub = F.col("n") > max(HUB_ROWS, total // HUBS)
+    hubs = least.where(hub).select(key, F.lit(True).alias("_hub"))
+    salt = F.when(F.col("_hub"), F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS))).otherwise(0).cast("int")
+    salted = rows.join(F.broadcast(hubs), key, "left").withColumn("_salt", salt).drop("_hub")
+    spread = least.withColumn("_salt", F.explode(F.when(hub, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    return salted.join(spread, [key, "_salt"]).drop("_salt", "n")
+
+
+def _stars(edges: DataFrame, large: bool, total: int) -> DataFrame:
     """(a, b): large: each neighbour above its node hooks to the least of node and neighbours; small: node and
     the neighbours below it hook to the least of them."""
     if large:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        out = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+        out = join_least(both.where("b > a"), least, "a", total).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
-        out = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
+        least = down.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        out = join_least(down, least, "a", total).select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
     return out.where("a != b").distinct()
 
 
@@ -37,5 +51,5 @@ def components(edges: DataFrame) -> DataFrame:
         if state == seen or not state[0]:
             break
         seen = state
-        now = C.cut(_stars(_stars(now, True), False), "edges")
+        now = C.cut(_stars(_stars(now, True, state[0]), False, state[0]), "edges")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common as C
-from .components import components
+from .components import components, join_least
 
 SPREAD = 16
 SEED = 42
@@ -250,9 +250,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     distinct = C.cut(prints.groupBy(*names).agg(F.min("id").alias("least")), "distinct")
     roots = components(links(distinct, radius, words))
     keyed = distinct.select(_hex(names).alias("fingerprint"), "least")
-    member = keyed.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint")
-    least = member.groupBy("root").agg(F.min("least").alias("group"))
-    groups = member.join(least, "root").select("fingerprint", "group")
+    member = C.cut(keyed.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint"), "members")
+    least = member.groupBy("root").agg(F.min("least").alias("m"), F.count("*").alias("n"))
+    groups = join_least(member, least, "root", member.count()).select("fingerprint", F.col("m").alias("group"))
     every = keyed.join(groups, "fingerprint", "left").select("fingerprint", F.coalesce("group", "least").alias("component_id"))
     return prints.select("id", _hex(names).alias("fingerprint")).join(every, "fingerprint").select("id", "fingerprint", "component_id")
 
