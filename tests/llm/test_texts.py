@@ -175,6 +175,20 @@ def test_decontaminate(spark, sf_dir):
     assert decontaminate.clean(docs, bench.limit(0)).count() == len(texts) and decontaminate.clean(docs.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("step", [7, 50, 1000])
+def test_long_texts_are_read_in_pieces(step):
+    rng = random.Random(step)
+    text = "".join(rng.choice(["ab", " ", "...", "é", "C", "\n\t ", "xyz"]) for _ in range(400))
+    data = np.frombuffer(text.lower().encode(), np.uint8)
+    whole = decontaminate.normal(data, np.array([0, len(data)]))[0].tobytes().strip()
+    joined = b""
+    for part, _ in decontaminate.long_text(data, 10**6, step):
+        joined = part.tobytes().strip()
+    assert joined == whole
+    for part, _ in decontaminate.long_text(data, 20, step):
+        assert part.tobytes().strip() in whole
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     return pieces.Vocabulary.load(pieces.MODEL)

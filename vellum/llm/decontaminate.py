@@ -11,7 +11,7 @@ which gives the least number of edits.
 The items are collected in parts of at most PART_BYTES, each with its own pass over the texts, so that no task
 holds more than one part. Nulls: a null text is empty, a null item matches nothing, nor does one of under Q
 bytes. Ids may be null or repeated; each row of either table is its own. No rows, no rows. Columns of the
-input are carried in a struct, so names can't clash. Long texts go in pieces that overlap by two items.
+input are carried in a struct, so names can't clash. Long texts go in pieces whose normal forms overlap by two items.
 """
 
 from __future__ import annotations
@@ -53,6 +53,18 @@ def normal(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, out_off + 2 * np.arange(len(off))
 
 
+def long_text(data: np.ndarray, overlap: int, step: int = C.BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The normal form of one text in pieces, each after the last overlap bytes of the form before it."""
+    held = np.zeros(0, np.uint8)
+    for p in range(0, max(1, len(data)), step):
+        raw = data[p : p + step]
+        core = normal(raw, np.array([0, len(raw)], np.int64))[0][1:-1]
+        starts = len(raw) and _READ[raw[0]] == 32 and len(held) and held[-1] != 32
+        held = np.concatenate([held[-overlap:], np.full(int(bool(starts)), 32, np.uint8), core if not (len(held) and held[-1] == 32 and len(core) and core[0] == 32) else core[1:]])
+        whole = np.concatenate([np.full(1, 32, np.uint8), held, np.full(1, 32, np.uint8)])
+        yield whole, np.array([0, len(whole)], np.int64)
+
+
 def _codes(data: np.ndarray) -> np.ndarray:
     """The Q = 8 bytes from each place on as one number."""
     a = data.astype(np.uint16)
@@ -202,11 +214,8 @@ def _pass(source: DataFrame, held, arrow: pa.DataType, kind: T.ArrayType, rate:
         for block in C.blocks(batches):
             data, off = C.text_buffer(block.column("text"))
             found: dict[tuple[int, int], int] = {}
-            step = len(data) if block.num_rows > 1 else C.BLOCK
-            reach = 4 * items.longest + 16
-            for p in range(0, max(1, len(data)), max(1, step)):
-                part = data[p : p + step + reach]
-                for k, v in items.find(*normal(part, off if block.num_rows > 1 else np.array([0, len(part)]))).items():
+            for part, ends in [normal(data, off)] if block.num_rows > 1 else long_text(data, 2 * items.longest + Q):
+                for k, v in items.find(part, ends).items():
                     found[k] = min(v, found.get(k, v))
             out = block.column("matches").to_pylist() if again else [[] for _ in range(block.num_rows)]
             for (t, x), edits in found.items():
