@@ -31,12 +31,19 @@ class Results:
 
     def write(self, path: str, log: str | None = None) -> None:
         """Parquet for texts and structure, JSON lines for records, one report; appends to the catalog log."""
-        self.bodies.write.mode("overwrite").parquet(f"{path}/bodies")
-        for name in ("structure", "classification", "chunks", "formal", "quality", "formal_quality", "eligibility", "rejects"):
-            getattr(self, name).write.mode("overwrite").json(f"{path}/{name}")
-        quality.report(self.quality).write.mode("overwrite").json(f"{path}/quality_report")
-        if log:
-            cat.register(log, self.catalog_entries)
+        shared = [self.dispatched, self.structure, self.classification, self.chunks, self.formal]  # several sinks read each
+        for df in shared:
+            df.persist()
+        try:
+            self.bodies.write.mode("overwrite").parquet(f"{path}/bodies")
+            for name in ("structure", "classification", "chunks", "formal", "quality", "formal_quality", "eligibility", "rejects"):
+                getattr(self, name).write.mode("overwrite").json(f"{path}/{name}")
+            quality.report(self.quality).write.mode("overwrite").json(f"{path}/quality_report")
+            if log:
+                cat.register(log, self.catalog_entries)
+        finally:
+            for df in shared:
+                df.unpersist()
 
     def summary(self) -> DataFrame:
         """One row: documents by status, good chunks of both windows."""
