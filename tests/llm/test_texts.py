@@ -303,6 +303,28 @@ def test_passages(spark):
     assert chaining.repeated_passages(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("gap", [26, 60, 150])
+def test_two_passages_of_a_pair(spark, gap):
+    """Two passages that two texts share in order, with own words between, are two rows."""
+    rng = random.Random(gap)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    p, q = fresh(50), fresh(50)
+    texts = [" ".join(fresh(30) + p + fresh(gap) + q + fresh(30)) for _ in range(2)]
+    out = chaining.repeated_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted((r["first"], r["last"], r.other_first, r.other_last, r.matched) for r in out) == [(30, 80) * 2 + (50,), (80 + gap, 130 + gap) * 2 + (50,)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=12), st.lists(st.integers(0, 5), max_size=12))
+def test_agreeing(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        row, before = [0], row
+        for j, y in enumerate(b):
+            row.append(max(before[j + 1], row[j], before[j] + (x == y)))
+    assert chaining.agreeing(a, b) == row[-1]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), min_size=1, max_size=14, unique=True))
 def test_best_chain(points):
