@@ -314,6 +314,25 @@ def test_two_passages_of_a_pair(spark, gap):
     assert sorted((r["first"], r["last"], r.other_first, r.other_last, r.matched) for r in out) == [(30, 80) * 2 + (50,), (80 + gap, 130 + gap) * 2 + (50,)]
 
 
+def test_changed_passages(spark):
+    """Every seventh word of a passage of 50 changed: all pairs are found."""
+    rng = random.Random(5)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    rows = []
+    for i in range(60):
+        p = fresh(50)
+        q = [w if k % 7 != 3 else fresh(1)[0] for k, w in enumerate(p)]
+        rows += [(2 * i, " ".join(fresh(20) + p + fresh(20))), (2 * i + 1, " ".join(fresh(20) + q + fresh(20)))]
+    out = chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {frozenset((r.doc_id, r.other_id)) for r in out} == {frozenset((2 * i, 2 * i + 1)) for i in range(60)}
+
+
+def test_thinned():
+    pos, upos = np.array([0, 1, 2, 3, 4, 5, 6, 9, 10, 10]), np.array([5, 6, 7, 8, 9, 10, 11, 14, 2, 15])
+    at, stands = chaining.thinned(pos, upos)
+    assert (at.tolist(), stands.tolist()) == ([0, 5, 7, 8], [5, 2, 2, 1])
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 5), max_size=12), st.lists(st.integers(0, 5), max_size=12))
 def test_agreeing(a, b):
