@@ -327,6 +327,20 @@ def test_changed_passages(spark):
     assert {frozenset((r.doc_id, r.other_id)) for r in out} == {frozenset((2 * i, 2 * i + 1)) for i in range(60)}
 
 
+def test_passage_of_frequent_lines(spark):
+    """Three lines of which many texts hold two are a passage only of the two texts that hold all."""
+    rng = random.Random(8)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    texts, want = [], set()
+    for _ in range(5):
+        one, two, three = fresh(15), fresh(15), fresh(15)
+        want.add(frozenset((len(texts), len(texts) + 1)))
+        for lines in [one + two + three] * 2 + [one + two] * 30 + [two + three] * 30:
+            texts.append(" ".join(fresh(30) + lines + fresh(30)))
+    out = chaining.repeated_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {frozenset((r.doc_id, r.other_id)) for r in out} == want
+
+
 def test_thinned():
     pos, upos = np.array([0, 1, 2, 3, 4, 5, 6, 9, 10, 10]), np.array([5, 6, 7, 8, 9, 10, 11, 14, 2, 15])
     at, stands = chaining.thinned(pos, upos)
