@@ -94,6 +94,17 @@ def test_knn(spark, spread):
     assert knn.nearest(df.limit(0), F.col("vec_id") % 50 == 0).collect() == []
 
 
+@pytest.mark.parametrize("copies", [10, 100])
+def test_knn_repeated_query(spark, copies):
+    """Rows with the query's id, however many, leave no neighbour out."""
+    rng = np.random.default_rng(4)
+    rows = [(i, (np.eye(24)[i % 4] * 4 + rng.normal(0, 0.05, 24)).tolist()) for i in range(1, 80) if i % 50]
+    rows += [(50 * q, (np.eye(24)[4 + q] * 9).tolist()) for q in range(20) for _ in range(copies)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in knn.nearest(df, F.col("vec_id") % 50 == 0).collect())
+    assert got == sorted(set(brute(rows, 5)))
+
+
 def test_knn_prunes():
     """A query near one pivot isn't sent to a far cell."""
     pivots = np.array([[100, 0], [-100, 0]])

@@ -3,7 +3,7 @@
 Vectors become integers, floor(scale * x). One more coordinate, sqrt(M - |x|^2) with the largest squared norm M (zero
 for queries), turns the greatest inner products into the least Euclidean distances. Pivots, a bounded sample,
 split the data into cells; each cell's summary has its number of rows, the least and greatest distance to its
-pivot, and the k + 1 least ones. From the summaries each query, grouped by its nearest pivot, has an upper bound on the
+pivot, and the k least ones and as many more as a query's id has rows (bounded). From the summaries each query, grouped by its nearest pivot, has an upper bound on the
 distance of its k-th neighbour, and each cell a lower bound (ring and hyperplane); a query is sent only to the cells that its
 bound reaches. Queries are replicated, not data, as they are the smaller side. Cells are cut into blocks of
 bounded size, so one that a common vector fills is spread; blocks are solved on their own and merged.
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-MOST_PIVOTS = 1024
+MOST_PIVOTS, MOST_OWN = 1024, 64
 LIST = pa.list_(pa.int64())
 
 
@@ -78,26 +78,27 @@ def _assigned(batches: Iterator[pa.RecordBatch], space: _Space, dims: int) -> It
 
 
 @C.lean
-def _summaries(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """Of a partition, for each cell: rows, least, greatest and k + 1 least distances."""
+def _summaries(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Of a partition, for each cell: rows, its least distances, most at most, and the greatest."""
     seen: dict[int, list] = {}
     for batch in batches:
         cells, d = batch.column("cell").to_numpy(), batch.column("d").to_numpy()
         for c in np.unique(cells):
             x = np.sort(d[cells == c])
             n, near, far = seen.get(c, (0, np.zeros(0), 0.0))
-            seen[c] = (n + len(x), np.sort(np.append(near, x[: k + 1]))[: k + 1], max(far, x[-1]))
+            seen[c] = (n + len(x), np.sort(np.append(near, x[:most]))[:most], max(far, x[-1]))
     if seen:
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int32()), pa.array([x[0] for x in seen.values()], pa.int64()), pa.array([x[1].tolist() for x in seen.values()], pa.list_(pa.float64())), pa.array([x[2] for x in seen.values()], pa.float64())], names=["cell", "n", "near", "far"])
 
 
-def _reach(x: np.ndarray, space: _Space, n: np.ndarray, near: list[np.ndarray], far: np.ndarray, k: int) -> np.ndarray:
-    """(queries, cells): whether the cell may hold one of the query's k nearest."""
+def _reach(x: np.ndarray, space: _Space, n: np.ndarray, near: list[np.ndarray], far: np.ndarray, k: int, own: int = 1) -> np.ndarray:
+    """(queries, cells): whether the cell may hold one of the query's k nearest, own rows (as many as that at most) apart."""
     d = space.distances(x, True)
     low = np.array([a[0] if len(a) else np.inf for a in near])
     owners = np.repeat(np.arange(len(near)), [len(a) for a in near])
     upper = d[:, owners] + np.concatenate(near)
-    bound = np.partition(upper, k, axis=1)[:, k] if upper.shape[1] > k else np.full(len(x), np.inf)  # k + 1, as one may be the query's own
+    at = k + own - 1
+    bound = np.partition(upper, at, axis=1)[:, at] if upper.shape[1] > at else np.full(len(x), np.inf)
     slack = 1e-6 * (np.sqrt(space.norm) + d.max(axis=1, initial=0.0)) + 1e-3
     least = np.maximum(d - far, low - d)
     home = d.argmin(axis=1)
@@ -123,6 +124,8 @@ def _solve(batches: Iterator[pa.RecordBatch], k: int, dims: int, exact: bool) ->
                 ids.append(own)
                 rows.append(x)
                 continue
+            if not ids:  # repeated ids may leave a part of a cell empty
+                continue
             if data is None:
                 every = np.concatenate(ids)
                 order = np.argsort(every, kind="stable")
@@ -159,8 +162,12 @@ def nearest(df: DataFrame, queries: Column, id_col: str = "vec_id", vector_col:
     pivots = np.unique(_matrix(sample, dims), axis=0) if len(sample) else np.zeros((1, dims), np.int64)
     space = _Space(pivots, most)
     cells = C.cut(rows.mapInArrow(lambda b: _assigned(b, space, dims), "id long, v array<long>, cell int, d double"), "cells")
-    partial = cells.select("cell", "d").mapInArrow(lambda b: _summaries(b, k), "cell int, n long, near array<double>, far double")
-    found = {r.cell: r for r in partial.groupBy("cell").agg(F.sum("n").alias("n"), F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k + 1).alias("near"), F.max("far").alias("far")).collect()}  # a row for each pivot
+    asked = _integers(df.where(queries).select(*{id_col, vector_col}), id_col, vector_col, scale)
+    copies = cells.join(asked.select("id").distinct(), "id", "left_semi").groupBy("id").count()
+    own = copies.agg(F.max("count")).first()[0] or 1
+    kept = k + min(own, MOST_OWN)  # shorter lists only loosen the bound
+    partial = cells.select("cell", "d").mapInArrow(lambda b: _summaries(b, kept), "cell int, n long, near array<double>, far double")
+    found = {r.cell: r for r in partial.groupBy("cell").agg(F.sum("n").alias("n"), F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, kept).alias("near"), F.max("far").alias("far")).collect()}  # a row for each pivot
     sizes = np.array([found[c].n if c in found else 0 for c in range(len(pivots))], np.int64)
     near = [np.array(found[c].near if c in found else []) for c in range(len(pivots))]
     far = np.array([found[c].far if c in found else 0.0 for c in range(len(pivots))])
@@ -181,15 +188,14 @@ def nearest(df: DataFrame, queries: Column, id_col: str = "vec_id", vector_col:
         for batch in batches:
             x, ids = _matrix(batch.column("v"), dims), batch.column("id").to_numpy()
             for lo in range(0, len(x), 64):
-                i, c = np.nonzero(_reach(x[lo : lo + 64], space, sizes, near, far, k))
+                i, c = np.nonzero(_reach(x[lo : lo + 64], space, sizes, near, far, k, own))
                 times = parts[c]
                 task = np.repeat(first[c], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
                 i = np.repeat(i, times) + lo
                 yield C.batch_of({"task": task.astype(np.int32), "kind": np.ones(len(i), np.int8), "id": ids[i], "v": _lists(x[i])})
 
     schema = "task int, kind byte, id long, v array<long>"
-    asked = df.where(queries).select(*{id_col, vector_col})
-    asked = _integers(asked, id_col, vector_col, scale).groupBy("id").agg(F.min("v").alias("v"))
+    asked = asked.groupBy("id").agg(F.min("v").alias("v"))
     both = cells.select("id", "v", "cell").mapInArrow(place, schema).unionByName(asked.mapInArrow(send, schema))
     dealt = both.repartitionById(min(tasks, C.partitions(spark)), F.col("task")).sortWithinPartitions("task", "kind")
     exact = most < 2.0**52
