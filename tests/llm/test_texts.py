@@ -126,6 +126,29 @@ def test_simhash_stage(spark):
     assert simhash.keep_one(df.limit(0)).collect() == []
 
 
+def test_stage_keeps_what_is_not_alike(spark):
+    """Pairs on either side of 0.8, a chain of them, and many texts that share most with one."""
+    rng = random.Random(17)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    def other(words, jaccard):
+        return words[: round((len(words) - 4) * 2 * jaccard / (1 + jaccard)) + 4] + fresh(len(words) - 4 - round((len(words) - 4) * 2 * jaccard / (1 + jaccard)))
+
+    texts, gone = [], set()
+    for jaccard in (0.65, 0.7, 0.75, 0.78, 0.82, 0.85):
+        for _ in range(15):
+            words = fresh(204)
+            gone |= {len(texts) + 1} if jaccard > 0.8 else set()
+            texts += [words, other(words, jaccard)]
+    hub = fresh(204)
+    texts += [hub, *(other(hub, 0.72) for _ in range(10))]
+    chain = fresh(260)
+    gone |= {len(texts) + 1, len(texts) + 2}
+    texts += [chain[:220], chain[20:240], chain[40:260]]
+    df = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id for r in simhash.keep_one(df).collect()} == set(range(len(texts))) - gone
+
+
 def test_components_of_a_chain(spark):
     edges = [(f"{i:03d}", f"{i + 1:03d}") for i in range(60) if i % 20 != 19] + [("000", "000"), ("005", "004")]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a string, b string")).collect()}

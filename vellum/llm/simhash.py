@@ -207,12 +207,11 @@ def _linked(batches: Iterator[pa.RecordBatch], radius: int, words: int) -> Itera
             yield edges(mine[a], mine[b])
 
 
-def links(prints: DataFrame, radius: int, words: int = 1) -> DataFrame:
-    """(a, b): hexadecimal fingerprints of distinct rows (f0, ...) of prints, a forest that connects just those
-    that links within the radius connect."""
-    names = [f"f{w}" for w in range(words)]
+def _dealt(prints: DataFrame, names: list[str], carry: list[str], radius: int) -> DataFrame:
+    """(task, guest, f0, ..., carried columns): the rows that each tile's task needs, its own first."""
+    words = len(names)
     count = sum((F.bit_count(c) for c in names[1:]), F.bit_count(names[0])).cast("int")
-    distinct = prints.select(*names, count.alias("pop"))
+    distinct = prints.select(*names, *carry, count.alias("pop"))
     histogram = {r["pop"]: r["count"] for r in distinct.groupBy("pop").count().collect()}  # 64 * words + 1 rows at most
     tiles = _tiles(histogram, max(256, int(SPREAD * sum(histogram.values()) ** 0.5)))
     sent = _sent(tiles, radius)
@@ -222,7 +221,7 @@ def links(prints: DataFrame, radius: int, words: int = 1) -> DataFrame:
     @C.lean
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [batch.column(c).to_numpy() for c in names]
+            rows = [batch.column(c).to_numpy() for c in [*names, *carry]]
             pops = batch.column("pop").to_numpy()
             tile = np.array([first[p] for p in pops.tolist()], np.int64)
             parts = np.array([t[3] for t in tiles], np.int64)[tile]
@@ -233,15 +232,78 @@ def links(prints: DataFrame, radius: int, words: int = 1) -> DataFrame:
                 for lo in range(0, len(at), max(1, 200_000 // len(to))):
                     i = np.tile(at[lo : lo + max(1, 200_000 // len(to))], len(to))
                     task = np.repeat(to, len(i) // len(to))
-                    yield C.batch_of({"task": task, "guest": (task != t).astype(np.int8)} | {c: r[i] for c, r in zip(names, rows, strict=True)})
+                    yield C.batch_of({"task": task, "guest": (task != t).astype(np.int8)} | {c: r[i] for c, r in zip([*names, *carry], rows, strict=True)})
 
-    longs = ", ".join(f"{c} long" for c in names)
-    dealt = distinct.mapInArrow(deal, f"task int, guest byte, {longs}").repartitionById(n, F.col("task")).sortWithinPartitions("task", "guest")
+    longs = ", ".join(f"{c} long" for c in [*names, *carry])
+    return distinct.mapInArrow(deal, f"task int, guest byte, {longs}").repartitionById(n, F.col("task")).sortWithinPartitions("task", "guest")
+
+
+def links(prints: DataFrame, radius: int, words: int = 1) -> DataFrame:
+    """(a, b): hexadecimal fingerprints of distinct rows (f0, ...) of prints, a forest that connects just those
+    that links within the radius connect."""
+    names = [f"f{w}" for w in range(words)]
+    dealt = _dealt(prints, names, [], radius)
     ends = [f"{s}{w}" for s in "ab" for w in range(words)]
     found = dealt.mapInArrow(lambda b: _linked(b, radius, words), ", ".join(f"{c} long" for c in ends))
     return found.select(_hex(ends[:words]).alias("a"), _hex(ends[words:]).alias("b"))
 
 
+@C.lean
+def _crossing(batches: Iterator[pa.RecordBatch], radius: int, words: int) -> Iterator[pa.RecordBatch]:
+    """Of one tile's task: (a, b) for every pair of texts within the radius whose groups differ."""
+    own: list[tuple[np.ndarray, ...]] = []
+    mine: tuple[np.ndarray, ...] | None = None
+
+    def pairs(rows: tuple[np.ndarray, ...], same: bool) -> Iterator[pa.RecordBatch]:
+        for i, j in _near(mine[0], rows[0], radius, same):
+            cross = mine[2][i] != rows[2][j]
+            if cross.any():
+                yield C.batch_of({"a": mine[1][i[cross]], "b": rows[1][j[cross]]})
+
+    def settle() -> Iterator[pa.RecordBatch]:
+        nonlocal mine
+        if mine is None:
+            mine = tuple(np.concatenate(x) for x in zip(*own, strict=True))
+            yield from pairs(mine, True)
+
+    for batch in batches:
+        guest = batch.column("guest").to_numpy()
+        rows = (np.stack([batch.column(f"f{w}").to_numpy().view(np.uint64) for w in range(words)], axis=1), batch.column("t").to_numpy(), batch.column("c").to_numpy())
+        if (guest == 0).any():
+            own.append(tuple(x[guest == 0] for x in rows))
+        if (guest == 1).any():
+            yield from settle()
+            yield from pairs(tuple(x[guest == 1] for x in rows), False)
+    if own:
+        yield from settle()
+
+
+def alike(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose texts (t, text) have sets of shingles with a Jaccard similarity of at least that."""
+
+    @C.lean
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in C.blocks(batches, limit=4 * C.BLOCK):
+            sets = [np.unique(np.concatenate([np.zeros(0, np.uint64), *_shingles((x or "").encode(), size)])).tobytes() for x in block.column("text").to_pylist()]
+            yield C.batch_of({"t": block.column("t"), "s": pa.array(sets, pa.binary())})
+
+    @C.lean
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = np.zeros(batch.num_rows, bool)
+            for k, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                if min(len(x), len(y)) >= similarity * max(len(x), len(y)):
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    good[k] = both >= similarity * (len(x) + len(y) - both)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(good)) for c in ("a", "b")], names=["a", "b"])
+
+    need = pairs.select(F.col("a").alias("t")).union(pairs.select(F.col("b").alias("t"))).distinct()
+    sets = C.cut(texts.join(need, "t", "left_semi").dropDuplicates(["t"]).mapInArrow(compute, "t long, s binary"), "sets")
+    joined = pairs.join(sets.select(F.col("t").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("t").alias("b"), F.col("s").alias("y")), "b")
+    return C.cut(joined.select("a", "b", "x", "y").mapInArrow(compared, "a long, b long"), "alike")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 3, words: int = 1) -> DataFrame:
     """(id, fingerprint, component_id) for each row of df: texts whose fingerprints of 64 * words bits, over
     shingles of size words, differ in at most radius bits are linked; component_id is the smallest id reached."""
@@ -257,15 +319,33 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return prints.select("id", _hex(names).alias("fingerprint")).join(every, "fingerprint").select("id", "fingerprint", "component_id")
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, radius: int = 48, words: int = 4) -> DataFrame:
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, radius: int = 60, words: int = 4, similarity: float = 0.8) -> DataFrame:
     """The rows of df without near copies: of each group the row with the smallest id stays, and of repeated rows
-    one. By default 256-bit fingerprints over 5-word shingles: texts with a Jaccard similarity of 0.8 differ in
-    39 bits on average (standard deviation 6), unrelated ones in 128. Null ids count as the smallest."""
+    one. Texts are linked if their sets of 5-word shingles have a Jaccard similarity of at least 0.8; fingerprints only
+    say which pairs are compared. By default these have 256 bits: at 0.8 texts differ in 39 bits on average (standard
+    deviation 6), unrelated ones in 128. The nearest links are verified first, as forests; then every pair within the
+    radius whose groups still differ. Null ids count as the smallest."""
     digest = F.xxhash64(F.col(f"`{id_col}`").isNull(), F.col(f"`{text_col}`").cast("string"))
     key = {"k1": F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), "k2": digest}
-    keyed = df.select(F.struct(F.col(f"`{id_col}`").alias("id"), *[v.alias(k) for k, v in key.items()]).alias("id"), F.col(f"`{text_col}`").alias("text"))
-    found = near_duplicates(keyed, "id", "text", size, radius, words)
-    kept = found.where("id = component_id").select("id.k1", "id.k2").distinct()
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    texts = df.select(F.xxhash64(text).alias("t"), text.alias("text"))
+    keyed = df.select(F.struct(F.col(f"`{id_col}`").alias("id"), *[v.alias(k) for k, v in key.items()], F.xxhash64(text).alias("t")).alias("id"), text.alias("text"))
+    names = [f"f{w}" for w in range(words)]
+    prints = C.cut(fingerprints(keyed, "id", "text", size, words), "prints")
+    nodes = C.cut(prints.groupBy(F.col("id.t").alias("t"), *names).agg(F.min("id").alias("least")), "nodes")
+    one = C.cut(nodes.groupBy(*names).agg(F.min("t").alias("t")), "distinct")
+    equal = nodes.select("t", *names).join(one.withColumnRenamed("t", "b"), names).where("t != b").select(F.col("t").alias("a"), "b")
+    named = one.select(_hex(names).alias("f"), "t")
+    near = links(one, radius // 3, words)
+    near = near.join(named.select(F.col("f").alias("a"), F.col("t").alias("ta")), "a").join(named.select(F.col("f").alias("b"), F.col("t").alias("tb")), "b")
+    sure = alike(C.cut(equal.unionByName(near.select(F.col("ta").alias("a"), F.col("tb").alias("b"))), "nearest"), texts, size, similarity)
+    roots = components(sure)
+    grouped = nodes.join(roots, F.col("t") == F.col("node"), "left").select(*names, "t", F.coalesce("root", "t").alias("c"))
+    crossing = _dealt(C.cut(grouped, "grouped"), names, ["t", "c"], radius).mapInArrow(lambda b: _crossing(b, radius, words), "a long, b long")
+    more = alike(C.cut(crossing, "crossing"), texts, size, similarity)
+    roots = components(sure.unionByName(more))
+    member = C.cut(nodes.select("t", "least").join(roots.withColumnRenamed("node", "t"), "t", "left").select(F.coalesce("root", "t").alias("root"), "least"), "members")
+    kept = member.groupBy("root").agg(F.min("least").alias("m")).select("m.k1", "m.k2")
     once = df.select(*[v.alias(k) for k, v in key.items()], F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")).groupBy("k1", "k2").agg(F.first("row").alias("row"))
     return once.join(kept, ["k1", "k2"], "left_semi").select("row.*")
 
