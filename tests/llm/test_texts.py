@@ -364,10 +364,84 @@ def test_passage_of_frequent_lines(spark):
     assert {frozenset((r.doc_id, r.other_id)) for r in out} == want
 
 
-def test_thinned():
-    pos, upos = np.array([0, 1, 2, 3, 4, 5, 6, 9, 10, 10]), np.array([5, 6, 7, 8, 9, 10, 11, 14, 2, 15])
-    at, stands = chaining.thinned(pos, upos)
-    assert (at.tolist(), stands.tolist()) == ([0, 5, 7, 8], [5, 2, 2, 1])
+def test_common_grams_hide_no_passage(spark):
+    """Two texts share 60 words; 60 short texts hold each of its 5-word grams."""
+    rng = random.Random(4)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    passage = fresh(60)
+    texts = [" ".join(fresh(20) + passage + fresh(20)) for _ in range(2)]
+    texts += [" ".join(fresh(3) + passage[i : i + 5] + fresh(3)) for i in range(56) for _ in range(60)]
+    out = chaining.repeated_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [(r["first"], r["last"], r.other_first, r.other_last, r.matched) for r in out] == [(20, 80, 20, 80, 60)]
+
+
+def passages(texts, min_words=40, similarity=0.8):
+    """Every two occurrences of every seed in two texts matched, in one dictionary; then chains and alignment as they are."""
+    words = [chaining.words_of((x or "").encode()) for x in texts]
+    places = {}
+    for i, w in enumerate(words):
+        for p in range(len(w) - 4):
+            places.setdefault(tuple(w[p : p + 5].tolist()), []).append((i, p))
+    found = [(a[0], b[0], a[1], b[1]) for at in places.values() for b in at for a in at if a[0] > b[0]]
+    out = set()
+    for t, u, pos, upos in chaining.pair_chains(*(np.array(x) for x in zip(*found, strict=True))) if found else ():
+        a, b = words[t].astype(np.uint32).tolist(), words[u].astype(np.uint32).tolist()
+        out |= {(t, p[0], p[1], u, p[2], p[3], p[4]) for p in chaining.aligned(a, b, pos.tolist(), upos.tolist(), min_words, similarity)}
+    return out
+
+
+def either_way(rows):
+    """Each passage with its smaller id first."""
+    return {(t, a, b, u, c, d, n) if t < u else (u, c, d, t, a, b, n) for t, a, b, u, c, d, n in rows}
+
+
+@pytest.mark.parametrize("common", [0, 200])
+def test_passages_against_brute_force(spark, common):
+    """Places and agreeing words of all passages; with groups of common lines, the pairs that are linked through them."""
+    rng = random.Random(common)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    pool, lines = [fresh(rng.randint(30, 120)) for _ in range(30)], [fresh(8) for _ in range(5)]
+    texts = [None, "", "a b c d", "x " * 300]
+    for _ in range(120):
+        body = []
+        for _ in range(rng.randint(1, 3)):
+            p = list(rng.choice(pool))
+            p = p[rng.randint(0, 20) :] + fresh(rng.randint(0, 40))
+            for _ in range(rng.randint(0, len(p) // 8)):
+                p[rng.randrange(len(p))] = rng.choice(["changed", *fresh(1)])
+            body += p + (rng.choice(lines) if common else [])
+        texts.append(" ".join(body))
+    texts += [" ".join(fresh(10) + rng.choice(lines) + fresh(10)) for _ in range(common)]
+    want = either_way(passages(texts))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = either_way((r.doc_id, r["first"], r["last"], r.other_id, r.other_first, r.other_last, r.matched) for r in chaining.repeated_passages(rows).collect())
+    pairs = lambda x: {(r[0], r[3]) for r in x}
+    if common:
+        assert len(pairs(got) & pairs(want)) >= 0.95 * len(pairs(want)) and pairs(got) <= pairs(want)
+    else:
+        assert len(want) > 100 and len(got & want) >= 0.98 * len(want) and pairs(got) == pairs(want)
+
+
+def test_long_words_and_pieces(monkeypatch):
+    """Words as bytes.split cuts them, in a block, alone, and in pieces."""
+    texts = [x.encode() for x in ("", " ", "One  two\tTHREE\x0bfour\x1cfive\n six seven", "é" * 50 + " A b", "last")] + [prose(400).encode()]
+    data, off = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    words, at = chaining.hashed_words(data, off)
+    one = lambda w: chaining.hashed_words(np.frombuffer(w, np.uint8), np.array([0, len(w)]))[0].tolist()
+    want = [[h for w in x.lower().split() for h in one(w)] for x in texts]
+    assert [words[a:b].tolist() for a, b in zip(at, at[1:])] == want
+    monkeypatch.setattr(chaining, "PIECE", 30)
+    assert [chaining.words_of(x).tolist() for x in texts] == want
+    h, text, pos = chaining.seeds(words, at)
+    assert list(zip(text.tolist(), pos.tolist())) == [(i, p) for i, x in enumerate(want) for p in range(len(x) - 4)] and len(set(h.tolist())) == len(h)
+
+
+def test_packed_blocks():
+    t, pos, key = np.array([5, 5, 5, -3, 9]), np.array([0, 7, 300, 2, 70000]), np.array([1, 2**40 - 1, 3, 0, 9], np.uint64)
+    assert [x.tolist() for x in chaining.unpack_places(chaining.pack_places(t, pos, key))] == [t.tolist(), pos.tolist(), key.tolist()]
+    u, upos = np.array([1, 1, 2, -9, 4]), np.array([3, 1, 500, 0, 7])
+    assert [x.tolist() for x in chaining.unpack_matches(chaining.pack_matches(t, u, pos, upos))] == [x.tolist() for x in (t, u, pos, upos)]
+    assert [x.tolist() for x in chaining.unpack(chaining.pack(np.zeros(0, np.uint64), np.array([0, 0])))] == [[], [0, 0]]
 
 
 @settings(max_examples=200, deadline=None)

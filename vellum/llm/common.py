@@ -39,8 +39,10 @@ def lean(f):
 
 
 def small_batches(spark: SparkSession) -> None:
-    """From now on rows reach Python in Arrow batches of some MB, however long their texts."""
+    """From now on rows reach Python in Arrow batches of some MB, however long their texts, and a query's shuffle
+    files go when it ends: what later queries read is written by cut()."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
