@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.config import NOISE_PATTERNS, PRECLEAN_VERSION, Config
@@ -26,16 +26,18 @@ def noise_patterns(config: Config) -> tuple[str, ...]:
     return (java_pattern("|".join(f"(?:{p})" for p in NOISE_PATTERNS)), *map(java_pattern, config.extra_noise))
 
 
-def trim_front_matter(lines: DataFrame, config: Config) -> DataFrame:
-    """Drops navigation blocks at the start; a marker line ends the zone. Where something was dropped, blank
-    lines are collapsed in the whole text, and leading ones go."""
+def trim_front_matter(lines: DataFrame, config: Config, where: Column | None = None) -> DataFrame:
+    """Drops navigation blocks at the start, in the documents where that is asked; a marker line ends the zone. Where something
+    was dropped, blank lines are collapsed in the whole text, and leading ones go. The dropped lines of a document, front_zone
+    at most, come back to its lines as one array, which needs no exchange."""
     so_far = by_doc().rowsBetween(Window.unboundedPreceding, 0)
+    asked = F.lit(True) if where is None else where
     marked = lines.withColumn("_open", F.max(is_sentinel(F.col("line"))).over(so_far))
-    blocks = marked.where(~F.col("_open") & ~is_blank(F.col("line")))
+    blocks = marked.where(asked & ~F.col("_open") & ~is_blank(F.col("line")))
     blocks = blocks.select("doc_id", "line_no", trim(F.col("line")).alias("text"), (F.row_number().over(by_doc()) - 1).alias("idx"))
-    dropped = with_labels(blocks, config.min_run, config.front_zone).where(F.col("label") == NAVIGATION).select("doc_id", "line_no", F.lit(True).alias("_drop"))
-    flagged = lines.join(dropped, ["doc_id", "line_no"], "left").withColumn("_drop", F.coalesce("_drop", F.lit(False)))
-    flagged = flagged.withColumn("_any", F.max("_drop").over(Window.partitionBy("doc_id"))).where(~F.col("_drop")).withColumn("_blank", is_blank(F.col("line")))
+    labels = with_labels(blocks, config.min_run, config.front_zone).where(F.col("label") == NAVIGATION)
+    flagged = lines.join(labels.groupBy("doc_id").agg(F.collect_list("line_no").alias("_gone")), "doc_id", "left").withColumn("_any", F.col("_gone").isNotNull())
+    flagged = flagged.where(~F.coalesce(F.array_contains("_gone", F.col("line_no")), F.lit(False))).withColumn("_blank", is_blank(F.col("line")))
     kept = flagged.withColumn("_before", F.lag("_blank").over(by_doc())).withColumn("_lead", F.min("_blank").over(so_far))
     gone = F.col("_any") & F.col("_blank") & (F.coalesce("_before", F.lit(False)) | F.col("_lead"))
     return kept.where(~gone).select("doc_id", "line_no", "line")
@@ -84,9 +86,10 @@ def reflow(lines: DataFrame) -> DataFrame:
     return _islands(out, joins, piece, " ")
 
 
-def clean_lines(lines: DataFrame, config: Config, trim_front: bool) -> DataFrame:
-    if trim_front:
-        lines = trim_front_matter(lines, config)
+def clean_lines(lines: DataFrame, config: Config, trim_front: bool | Column = False) -> DataFrame:
+    """All stages; trim_front may be a condition on the lines' columns."""
+    if trim_front is not False:
+        lines = trim_front_matter(lines, config, None if trim_front is True else trim_front)
     return reflow(dehyphenate(remove_page_numbers(strip_noise(lines, config))))
 
 

@@ -1,7 +1,7 @@
 """The dispatch ladder as one status column: no document's failure stops the others.
 
 too_small: under the size door, nothing else is computed. reused: the catalog knows the raw text and cleaning
-gives its body again (the gate isn't run). drift: it gives another body. unsupported_rung: the entry's rung has no engine.
+gives its body again. drift: it gives another body. unsupported_rung: the entry's rung has no engine.
 canonical: cleaned and passed the gate. config: a candidate engine's body passed. needs_hook: nothing did.
 """
 
@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.config import ENGINE_VERSION, Config
-from vellum.functions.text import body_size, freeze_key, repertoire_hash, sha256
+from vellum.functions.text import bind, body_size, freeze_key, repertoire_hash, sha256
 
 from . import catalog as cat
 from . import gate
-from .clean import preclean
-from .segment import segment
+from .clean import clean_lines
+from .lines import explode_lines
 
 TRIMMED_FORMATS = ("epub", "html", "pdf")
 
@@ -39,45 +39,36 @@ def prepare(docs: DataFrame, config: Config) -> DataFrame:
     return out.withColumn("freeze_key", freeze_key(F.col("raw_hash"), F.col("filling_hash"), ENGINE_VERSION))
 
 
-def canonical_bodies(docs: DataFrame, config: Config) -> DataFrame:
-    """docs with body: those of rich formats lose their front matter too."""
-    plain = preclean(docs.where(~F.col("trimmed")), config)
-    trimmed = preclean(docs.where("trimmed"), config, trim_front=True)
-    return docs.join(plain.unionByName(trimmed).select("doc_id", "body", F.col("output_sha256").alias("body_hash")), "doc_id")
-
-
 def dispatch(docs: DataFrame, config: Config | None = None, catalog: DataFrame | None = None, candidates: Sequence[Callable[[DataFrame], DataFrame]] = ()) -> DataFrame:
     """docs (doc_id, text, source_format, source_edition, translation_layer) -> doc_id, raw_hash, status, body, body_hash,
-    body_size, static_failure, roundtrip_failure, freeze_key, provenance. candidates map docs to (doc_id, body)."""
+    body_size, static_failure, roundtrip_failure, filling_hash, freeze_key, provenance. candidates map docs to (doc_id, body).
+    Texts are cut into lines once; cleaning and gate go on with these lines, and only hashes of the texts are joined again."""
     config = config or Config()
     ready = prepare(docs, config).withColumn("_size", body_size(F.col("text"), config.unit))
     small = F.coalesce(F.col("_size") < config.min_size, F.lit(True))
-    large = ready.where(~small)
-    bodies = canonical_bodies(large, config)
-    known = cat.lookup(bodies, cat.current(catalog)) if catalog is not None else bodies.withColumn("entry", F.lit(None).cast("struct<rung: string, body_hash: string>"))
+    cleaned = clean_lines(explode_lines(ready.where(~small), "text", "trimmed"), config, F.col("trimmed"))
+    known = _verdict(ready.where(~small).drop("text", "_size"), cleaned, config).withColumn("body_hash", sha256(F.col("body")))
+    known = cat.lookup(known, cat.current(catalog)) if catalog is not None else known.withColumn("entry", F.lit(None).cast("struct<rung: string, body_hash: string>"))
     reuse = F.when(F.col("entry").isNotNull(), F.when(F.col("entry.rung") != "canonical", "unsupported_rung").when(F.col("entry.body_hash") != F.col("body_hash"), "drift").otherwise("reused"))
-    known = known.withColumn("_reuse", reuse)
-    fresh = known.where("_reuse is null")
-    verdict = _verdict(fresh, config)
-    status = F.coalesce("_reuse", F.when(F.coalesce("_static", "_round").isNull(), "canonical").otherwise("needs_hook"))
-    out = known.join(verdict, "doc_id", "left").withColumn("status", status)
-    for k, engine in enumerate(candidates):
-        body = engine(out.where("status = 'needs_hook'").select(*docs.columns)).select("doc_id", F.col("body").alias("_other"))
-        tried = out.where("status = 'needs_hook'").drop("_static", "_round").join(body, "doc_id").withColumn("body", F.col("_other"))
-        passed = _verdict(tried.select(*known.columns), config).where("_static is null and _round is null").select("doc_id").join(body, "doc_id")
-        out = out.join(passed, "doc_id", "left").withColumn("body", F.coalesce("_other", "body")).withColumn("status", F.when(F.col("_other").isNotNull(), "config").otherwise(F.col("status")))
+    out = known.withColumn("status", F.coalesce(reuse, F.when(F.coalesce("_static", "_round").isNull(), "canonical").otherwise("needs_hook")))
+    for engine in candidates:
+        left = docs.join(out.where("status = 'needs_hook'").select("doc_id"), "doc_id", "left_semi")
+        tried = left.drop("text").join(engine(left).select("doc_id", F.col("body").alias("_other")), "doc_id")
+        bodies = _verdict(tried, explode_lines(tried, "_other"), config).where("_static is null and _round is null").select("doc_id", "_other")
+        out = out.join(bodies, "doc_id", "left").withColumn("body", F.coalesce("_other", "body")).withColumn("status", F.when(F.col("_other").isNotNull(), "config").otherwise(F.col("status")))
         out = out.withColumn("body_hash", sha256(F.col("body"))).drop("_other")
-    columns = ["doc_id", "raw_hash", "status", "body", "body_hash", body_size(F.col("body"), config.unit).alias("body_size"), F.when(F.col("status") == "needs_hook", F.col("_static")).alias("static_failure"), F.when(F.col("status") == "needs_hook", F.col("_round")).alias("roundtrip_failure"), "freeze_key", gate.provenance().alias("provenance")]
+    columns = ["doc_id", "raw_hash", "status", "body", "body_hash", body_size(F.col("body"), config.unit).alias("body_size"), F.when(F.col("status") == "needs_hook", F.col("_static")).alias("static_failure"), F.when(F.col("status") == "needs_hook", F.col("_round")).alias("roundtrip_failure"), "filling_hash", "freeze_key", gate.provenance().alias("provenance")]
     done = out.select(*columns)
     none = F.lit(None).cast("string")
-    return done.unionByName(ready.where(small).select("doc_id", "raw_hash", F.lit("too_small").alias("status"), none.alias("body"), none.alias("body_hash"), F.col("_size").alias("body_size"), none.alias("static_failure"), none.alias("roundtrip_failure"), "freeze_key", gate.provenance().alias("provenance")))
+    return done.unionByName(ready.where(small).select("doc_id", "raw_hash", F.lit("too_small").alias("status"), none.alias("body"), none.alias("body_hash"), F.col("_size").alias("body_size"), none.alias("static_failure"), none.alias("roundtrip_failure"), "filling_hash", "freeze_key", gate.provenance().alias("provenance")))
 
 
-def _verdict(bodies: DataFrame, config: Config) -> DataFrame:
-    """(doc_id, _static, _round): the first failure of either part of the gate."""
-    checks = gate.static_checks(bodies, config).unionByName(gate.roundtrip_checks(bodies, segment(bodies)))
-    first = lambda early: F.min(F.when(~F.col("passed") & ((F.col("ord") < 7) if early else (F.col("ord") >= 7)), F.struct("ord", "code")))
-    return checks.groupBy("doc_id").agg(first(True).alias("_s"), first(False).alias("_r")).select("doc_id", F.col("_s.code").alias("_static"), F.col("_r.code").alias("_round"))
+def _verdict(docs: DataFrame, lines: DataFrame, config: Config) -> DataFrame:
+    """docs with body and the first failure of either part of the gate (_static, _round)."""
+    checked = gate.own_checks(docs, lines, config)
+    first = lambda early: F.filter("checks", lambda c: ~c["passed"] & ((c["ord"] < 7) if early else (c["ord"] >= 7)))
+    code = lambda failed: F.when(F.size(failed) > 0, failed[0]["code"])
+    return checked.withColumn("_static", bind(first(True), code)).withColumn("_round", bind(first(False), code)).drop("checks")
 
 
 def anchor(to_body: Callable[[str], str]) -> Callable[[DataFrame], DataFrame]:

@@ -14,9 +14,10 @@ def by_doc():
     return Window.partitionBy("doc_id").orderBy("line_no")
 
 
-def explode_lines(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """(doc_id, line_no, line) of each text, empty lines included. A null text has no lines."""
-    return df.select("doc_id", F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("line_no", "line")).repartition("doc_id")
+def explode_lines(df: DataFrame, text_col: str = "text", *carry: str) -> DataFrame:
+    """(doc_id, line_no, line) of each text, empty lines included, with the columns to carry. A null text has no lines. Ids
+    are unique and not null: lines of texts with one id can't be told apart."""
+    return df.select("doc_id", *carry, F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("line_no", "line")).repartition("doc_id")
 
 
 def with_offsets(lines: DataFrame) -> DataFrame:

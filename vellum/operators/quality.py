@@ -22,6 +22,7 @@ PENALTIES = {
     "many_references": 0.12,
 }
 OK, BAD = 0.78, 0.45
+STATUSES = ("ok", "suspect", "bad")
 
 LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
 SENTENCE_END = rf"[.!?](?:{WS}|$(?!\n))"
@@ -34,14 +35,14 @@ ODD = r"[^\p{L}\p{N}_\s\x1c-\x1f\x85\p{Z}.,;:!?()\[\]{}'\"/\\\-–—%$€£@#&*
 
 
 def repeated_text_score(text: Column) -> Column:
-    """The share of 5-word grams that repeat an earlier one; 0 for under 80 words."""
+    """The share of 5-word grams, as 64-bit hashes, that repeat an earlier one; 0 for under 80 words."""
     words = F.regexp_extract_all(F.lower(text), F.lit(f"{WORD}+"), F.lit(0))
 
     def share(g: Column) -> Column:
         return (F.size(g) - F.size(F.array_distinct(g))) / F.size(g)
 
     def score(w: Column) -> Column:
-        grams = F.transform(F.sequence(F.lit(1), F.size(w) - 4), lambda i: F.array_join(F.slice(w, i, 5), " "))
+        grams = F.transform(F.sequence(F.lit(0), F.size(w) - 5), lambda i: F.xxhash64(*[w[i + k] for k in range(5)]))
         return F.when(F.size(w) < 80, 0.0).otherwise(bind(grams, share))
 
     return bind(words, score)
@@ -90,12 +91,13 @@ def records(chunks: DataFrame) -> DataFrame:
 
 
 def report(records: DataFrame) -> DataFrame:
-    """One row: total_chunks, status_counts, flag_counts (a flag that stands twice counts twice), avg_score, min_score, max_score."""
-    score = F.col("quality.score")
-    totals = records.agg(F.count("*").alias("total_chunks"), half_even(F.avg(score), 4).alias("avg_score"), F.min(score).alias("min_score"), F.max(score).alias("max_score"))
-    as_map = lambda name: F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "n")))).alias(name)
-    status = records.groupBy(F.col("quality.status").alias("k")).agg(F.count("*").alias("n")).agg(as_map("status_counts"))
-    flags = records.select(F.explode("quality.flags").alias("k")).groupBy("k").agg(F.count("*").alias("n")).agg(as_map("flag_counts"))
-    return totals.crossJoin(status).crossJoin(flags).select("total_chunks", "status_counts", "flag_counts", "avg_score", "min_score", "max_score", F.current_timestamp().alias("created_at"))
-
-
+    """One row: total_chunks, status_counts, flag_counts (a flag that stands twice counts twice), avg_score, min_score, max_score.
+    Statuses and flags are known, so each is a sum, and all come from one aggregate over one scan."""
+    score, flags = F.col("quality.score"), F.col("quality.flags")
+    status = {k: F.sum((F.col("quality.status") == k).cast("bigint")) for k in sorted(STATUSES)}
+    times = lambda k: F.size(F.filter(flags, lambda f: f == k))
+    flag = {k: F.sum(times(k).cast("bigint")) for k in sorted(PENALTIES)}
+    sums = [c.alias(f"_{k}") for k, c in (status | flag).items()]
+    totals = records.agg(F.count("*").alias("total_chunks"), half_even(F.avg(score), 4).alias("avg_score"), F.min(score).alias("min_score"), F.max(score).alias("max_score"), *sums)
+    as_map = lambda names: F.map_from_entries(F.filter(F.array(*[F.struct(F.lit(k).alias("key"), F.col(f"_{k}").alias("value")) for k in names]), lambda e: e["value"] > 0))
+    return totals.select("total_chunks", as_map(status).alias("status_counts"), as_map(flag).alias("flag_counts"), "avg_score", "min_score", "max_score", F.current_timestamp().alias("created_at"))
