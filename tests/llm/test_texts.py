@@ -384,7 +384,8 @@ def passages(texts, min_words=40, similarity=0.8):
             places.setdefault(tuple(w[p : p + 5].tolist()), []).append((i, p))
     found = [(a[0], b[0], a[1], b[1]) for at in places.values() for b in at for a in at if a[0] > b[0]]
     out = set()
-    for t, u, pos, upos in chaining.pair_chains(*(np.array(x) for x in zip(*found, strict=True))) if found else ():
+    columns = [np.array(x) for x in zip(*found, strict=True)] + [np.full(len(found), 5), np.zeros(len(found), np.int64)]
+    for t, u, pos, upos in chaining.pair_chains(*columns, min_words) if found else ():
         a, b = words[t].astype(np.uint32).tolist(), words[u].astype(np.uint32).tolist()
         out |= {(t, p[0], p[1], u, p[2], p[3], p[4]) for p in chaining.aligned(a, b, pos.tolist(), upos.tolist(), min_words, similarity)}
     return out
@@ -436,11 +437,35 @@ def test_long_words_and_pieces(monkeypatch):
     assert list(zip(text.tolist(), pos.tolist())) == [(i, p) for i, x in enumerate(want) for p in range(len(x) - 4)] and len(set(h.tolist())) == len(h)
 
 
+def test_runs_of_seeds():
+    """Grams of any width on one diagonal are one run, if their seeds follow each other; links need half of min_words."""
+    chained = lambda *rows: [(t, u, a.tolist(), b.tolist()) for t, u, a, b in chaining.pair_chains(*(np.array(x) for x in zip(*rows)), 40)]
+    assert chained((2, 1, 0, 3, 10, 0), (2, 1, 6, 9, 5, 0), (3, 1, 0, 0, 5, 0)) == [(2, 1, [0, 6], [3, 9])]
+    assert chained((2, 1, 0, 3, 40, 1)) == [(2, 1, [0, 35], [3, 38])] and chained((2, 1, 0, 3, 19, 1)) == []
+    assert chained((2, 1, 0, 3, 12, 1), (2, 1, 14, 17, 10, 1)) == [(2, 1, [0, 5, 14, 19], [3, 8, 17, 22])]
+    assert chained((2, 1, 0, 3, 5, 0), (2, 1, 14, 17, 5, 0)) == [(2, 1, [0, 14], [3, 17])]
+
+
+@pytest.mark.parametrize("copies", [3, 40])
+def test_passage_of_least_length(spark, copies):
+    """A passage of just 40 words, rare or frequent, links all texts that hold it."""
+    rng = random.Random(copies)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    passage = fresh(40)
+    rows = [(i, " ".join(fresh(9) + passage + fresh(9))) for i in range(copies)] + [(100 + i, " ".join(fresh(20) + passage[:39] + fresh(20))) for i in range(copies)]
+    out = chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.matched for r in out} == {40} and {(r["first"], r["last"], r.other_first, r.other_last) for r in out} == {(9, 49, 9, 49)}
+    linked = {0}
+    for _ in range(copies):
+        linked |= {x for r in out for x in (r.doc_id, r.other_id) if {r.doc_id, r.other_id} & linked}
+    assert linked == set(range(copies))
+
+
 def test_packed_blocks():
     t, pos, key = np.array([5, 5, 5, -3, 9]), np.array([0, 7, 300, 2, 70000]), np.array([1, 2**40 - 1, 3, 0, 9], np.uint64)
     assert [x.tolist() for x in chaining.unpack_places(chaining.pack_places(t, pos, key))] == [t.tolist(), pos.tolist(), key.tolist()]
     u, upos = np.array([1, 1, 2, -9, 4]), np.array([3, 1, 500, 0, 7])
-    assert [x.tolist() for x in chaining.unpack_matches(chaining.pack_matches(t, u, pos, upos))] == [x.tolist() for x in (t, u, pos, upos)]
+    assert [x.tolist() for x in chaining.unpack_matches(chaining.pack_matches(t, u, pos, upos, 10, True))] == [x.tolist() for x in (t, u, pos, upos)] + [[10] * 5, [1] * 5]
     assert [x.tolist() for x in chaining.unpack(chaining.pack(np.zeros(0, np.uint64), np.array([0, 0])))] == [[], [0, 0]]
 
 

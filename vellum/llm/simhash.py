@@ -26,6 +26,9 @@ from . import common as C
 from .components import components, join_least
 
 SPREAD = 16
+LEAST_BITS, MOST_BITS = 512, 1 << 18
+#: Rows of a tile of near copies, some 200 bytes each.
+TILE = 250_000
 SEED = 42
 _BYTES = np.uint64(0x0101010101010101)
 PART = 1 << 16
@@ -153,34 +156,52 @@ def _near(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> Iterator[tup
             yield i, j
 
 
-class _Forest:
-    def __init__(self, n: int) -> None:
-        self.label, self.edges = np.arange(n), []
+class _Union:
+    """Groups of rows: union() gives the pairs that joined two."""
 
-    def union(self, i: np.ndarray, j: np.ndarray) -> None:
-        while len(i := i[live := self.label[i] != self.label[j]]):
-            j = j[live]
-            a, b = int(i[0]), int(j[0])
-            self.edges.append((a, b))
-            self.label[self.label == self.label[a]] = self.label[b]
+    def __init__(self, n: int) -> None:
+        self.up = np.arange(n)
+
+    def union(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        joined: list[int] = []
+        for lo in range(0, len(i), 4096):
+            while not np.array_equal(flat := self.up[self.up], self.up):
+                self.up = flat
+            apart = lo + np.flatnonzero(flat[i[lo : lo + 4096]] != flat[j[lo : lo + 4096]])
+            up = self.up
+            for k, a, b in zip(apart.tolist(), i[apart].tolist(), j[apart].tolist(), strict=True):
+                while up[a] != a:
+                    a = up[a]
+                while up[b] != b:
+                    b = up[b]
+                if a != b:
+                    up[max(a, b)] = min(a, b)
+                    joined.append(k)
+        return np.array(joined, np.int64)
 
 
 @C.lean
 def _linked(batches: Iterator[pa.RecordBatch], radius: int, words: int) -> Iterator[pa.RecordBatch]:
-    """Rows of one tile's task, its own first, then the others': a forest over all that are linked through it."""
+    """Rows of one tile's task, its own first, then the others': a forest over all that are linked through it. Links are
+    joined as they are found; what is held is the tile, a batch of others, and the forest."""
     own: list[np.ndarray] = []
-    mine, forest = None, None
+    mine, groups = None, None
 
     def edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
         return C.batch_of({f"a{w}": C.signed(a[:, w]) for w in range(words)} | {f"b{w}": C.signed(b[:, w]) for w in range(words)})
 
-    def settle() -> None:
-        nonlocal mine, forest
+    def joined(i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Rows of the tile."""
+        if len(k := groups.union(i, j)):
+            yield edges(mine[i[k]], mine[j[k]])
+
+    def settle() -> Iterator[pa.RecordBatch]:
+        nonlocal mine, groups
         if mine is None:
             mine = np.concatenate(own)
-            forest = _Forest(len(mine))
+            groups = _Union(len(mine))
             for i, j in _near(mine, mine, radius, True):
-                forest.union(i, j)
+                yield from joined(i, j)
 
     for batch in batches:
         guest = batch.column("guest").to_numpy()
@@ -188,30 +209,25 @@ def _linked(batches: Iterator[pa.RecordBatch], radius: int, words: int) -> Itera
         if (guest == 0).any():
             own.append(rows[guest == 0])
         if (others := rows[guest == 1]).size:
-            settle()
+            yield from settle()
             for lo in range(0, len(others), 4096):
                 part = others[lo : lo + 4096]
-                found = [*_near(mine, part, radius, False)]
-                if found:
-                    i, j = (np.concatenate(x) for x in zip(*found, strict=True))
-                    order = np.argsort(j, kind="stable")
-                    i, j = i[order], j[order]
-                    first = np.append(True, j[1:] != j[:-1])
-                    hook = i[first][np.cumsum(first) - 1]  # all rows that one guest links are linked
-                    yield edges(mine[i[first]], part[j[first]])
-                    forest.union(i, hook)
+                hook = np.full(len(part), -1)  # the first row of the tile that each is linked to
+                for i, j in _near(mine, part, radius, False):
+                    fresh = np.flatnonzero(hook[j] < 0)
+                    at, where = np.unique(j[fresh], return_index=True)
+                    hook[at] = i[fresh[where]]
+                    if len(at):
+                        yield edges(mine[hook[at]], part[at])
+                    yield from joined(i, hook[j])  # all rows that one guest links are linked
     if own:
-        settle()
-        if forest.edges:
-            a, b = np.array(forest.edges).T
-            yield edges(mine[a], mine[b])
+        yield from settle()
 
 
-def _dealt(prints: DataFrame, names: list[str], carry: list[str], radius: int) -> DataFrame:
-    """(task, guest, f0, ..., carried columns): the rows that each tile's task needs, its own first."""
-    words = len(names)
+def _dealt(prints: DataFrame, names: list[str], radius: int) -> DataFrame:
+    """(task, guest, f0, ...): the rows that each tile's task needs, its own first."""
     count = sum((F.bit_count(c) for c in names[1:]), F.bit_count(names[0])).cast("int")
-    distinct = prints.select(*names, *carry, count.alias("pop"))
+    distinct = prints.select(*names, count.alias("pop"))
     histogram = {r["pop"]: r["count"] for r in distinct.groupBy("pop").count().collect()}  # 64 * words + 1 rows at most
     tiles = _tiles(histogram, max(256, int(SPREAD * sum(histogram.values()) ** 0.5)))
     sent = _sent(tiles, radius)
@@ -221,7 +237,7 @@ def _dealt(prints: DataFrame, names: list[str], carry: list[str], radius: int) -
     @C.lean
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [batch.column(c).to_numpy() for c in [*names, *carry]]
+            rows = [batch.column(c).to_numpy() for c in names]
             pops = batch.column("pop").to_numpy()
             tile = np.array([first[p] for p in pops.tolist()], np.int64)
             parts = np.array([t[3] for t in tiles], np.int64)[tile]
@@ -232,9 +248,9 @@ def _dealt(prints: DataFrame, names: list[str], carry: list[str], radius: int) -
                 for lo in range(0, len(at), max(1, 200_000 // len(to))):
                     i = np.tile(at[lo : lo + max(1, 200_000 // len(to))], len(to))
                     task = np.repeat(to, len(i) // len(to))
-                    yield C.batch_of({"task": task, "guest": (task != t).astype(np.int8)} | {c: r[i] for c, r in zip([*names, *carry], rows, strict=True)})
+                    yield C.batch_of({"task": task, "guest": (task != t).astype(np.int8)} | {c: r[i] for c, r in zip(names, rows, strict=True)})
 
-    longs = ", ".join(f"{c} long" for c in [*names, *carry])
+    longs = ", ".join(f"{c} long" for c in names)
     return distinct.mapInArrow(deal, f"task int, guest byte, {longs}").repartitionById(n, F.col("task")).sortWithinPartitions("task", "guest")
 
 
@@ -242,40 +258,157 @@ def links(prints: DataFrame, radius: int, words: int = 1) -> DataFrame:
     """(a, b): hexadecimal fingerprints of distinct rows (f0, ...) of prints, a forest that connects just those
     that links within the radius connect."""
     names = [f"f{w}" for w in range(words)]
-    dealt = _dealt(prints, names, [], radius)
+    dealt = _dealt(prints, names, radius)
     ends = [f"{s}{w}" for s in "ab" for w in range(words)]
     found = dealt.mapInArrow(lambda b: _linked(b, radius, words), ", ".join(f"{c} long" for c in ends))
     return found.select(_hex(ends[:words]).alias("a"), _hex(ends[words:]).alias("b"))
 
 
+# --- near copies at a similarity: fingerprints choose pairs, bitmaps of the shingles reject most that fall short
+
+
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """A set of shingles as 64-bit words: a bit for each value of its hash's low bits, LEAST_BITS at least and some four
+    a shingle, up to MOST_BITS. A bit that one set has and another lacks is a shingle that the other lacks."""
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << int(4 * len(shingles)).bit_length()))
+    out = np.zeros(bits, np.uint8)
+    out[(C.mix(shingles) & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(out, bitorder="little").view(np.uint64)
+
+
 @C.lean
-def _crossing(batches: Iterator[pa.RecordBatch], radius: int, words: int) -> Iterator[pa.RecordBatch]:
-    """Of one tile's task: (a, b) for every pair of texts within the radius whose groups differ."""
-    own: list[tuple[np.ndarray, ...]] = []
-    mine: tuple[np.ndarray, ...] | None = None
+def _sketches(batches: Iterator[pa.RecordBatch], size: int, words: int) -> Iterator[pa.RecordBatch]:
+    """(t, f0, ..., n, bits) of each text that the task has not seen yet: fingerprint, shingles in its set, bitmap."""
+    seen: set[int] = set()
+    for block in C.blocks(batches, limit=4 * C.BLOCK):
+        fresh = []
+        for i, t in enumerate(block.column("t").to_pylist()):
+            if t not in seen:
+                fresh.append(i)
+                if len(seen) < 1_000_000:
+                    seen.add(t)
+        if not fresh:
+            continue
+        block = block.take(pa.array(fresh, pa.int32()))
+        texts = [(x or "").encode() for x in block.column("text").to_pylist()]
+        prints = fingerprints_of(texts, size, words)
+        sets = [np.unique(np.concatenate([np.zeros(0, np.uint64), *_shingles(x, size)])) for x in texts]
+        yield C.batch_of({"t": block.column("t")} | {f"f{w}": C.signed(prints[:, w]) for w in range(words)} | {"n": np.array([len(x) for x in sets], np.int32), "bits": pa.array([bitmap(x).tobytes() for x in sets], pa.binary())})
+
+
+class _Side:
+    """Rows of one tile: fingerprints, sizes, and bitmaps by their length, each also folded to half of it."""
+
+    def __init__(self, rows: pa.Table, words: int) -> None:
+        self.t, self.c, self.n = (rows.column(x).to_numpy() for x in ("t", "c", "n"))
+        self.prints = np.stack([rows.column(f"f{w}").to_numpy().view(np.uint64) for w in range(words)], axis=1)
+        bits = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("bits")]
+        self.size = np.array([len(x) for x in bits], np.int64)
+        self.at = np.zeros((len(bits), 2), np.int64)
+        self.maps: dict[int, np.ndarray] = {}
+        for s in np.unique(self.size).tolist():
+            rows_at = np.flatnonzero(self.size == s)
+            whole = np.stack([bits[i] for i in rows_at])
+            for k, m in ((0, whole), (1, whole[:, : s // 2] | whole[:, s // 2 :])):
+                if m.shape[1]:
+                    before = self.maps.get(m.shape[1], np.zeros((0, m.shape[1]), np.uint64))
+                    self.at[rows_at, k] = len(before) + np.arange(len(rows_at))
+                    self.maps[m.shape[1]] = np.concatenate([before, m])
+
+    def bitmaps(self, i: np.ndarray, size: int) -> np.ndarray:
+        return self.maps[size][self.at[i, (self.size[i] != size).astype(np.int64)]]
+
+
+def _possible(a: _Side, i: np.ndarray, b: _Side, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether the Jaccard similarity of each pair may reach that, by sizes and bitmaps: never false where it does."""
+    n, m = a.n[i].astype(np.int64), b.n[j].astype(np.int64)
+    good = np.minimum(n, m) >= similarity * np.maximum(n, m)
+    least = np.minimum(a.size[i], b.size[j])
+    good &= np.maximum(a.size[i], b.size[j]) <= 2 * least
+    for s in np.unique(least[good]).tolist():
+        at = np.flatnonzero(good & (least == s))
+        step = max(1, (1 << 21) // s)
+        for k in (at[lo : lo + step] for lo in range(0, len(at), step)):
+            x, y = a.bitmaps(i[k], s), b.bitmaps(j[k], s)
+            only = [np.bitwise_count(p & ~q).sum(axis=1, dtype=np.int64) for p, q in ((x, y), (y, x))]
+            both = np.minimum(n[k] - only[0], m[k] - only[1])
+            good[k] = both >= similarity * (n[k] + m[k] - both) - 1e-9
+    return good
 
-    def pairs(rows: tuple[np.ndarray, ...], same: bool) -> Iterator[pa.RecordBatch]:
-        for i, j in _near(mine[0], rows[0], radius, same):
-            cross = mine[2][i] != rows[2][j]
-            if cross.any():
-                yield C.batch_of({"a": mine[1][i[cross]], "b": rows[1][j[cross]]})
 
-    def settle() -> Iterator[pa.RecordBatch]:
-        nonlocal mine
-        if mine is None:
-            mine = tuple(np.concatenate(x) for x in zip(*own, strict=True))
-            yield from pairs(mine, True)
+@C.lean
+def _candidates(batches: Iterator[pa.RecordBatch], radius: int, words: int, similarity: float, forest: bool) -> Iterator[pa.RecordBatch]:
+    """Tasks of a tile's rows (guest 0) and those of the tile that it meets (guest 1; none: the tile with itself), in order:
+    (a, b) for pairs of texts within the radius that may reach the similarity and whose groups c differ. As a forest: only
+    pairs that join what no earlier pair of the task joins."""
+    held: list[pa.RecordBatch] = []
+    now = None
+
+    def solve() -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held)
+        guest = rows.column("guest").to_numpy() == 1
+        a = _Side(rows.filter(pa.array(~guest)), words)
+        b = _Side(rows.filter(pa.array(guest)), words) if guest.any() else a
+        if not len(a.t):
+            return
+        groups = _Union(len(a.t) + (len(b.t) if b is not a else 0))
+        shift = len(a.t) if b is not a else 0
+        for i, j in _near(a.prints, b.prints, radius, b is a):
+            apart = a.c[i] != b.c[j]
+            i, j = i[apart], j[apart]
+            keep = _possible(a, i, b, j, similarity)
+            i, j = i[keep], j[keep]
+            if forest:
+                first = groups.union(i, j + shift)
+                i, j = i[first], j[first]
+            if len(i):
+                yield C.batch_of({"a": a.t[i], "b": b.t[j]})
 
     for batch in batches:
-        guest = batch.column("guest").to_numpy()
-        rows = (np.stack([batch.column(f"f{w}").to_numpy().view(np.uint64) for w in range(words)], axis=1), batch.column("t").to_numpy(), batch.column("c").to_numpy())
-        if (guest == 0).any():
-            own.append(tuple(x[guest == 0] for x in rows))
-        if (guest == 1).any():
-            yield from settle()
-            yield from pairs(tuple(x[guest == 1] for x in rows), False)
-    if own:
-        yield from settle()
+        tasks = batch.column("task").to_numpy()
+        cuts = np.append(np.flatnonzero(np.append(True, tasks[1:] != tasks[:-1])), len(tasks))[: len(tasks) + 1]
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            if tasks[lo] != now and held:
+                yield from solve()
+                held = []
+            now = tasks[lo]
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield from solve()
+
+
+def _tile_pairs(rows: DataFrame, words: int, radius: int) -> DataFrame:
+    """(task, guest, t, c, f0, ..., n, bits): tiles by population count, a task for each two tiles within the radius. The
+    number of tiles is the least that gives every core tasks and keeps a tile under TILE rows, as each row goes to as many."""
+    spark = rows.sparkSession
+    names = [f"f{w}" for w in range(words)]
+    count = sum((F.bit_count(c) for c in names[1:]), F.bit_count(names[0])).cast("int")
+    rows = rows.withColumn("pop", count)
+    histogram = {r["pop"]: r["count"] for r in rows.groupBy("pop").count().collect()}  # 64 * words + 1 rows at most
+    total = sum(histogram.values())
+    wanted = max(1, int((2 * C.partitions(spark)) ** 0.5), -(-total // TILE))
+    tiles = _tiles(histogram, max(64, -(-total // wanted)))
+    tasks = [(a, b) for a in range(len(tiles)) for b in range(a, len(tiles)) if tiles[b][0] - tiles[a][1] <= radius]
+    plan = [(tile, task, guest) for task, (a, b) in enumerate(tasks) for tile, guest in ((a, 0), (b, 1))[: 1 if a == b else 2]]
+    sent: dict[int, list[tuple[int, int]]] = {}
+    for tile, task, guest in plan:
+        sent.setdefault(tile, []).append((task, guest))
+    first = F.lit(0)
+    parts = F.lit(1)
+    for k, (lo, hi, part, n) in enumerate(tiles):
+        if part == 0:
+            first, parts = F.when(F.col("pop").between(lo, hi), k).otherwise(first), F.when(F.col("pop").between(lo, hi), n).otherwise(parts)
+    schema = "tile int, sent array<struct<task: int, guest: int>>"
+    lists = spark.createDataFrame([(k, v) for k, v in sorted(sent.items())], schema)  # as many rows as tiles
+    dealt = rows.withColumn("tile", (first + F.pmod(F.xxhash64("t"), parts)).cast("int")).join(F.broadcast(lists), "tile")
+    dealt = dealt.select(F.explode("sent").alias("s"), "t", "c", *names, "n", "bits").select("s.task", F.col("s.guest").cast("byte").alias("guest"), "t", "c", *names, "n", "bits")
+    n = max(1, min(len(tasks), 20_000))
+    return dealt.repartitionById(n, F.col("task") % n).sortWithinPartitions("task")
+
+
+def candidates(rows: DataFrame, words: int, radius: int, similarity: float, forest: bool) -> DataFrame:
+    """Pairs (a, b) of rows (t, c, f0, ..., n, bits), as in _candidates."""
+    return _tile_pairs(rows, words, radius).mapInArrow(lambda b: _candidates(b, radius, words, similarity, forest), "a long, b long").distinct()
 
 
 def alike(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -321,30 +454,30 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, radius: int = 60, words: int = 4, similarity: float = 0.8) -> DataFrame:
     """The rows of df without near copies: of each group the row with the smallest id stays, and of repeated rows
-    one. Texts are linked if their sets of 5-word shingles have a Jaccard similarity of at least 0.8; fingerprints only
-    say which pairs are compared. By default these have 256 bits: at 0.8 texts differ in 39 bits on average (standard
-    deviation 6), unrelated ones in 128. The nearest links are verified first, as forests; then every pair within the
-    radius whose groups still differ. Null ids count as the smallest."""
+    one. Texts are linked if their sets of 5-word shingles have a Jaccard similarity of at least 0.8, which is verified for
+    every link; groups are components of links. Fingerprints only say which pairs are looked at. By default these have 256
+    bits: at 0.8 texts differ in 39 bits on average (standard deviation 6), unrelated ones in 128. Of the pairs within the
+    radius, those that sizes and bitmaps can't reject are verified in two rounds: first a forest of them, then, without
+    a limit, every one whose groups still differ. Null ids count as the smallest, null texts as empty."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     digest = F.xxhash64(F.col(f"`{id_col}`").isNull(), F.col(f"`{text_col}`").cast("string"))
     key = {"k1": F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), "k2": digest}
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    named = F.struct(F.col(f"`{id_col}`").alias("id"), *[v.alias(k) for k, v in key.items()])
+    least = C.cut(df.select(F.xxhash64(text).alias("t"), named.alias("id")).groupBy("t").agg(F.min("id").alias("least")), "texts")
     texts = df.select(F.xxhash64(text).alias("t"), text.alias("text"))
-    keyed = df.select(F.struct(F.col(f"`{id_col}`").alias("id"), *[v.alias(k) for k, v in key.items()], F.xxhash64(text).alias("t")).alias("id"), text.alias("text"))
     names = [f"f{w}" for w in range(words)]
-    prints = C.cut(fingerprints(keyed, "id", "text", size, words), "prints")
-    nodes = C.cut(prints.groupBy(F.col("id.t").alias("t"), *names).agg(F.min("id").alias("least")), "nodes")
-    one = C.cut(nodes.groupBy(*names).agg(F.min("t").alias("t")), "distinct")
-    equal = nodes.select("t", *names).join(one.withColumnRenamed("t", "b"), names).where("t != b").select(F.col("t").alias("a"), "b")
-    named = one.select(_hex(names).alias("f"), "t")
-    near = links(one, radius // 3, words)
-    near = near.join(named.select(F.col("f").alias("a"), F.col("t").alias("ta")), "a").join(named.select(F.col("f").alias("b"), F.col("t").alias("tb")), "b")
-    sure = alike(C.cut(equal.unionByName(near.select(F.col("ta").alias("a"), F.col("tb").alias("b"))), "nearest"), texts, size, similarity)
-    roots = components(sure)
-    grouped = nodes.join(roots, F.col("t") == F.col("node"), "left").select(*names, "t", F.coalesce("root", "t").alias("c"))
-    crossing = _dealt(C.cut(grouped, "grouped"), names, ["t", "c"], radius).mapInArrow(lambda b: _crossing(b, radius, words), "a long, b long")
-    more = alike(C.cut(crossing, "crossing"), texts, size, similarity)
-    roots = components(sure.unionByName(more))
-    member = C.cut(nodes.select("t", "least").join(roots.withColumnRenamed("node", "t"), "t", "left").select(F.coalesce("root", "t").alias("root"), "least"), "members")
+    longs = ", ".join(f"{c} long" for c in names)
+    each = texts.mapInArrow(lambda b: _sketches(b, size, words), f"t long, {longs}, n int, bits binary")
+    rows = C.cut(each.dropDuplicates(["t"]), "sketches")
+    sure = alike(C.cut(candidates(rows.withColumn("c", F.col("t")), words, radius, similarity, True), "nearest"), texts, size, similarity)
+    roots = C.cut(components(sure), "roots")
+    grouped = C.cut(rows.join(roots, F.col("t") == F.col("node"), "left").select("t", F.coalesce("root", "t").alias("c"), *names, "n", "bits"), "grouped")
+    more = alike(C.cut(candidates(grouped, words, radius, similarity, False), "crossing"), texts, size, similarity)
+    merged = more.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
+    merged = merged.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).distinct()  # links between groups, not texts
+    final = components(merged).withColumnRenamed("node", "group").withColumnRenamed("root", "top")
+    member = roots.select(F.col("node").alias("t"), F.col("root").alias("group"))
+    member = least.join(member, "t", "left").withColumn("group", F.coalesce("group", "t")).join(final, "group", "left").select(F.coalesce("top", "group").alias("root"), "least")
     kept = member.groupBy("root").agg(F.min("least").alias("m")).select("m.k1", "m.k2")
     once = df.select(*[v.alias(k) for k, v in key.items()], F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")).groupBy("k1", "k2").agg(F.first("row").alias("row"))
     return once.join(kept, ["k1", "k2"], "left_semi").select("row.*")
