@@ -444,6 +444,15 @@ def test_runs_of_seeds():
     assert chained((2, 1, 0, 3, 40, 1)) == [(2, 1, [0, 35], [3, 38])] and chained((2, 1, 0, 3, 19, 1)) == []
     assert chained((2, 1, 0, 3, 12, 1), (2, 1, 14, 17, 10, 1)) == [(2, 1, [0, 5, 14, 19], [3, 8, 17, 22])]
     assert chained((2, 1, 0, 3, 5, 0), (2, 1, 14, 17, 5, 0)) == [(2, 1, [0, 14], [3, 17])]
+    assert chained((2, 1, 0, 3, 9, 0)) == [] and chained((2, 1, 0, 3, 10, 0)) == [(2, 1, [0, 5], [3, 8])]
+    shifted = [(2, 1, p, q, 5, 0) for p in range(0, 60) for q in range(0, 40)]
+    assert [(a[0], b[0]) for _, _, a, b in chaining.pair_chains(*(np.array(x) for x in zip(*shifted)), 40)] == [(0, 0), (45, 0)]  # the rest lies in the first
+
+
+def test_repeated_words_are_one_passage(spark):
+    texts = [f"{prose(30)} {'no ' * n}{prose(30)}" for n in (100, 80, 60)]
+    out = chaining.repeated_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {frozenset((r.doc_id, r.other_id)) for r in out} == {frozenset(x) for x in ((0, 1), (0, 2), (1, 2))} and len(out) <= 6 and min(r.matched for r in out) >= 40
 
 
 @pytest.mark.parametrize("copies", [3, 40])
