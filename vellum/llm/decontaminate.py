@@ -6,11 +6,12 @@ k is at most (m - Q) // Q, so that the bound below is positive). Such a match sh
 m - Q + 1 - k * Q q-grams with the item, on diagonals that differ by at most k. So the text's q-grams are looked
 up among the items' (a bit table first, then a sorted list), hits are counted by item and band of diagonals,
 each band overlapping the next by half, and bands that reach the bound are verified by banded alignment,
-which gives the least number of edits.
+which gives the least number of edits. Hits are counted in slices of HITS along the text, and a band is settled as soon as
+the text has passed it, so common q-grams take time but no memory.
 
 The items are collected in parts of at most PART_BYTES, each with its own pass over the texts, so that no task
-holds more than one part. Nulls: a null text is empty, a null item matches nothing, nor does one of under Q
-bytes. Ids may be null or repeated; each row of either table is its own. No rows, no rows. Columns of the
+holds more than one part. An item of under Q normalised bytes is found where its words stand as they are, whole words only.
+Nulls: a null text is empty; a null item matches nothing, nor does one without letters and digits. Ids may be null or repeated; each row of either table is its own. No rows, no rows. Columns of the
 input are carried in a struct, so names can't clash. Long texts go in pieces whose normal forms overlap by two items.
 """
 
@@ -28,6 +29,7 @@ from . import common as C
 
 Q, RATE = 8, 0.1
 PART_BYTES = 4 << 20
+HITS = 1 << 21
 _READ = np.full(256, 32, np.uint8)
 _READ[48:58] = np.arange(48, 58)
 _READ[97:123] = np.arange(97, 123)
@@ -83,6 +85,13 @@ class Items:
         data, off = normal(data, off)
         self.texts = [data[a:b].tobytes().strip() for a, b in zip(off[:-1], off[1:], strict=True)]
         m = np.array([len(t) for t in self.texts], np.int64)
+        self.size = m
+        by_width: dict[int, dict[int, list[int]]] = {}
+        for i, t in enumerate(self.texts):
+            if 0 < len(t) < Q:
+                h = C.rolling_hash(C.prefix_hash(np.frombuffer(b" " + t + b"  ", np.uint8)), len(t) + 2)
+                by_width.setdefault(len(t) + 2, {}).setdefault(int(h[0]), []).append(i)
+        self.short = {w: (np.array(sorted(found), np.uint64), [found[h] for h in sorted(found)]) for w, found in by_width.items()}
         self.edits = np.maximum(0, np.minimum((rate * m).astype(np.int64), (m - Q) // Q))
         self.bound = m - Q + 1 - self.edits * Q
         self.band = self.edits + 1
@@ -106,9 +115,22 @@ class Items:
     def _slot(self, codes: np.ndarray) -> np.ndarray:
         return (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)
 
+    def _bands(self, at: np.ndarray, found: np.ndarray, off: np.ndarray, wide: int, solved: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Keys (text, item, band) of the hits of some places, with their counts."""
+        times = self.count[found]
+        hit = np.repeat(np.arange(len(at)), times)
+        entry = self.first[found][hit] + np.arange(len(hit)) - np.repeat(np.cumsum(times) - times, times)
+        if solved is not None:
+            left = ~solved[self.owner[entry]]
+            hit, entry = hit[left], entry[left]
+        item = self.owner[entry]
+        text = (np.searchsorted(off, at, "right") - 1)[hit]
+        band = (at[hit] - self.place[entry] + self.longest) // self.band[item]
+        return np.unique((text * len(self.texts) + item) * np.int64(wide) + band, return_counts=True)
+
     def find(self, data: np.ndarray, off: np.ndarray) -> dict[tuple[int, int], int]:
         """(text, item) -> least edits, over texts in normal form that lie end to end."""
-        out: dict[tuple[int, int], int] = {}
+        out = self._short(data, off)
         if len(data) < Q or not len(self.codes):
             return out
         codes = _codes(data)
@@ -118,33 +140,62 @@ class Items:
         found = np.minimum(np.searchsorted(self.codes, codes[at]), len(self.codes) - 1)
         real = self.codes[found] == codes[at]
         at, found = at[real], found[real]
-        times = self.count[found]
-        hit = np.repeat(np.arange(len(at)), times)
-        entry = self.first[found][hit] + np.arange(len(hit)) - np.repeat(np.cumsum(times) - times, times)
-        item = self.owner[entry]
-        text = (np.searchsorted(off, at, "right") - 1)[hit]
-        band = (at[hit] - self.place[entry] + self.longest) // self.band[item]
+        upto = np.cumsum(self.count[found])
         wide = len(data) + 2 * self.longest + 2
-        key = (text * len(self.texts) + item) * np.int64(wide) + band
-        order = np.argsort(key)
-        diagonal, place = (at[hit] - self.place[entry])[order], self.place[entry][order]
-        key, first, counts = np.unique(key[order], return_index=True, return_counts=True)
-        end = first + counts
-        beside = np.append(key[1:] == key[:-1] + 1, False)
-        end[beside] = end[1:][beside[:-1]]
-        owner, band = key // wide, key % wide
-        text, item = owner // len(self.texts), owner % len(self.texts)
-        for i in np.flatnonzero(end - first >= self.bound[item]):
-            t, x = int(text[i]), int(item[i])
-            k, w = int(self.edits[x]), int(self.band[x])
-            if not _reaches(diagonal[first[i] : end[i]], place[first[i] : end[i]], k, int(self.bound[x])):
-                continue
-            low = int(band[i]) * w - self.longest  # diagonals low to low + 2 w
-            lo = max(int(off[t]), low - k)
-            hi = min(int(off[t + 1]), low + 2 * w + len(self.texts[x]) + k)
-            edits = least_edits(self.texts[x], data[lo:hi], low - lo, 2 * w, k, out.get((t, x), k + 1))
-            if edits is not None:
-                out[t, x] = edits
+        solved = np.zeros(len(self.texts), bool) if len(off) == 2 else None
+        key, count, lo = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        while lo < len(at):
+            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + HITS, "right")))
+            more, times = self._bands(at[lo:hi], found[lo:hi], off, wide, solved)
+            if len(key):
+                more, which = np.unique(np.append(key, more), return_inverse=True)
+                times = np.bincount(which, np.append(count, times)).astype(np.int64)
+            key, count = more, times
+            both = count + np.append(np.where(key[1:] == key[:-1] + 1, count[1:], 0), 0)[: len(key)]
+            owner, band = key // wide, key % wide
+            item = owner % len(self.texts)
+            low = band * self.band[item] - self.longest  # diagonals low to low + 2 bands
+            past = low + 2 * self.band[item] + self.size[item] < (at[hi] if hi < len(at) else wide * 2)
+            for i in np.flatnonzero(past & (both >= self.bound[item])):
+                t, x = int(owner[i]) // len(self.texts), int(item[i])
+                if out.get((t, x)) != 0 and (edits := self._verified(data, codes, off, t, x, int(low[i]), out.get((t, x)))) is not None:
+                    out[t, x] = edits
+                    if solved is not None and not edits:
+                        solved[x] = True
+            key, count, lo = key[~past], count[~past], hi
+        return out
+
+    def _verified(self, data: np.ndarray, codes: np.ndarray, off: np.ndarray, t: int, x: int, low: int, known: int | None) -> int | None:
+        """The least edits of item x in text t on the diagonals from low to low + 2 bands, if less than known."""
+        k, w, m = int(self.edits[x]), int(self.band[x]), int(self.size[x])
+        lo, hi = max(int(off[t]), low), min(int(off[t + 1]) - Q + 1, low + 2 * w + m)
+        own = _codes(np.frombuffer(self.texts[x], np.uint8))
+        order = np.argsort(own, kind="stable")
+        some = codes[lo:hi]
+        a, b = np.searchsorted(own[order], some, "left"), np.searchsorted(own[order], some, "right")
+        hit = np.repeat(np.arange(len(some)), b - a)
+        place = order[np.arange(len(hit)) - np.repeat(np.cumsum(b - a) - (b - a), b - a) + a[hit]]
+        diagonal = hit + lo - place
+        inside = (diagonal >= low) & (diagonal < low + 2 * w)
+        if not _reaches(diagonal[inside], place[inside], k, int(self.bound[x])):
+            return None
+        lo, hi = max(int(off[t]), low - k), min(int(off[t + 1]), low + 2 * w + m + k)
+        return least_edits(self.texts[x], data[lo:hi], low - lo, 2 * w, k, k + 1 if known is None else known)
+
+    def _short(self, data: np.ndarray, off: np.ndarray) -> dict[tuple[int, int], int]:
+        """Items of under Q bytes, where a space stands at either end."""
+        out: dict[tuple[int, int], int] = {}
+        if not self.short:
+            return out
+        prefix = C.prefix_hash(data)
+        for width, (hashes, items) in self.short.items():
+            h = C.rolling_hash(prefix, width)
+            at = np.flatnonzero((data[: len(h)] == 32) & (data[width - 1 :][: len(h)] == 32))
+            found = np.minimum(np.searchsorted(hashes, h[at]), len(hashes) - 1)
+            same = hashes[found] == h[at]
+            for t, i in zip((np.searchsorted(off, at[same], "right") - 1).tolist(), found[same].tolist(), strict=True):
+                for x in items[i]:
+                    out[t, x] = 0
         return out
 
 
