@@ -2,15 +2,16 @@
 
 A text's subwords are the byte 2-, 3- and 4-grams of its lower-cased words, a space standing for each end of a
 word; each is hashed to one of 2 ** BITS embeddings. The mean embedding goes through a linear softmax. Both are
-trained together by stochastic gradient descent in numpy, on at most max_rows labelled rows (those with the
-least hashes of their ids). A fifth of these is set aside to calibrate: a temperature that minimises the log
-loss, and a threshold under which a prediction is rejected, low enough for every set-aside row that is
-predicted rightly, and 0.5 at most. As all is linear up to the softmax, scoring adds up one row of
+trained together by stochastic gradient descent in numpy, on at most max_rows labelled rows, and at most max_features
+subwords in all (the rows with the least hashes of id and text; rows equal in both count once). A fifth of these is set aside to
+calibrate: a temperature that minimises the log loss, and the confidence under which a prediction is rejected: the
+least one with the fewest mistakes on the set-aside rows, where a wrong prediction that is kept and a right one that is
+rejected count alike. As all is linear up to the softmax, scoring adds up one row of
 embeddings @ weights for each subword of the whole text.
 
 Nulls: a text that is null or has no letter is `und`, with score 0, and rejected; a null id is neither held out
 nor learnt from, and null languages are not learnt. Without a learnt language all rows are `und`. Repeated
-rows get the same prediction. Long texts are scored piece by piece.
+rows get the same prediction; of languages with equal scores the first by name is predicted. Long texts are scored piece by piece.
 """
 
 from __future__ import annotations
@@ -68,32 +69,51 @@ def _prepared(df: DataFrame, text_col: str, **more: Column) -> DataFrame:
 
 @C.lean
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text as its distinct buckets and their shares."""
+    """Each text that the task has not seen as its distinct buckets and their shares."""
+    seen: set[tuple[int, str]] = set()
     for block in C.blocks(batches):
         data, off = C.text_buffer(block.column("text"))
-        buckets, shares = [], []
-        for lo, hi in zip(off[:-1], off[1:], strict=True):
+        rows = []
+        for key, lang, lo, hi in zip(block.column("key").to_pylist(), block.column("lang").to_pylist(), off[:-1], off[1:], strict=True):
+            if (key, lang) in seen:
+                continue
+            seen.add((key, lang))  # as many as rows to learn from
             total = np.zeros(1 << BITS, np.int64)
             for p in range(lo, hi, C.BLOCK):
                 for _, b in subwords(data[p : min(hi, p + C.BLOCK + 3)], min(hi - p, C.BLOCK)):
                     total += np.bincount(b, minlength=1 << BITS)
             at = np.flatnonzero(total)
-            buckets.append(at.astype(np.int32))
-            shares.append((total[at] / max(1, total.sum())).astype(np.float32))
-        yield pa.RecordBatch.from_arrays([block.column("lang"), pa.array(buckets, pa.list_(pa.int32())), pa.array(shares, pa.list_(pa.float32()))], names=["lang", "buckets", "shares"])
-
-
-def fit(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 3000, epochs: int = 5, rate: float = 0.5) -> Model:
-    """Learns from the rows of df where learn holds, at most max_rows of them."""
-    order = F.xxhash64(F.col(f"`{id_col}`").cast("string"))
-    able = df.where(learn & F.col(f"`{lang_col}`").isNotNull())
-    last = able.select(order.alias("order")).orderBy("order").limit(max_rows).agg(F.max("order")).first()[0]  # ids alone are sorted, not texts
-    rows = _prepared(able.where(order <= F.lit(last)), text_col, lang=F.col(f"`{lang_col}`").cast("string")).where("has_letter")
-    found = rows.select("lang", "text").mapInArrow(_features, "lang string, buckets array<int>, shares array<float>").toArrow()
+            rows.append((key, lang, at.astype(np.int32), (total[at] / max(1, total.sum())).astype(np.float32)))
+        if rows:
+            kinds = (pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["key", "lang", "buckets", "shares"])
+
+
+def least_keys(keys: DataFrame, most: int) -> int | None:
+    """The greatest of the `most` least distinct values of key; null without rows. Equal keys are counted once before the shuffle."""
+    return keys.select("key").distinct().orderBy("key").limit(most).agg(F.max("key")).first()[0]
+
+
+def bounded(found: DataFrame, size: str, most: int) -> pa.Table:
+    """The rows of found (key, ...), one of each key, in order of key, as far as the sizes of their lists add up to `most`."""
+    held = C.cut(found.dropDuplicates(["key"]), "features")
+    sizes = held.select("key", F.size(size).alias("n")).toArrow().sort_by("key")  # a row for each row to learn from
+    upto = np.cumsum(sizes.column("n").to_numpy())
+    n = int(np.searchsorted(upto, most, "right"))
+    last = sizes.column("key")[n - 1].as_py() if n else None
+    return held.where(F.col("key") <= F.lit(last).cast("bigint")).toArrow().sort_by("key")
+
+
+def fit(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 3000, max_features: int = 16_000_000, epochs: int = 5, rate: float = 0.5) -> Model:
+    """Learns from the rows of df where learn holds, at most max_rows of them, with at most max_features subwords."""
+    able = df.where(learn & F.col(f"`{lang_col}`").isNotNull()).withColumn("key", F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.col(f"`{text_col}`").cast("string"), F.col(f"`{lang_col}`").cast("string")))
+    last = least_keys(able, max_rows)  # hashes alone are sorted, not texts
+    rows = _prepared(able.where(F.col("key") <= F.lit(last)), text_col, lang=F.col(f"`{lang_col}`").cast("string"), key=F.col("key")).where("has_letter")
+    found = bounded(rows.select("key", "lang", "text").mapInArrow(_features, "key long, lang string, buckets array<int>, shares array<float>"), "buckets", max_features)
     langs = found.column("lang").to_pylist()
     names = tuple(sorted(set(langs)))
     if not names:
-        return Model((), np.zeros((1 << BITS, 0), np.float32), np.zeros(0), 0.5)
+        return Model((), np.zeros((1 << BITS, 0), np.float32), np.zeros(0), 0.0)
     y = np.array([names.index(x) for x in langs])
     flat = C.list_rows(found, "buckets", "shares")
     rng = np.random.default_rng(7)
@@ -119,8 +139,16 @@ def fit(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "t
     loss = [-np.log(np.maximum(_softmax(logits / t)[np.arange(len(aside)), y[aside]], 1e-12)).mean() for t in heats]
     heat = heats[int(np.argmin(loss))]
     p = _softmax(logits / heat)
-    right = p.argmax(axis=1) == y[aside]
-    return Model(names, (scores / heat).astype(np.float32), bias / heat, float(min(0.5, p.max(axis=1)[right].min(initial=1.0))))
+    return Model(names, (scores / heat).astype(np.float32), bias / heat, rejection(p.max(axis=1), p.argmax(axis=1) == y[aside]))
+
+
+def rejection(confidence: np.ndarray, right: np.ndarray) -> float:
+    """The least confidence to keep: of all with the fewest right ones under it and wrong ones from it on, the least."""
+    order = np.argsort(confidence, kind="stable")
+    mistakes = np.append(0, np.cumsum(right[order])) + (~right).sum() - np.append(0, np.cumsum(~right[order]))
+    cut = np.append(True, np.diff(confidence[order], append=np.inf) > 0)  # equal ones go together
+    k = int(np.flatnonzero(cut)[np.argmin(mistakes[cut])])
+    return float(np.nextafter(confidence[order][k - 1], 2)) if k else 0.0
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
