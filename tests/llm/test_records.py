@@ -105,12 +105,28 @@ def test_knn_repeated_query(spark, copies):
     assert got == sorted(set(brute(rows, 5)))
 
 
+def test_knn_repeated_rows(spark):
+    """One id on 300 rows, and one vector under 5000 ids: nothing is lost, blocks stay bounded."""
+    rng = np.random.default_rng(9)
+    rows = [(7, rng.normal(0, 1, 6).tolist()) for _ in range(300)] + [(i, rng.normal(0, 1, 6).tolist()) for i in range(40, 160)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in knn.nearest(df, F.col("vec_id") % 50 == 0).collect()) == brute(rows, 5)
+    only = spark.createDataFrame([(7, [1.0, 2.0])] * 300 + [(50, [2.0, 1.0])], "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in knn.nearest(only, F.col("vec_id") % 50 == 0).collect()) == [(50, n, 7, 4 * 256 * 256) for n in range(1, 6)]
+    common = [(1000 + i, [1.0, 0.5]) for i in range(5000)] + [(i, [float(i % 3), 1.0]) for i in range(0, 300, 10)]
+    small = spark.createDataFrame(common, "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in knn.nearest(small, (F.col("vec_id") % 50 == 0) & (F.col("vec_id") < 1000)).collect()) == [r for r in brute(common, 5) if r[0] < 1000]
+
+
 def test_knn_prunes():
-    """A query near one pivot isn't sent to a far cell."""
-    pivots = np.array([[100, 0], [-100, 0]])
-    space = knn._Space(pivots, 100.0**2 * 2)
-    reach = knn._reach(np.array([[100, 0]]), space, np.array([50, 50]), [np.zeros(6), np.zeros(6)], np.array([1.0, 1.0]), 5)
-    assert reach.tolist() == [[True, False]]
+    """Rows near one center aren't sent to the queries of a far one."""
+    space = knn._Space(np.array([[100, 0], [-100, 0]]), 100.0**2 * 2)
+    cells = knn._Cells(np.array([50, 50]), [np.zeros(6), np.zeros(6)], np.array([1.0, 1.0]), 5, 1)
+    groups = knn._Groups(2)
+    d = space.distances(np.array([[100, 0], [-100, 0]]), True)
+    groups.add(d, cells.bound(d, space))
+    rows = space.distances(np.array([[100, 0], [-100, 0], [99, 1]]), False)
+    assert groups.needs(rows).tolist() == [[True, False], [False, True], [True, False]]
 
 
 def test_chat_grammar():
