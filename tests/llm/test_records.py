@@ -61,6 +61,67 @@ def test_warc_skips_payloads(spark, tmp_path):
     assert [b.to_pylist() for b in reader.read(part)] == [[{"id": 1, "payload_bytes": 50}]]
 
 
+FOREIGN = (
+    b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:9b0a>\r\nWARC-Target-URI: http://a/%E9%zz%20\xff\r\nContent-Type: application/http;\r\n msgtype=response\r\n"
+    b"Content-Length: 25\r\n\r\nHTTP/1.1 200 OK\r\n\r\nbody!!\r\n\r\n"
+    b"WARC/1.0\r\nwarc-type: metadata\r\nWARC-Record-ID: <urn:uuid:77>\r\nWARC-Refers-To: <urn:uuid:9b0a>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+)
+
+
+@pytest.mark.parametrize("pack", [bytes, lambda x: __import__("gzip").compress(x), lambda x: b"".join(__import__("gzip").compress(p) for p in (x[:300], x[300:]))])
+def test_warc_reads_archives_of_others(spark, tmp_path, pack):
+    (tmp_path / "in/deep").mkdir(parents=True)
+    data = pack(FOREIGN)
+    name = "x.warc" if data == FOREIGN else "x.warc.gz"
+    (tmp_path / "in/deep" / name).write_bytes(data)
+    (tmp_path / "in" / f"copy{name}").write_bytes(data)
+    warc.register(spark)
+    rows = spark.read.format("warc").load(str(tmp_path / "in")).orderBy("record_id").collect()
+    assert len(rows) == 4 and [r.id for r in rows] == [None] * 4
+    assert (rows[3].record_id, rows[3].uri, rows[3].content_type, bytes(rows[3].payload)) == ("<urn:uuid:9b0a>", "http://a/%E9%zz%20�", "application/http; msgtype=response", b"HTTP/1.1 200 OK\r\n\r\nbody!!")
+    assert (rows[0].record_type, rows[0].refers_to_id, rows[0].payload_bytes) == ("metadata", "<urn:uuid:9b0a>", 3)
+    one = spark.read.format("warc").load(str(tmp_path / "in" / f"copy{name}")).where("record_type = 'metadata'")
+    assert one.count() == 1
+    for cut in (len(data) // 3, len(data) - 6):
+        (tmp_path / "in" / f"copy{name}").write_bytes(data[:cut])
+        with pytest.raises(Exception, match="ends inside"):
+            spark.read.format("warc").load(str(tmp_path / "in")).collect()
+
+
+def test_warc_appends_and_overwrites(spark):
+    warc.register(spark)
+    path = common.fresh_path(spark, "warc")
+    ids = lambda: sorted(r.id for r in spark.read.format("warc").load(path).collect())
+    rows = lambda *n: warc.with_revisits(spark.createDataFrame([(i, "u", f"text {i}") for i in n], "page_id long, url string, html string").repartition(2), "page_id", "url", "html")
+    rows(1, 2, 3).write.format("warc").mode("append").save(path)
+    rows(4, 5).write.format("warc").mode("append").save(path)
+    assert ids() == [1, 2, 3, 4, 5]
+    rows(9).write.format("warc").mode("overwrite").save(path)
+    assert ids() == [9]
+
+
+def test_warc_passes_over_members(tmp_path):
+    """What a member holds beyond its headers is not inflated unless it is wanted: damage there goes unseen."""
+    data = [warc.member(warc.record(k, "u", random.Random(k).randbytes(9000), "D", None)) for k in range(3)]
+    broken = bytearray(data[1])
+    broken[5000:5400] = bytes(400)
+    (tmp_path / "x.warc.gz").write_bytes(data[0] + bytes(broken) + data[2])
+
+    def read(*columns):
+        reader = warc.WarcReader(str(tmp_path), list(columns))
+        return [r for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()]
+
+    assert [r["id"] for r in read("id", "payload_bytes")] == [0, 1, 2]
+    with pytest.raises(ValueError, match="x.warc.gz"):
+        read("id", "payload")
+
+
+def test_warc_small_payloads(spark):
+    df = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")], "page_id long, url string, html string")
+    got = {r.id: r.refers_to for r in warc.with_revisits(df, "page_id", "url", "html", least_bytes=3).collect()}
+    assert got == {1: None, 2: None, 3: 4, 4: None}
+
+
 def test_empty_warc(spark):
     warc.register(spark)
     path = common.fresh_path(spark, "warc")
