@@ -72,6 +72,37 @@ def test_multikey_order():
     rng = np.random.default_rng(1)
     cols = [rng.integers(0, 4, 500) for _ in range(3)] + [np.arange(500)]
     assert (suffix_dedup.multikey_order(cols) == np.lexsort(cols[::-1])).all()
+    for n, values in ((20_000, 3), (30_000, 10**12), (9000, 1), (0, 1)):
+        cols = [rng.integers(0, values, n) for _ in range(3)] + [rng.permutation(n)]
+        assert (suffix_dedup.multikey_order(cols) == np.lexsort(cols[::-1])).all()
+
+
+def test_suffix_dedup_of_long_texts(spark):
+    """Texts of over a block, which are read in pieces: repeats at the pieces' edges, in the text and in others."""
+    rng = random.Random(12)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(common.BLOCK + 5000))
+    spot = [long[i : i + 300] for i in (0, common.BLOCK - 150, common.BLOCK - 350, common.BLOCK + 20, len(long) - 300)]
+    texts = [long, *("#" + x + "#" for x in spot), long[: common.BLOCK // 2] + "!" + long[common.BLOCK // 2 - 250 :]]
+    want = removed_of_long(texts, 200)
+    rows = suffix_dedup.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows) == sorted(want)
+
+
+def removed_of_long(texts, width):
+    """As removed(), with one 64-bit hash for each window."""
+    data = [x.encode() for x in texts]
+    seen = Counter(hash(d[i : i + width]) for d in data for i in range(len(d) - width + 1))
+    out = []
+    for d in data:
+        gone = np.zeros(len(d) + 1, np.int64)
+        for i in range(len(d) - width + 1):
+            if seen[hash(d[i : i + width])] > 1:
+                gone[i] += 1
+                gone[i + width] -= 1
+        mask = np.cumsum(gone)[: len(d)] > 0
+        runs = int((mask & ~np.append(False, mask[:-1])).sum())
+        out.append((len(d), int(mask.sum()), runs, hashlib.sha256(np.frombuffer(d, np.uint8)[~mask].tobytes()).hexdigest()))
+    return out
 
 
 def fingerprint(text, size, words=1):
@@ -311,7 +342,7 @@ def test_passages(spark):
         rows.append((i, " ".join(body)))
     rows += [(300, rows[3][1]), (301, None), (302, ""), (303, "few words")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("t", F.lit(1)).withColumn("h", F.lit(1))
-    out = chaining.repeated_passages(df).collect()
+    out = chaining.repeated_passages(df, bucket_rows=1000).collect()
     parent = {}
 
     def find(x):
@@ -415,7 +446,7 @@ def test_passages_against_brute_force(spark, common):
     texts += [" ".join(fresh(10) + rng.choice(lines) + fresh(10)) for _ in range(common)]
     want = either_way(passages(texts))
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = either_way((r.doc_id, r["first"], r["last"], r.other_id, r.other_first, r.other_last, r.matched) for r in chaining.repeated_passages(rows).collect())
+    got = either_way((r.doc_id, r["first"], r["last"], r.other_id, r.other_first, r.other_last, r.matched) for r in chaining.repeated_passages(rows, bucket_rows=300).collect())
     pairs = lambda x: {(r[0], r[3]) for r in x}
     if common:
         assert len(pairs(got) & pairs(want)) >= 0.95 * len(pairs(want)) and pairs(got) <= pairs(want)

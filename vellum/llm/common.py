@@ -78,13 +78,17 @@ def cut(df: DataFrame, what: str) -> DataFrame:
     """df written as Parquet to the shared folder and read again: its lineage ends there."""
     path = fresh_path(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
 
 
-def estimated_bytes(df: DataFrame) -> float:
-    """Catalyst's estimate of the size of df, or its rows times 1 kB where Catalyst has none."""
-    size = float(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return size if size < 1e17 else 1e3 * df.count()
+def discard(*cuts: DataFrame) -> None:
+    """Removes what cut() wrote, once all that is read from it has been written in its turn."""
+    for df in cuts:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.cut_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -114,12 +118,12 @@ def blocks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             start = stop
 
 
-# --- hashes of byte ranges: sums of table[byte] * base ** position, modulo 2 ** 64
+# --- hashes of byte ranges: sums of table[byte] * base ** position, modulo 2 ** 64, by two families of tables and bases
 
 _random = np.random.default_rng(20240607)
-BYTE = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-BASE = np.uint64(0x9E3779B97F4A7C15)
-INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+BYTES = [_random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2)]
+BASES = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC6A4A7935BD1E995)]
+INVERSES = [np.uint64(pow(int(b), -1, 1 << 64)) for b in BASES]
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -129,19 +133,19 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_cache: dict[str, np.ndarray] = {"base": _powers(BASE, 1 << 16), "inverse": _powers(INVERSE, 1 << 16)}
+_cache: dict[int, np.ndarray] = {}
 
 
-def powers(kind: str, n: int) -> np.ndarray:
-    if len(_cache[kind]) < n:
-        _cache[kind] = _powers(BASE if kind == "base" else INVERSE, max(n, 2 * len(_cache[kind])))
-    return _cache[kind][:n]
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    if len(_cache.get(int(base), ())) < n:
+        _cache[int(base)] = _powers(base, max(1 << 16, n, 2 * len(_cache.get(int(base), ()))))
+    return _cache[int(base)][:n]
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
+def prefix_hash(data: np.ndarray, family: int = 0) -> np.ndarray:
     """n + 1 sums; range_hash reads the hash of any byte range from them."""
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE[data] * powers("base", len(data)), out=out[1:])
+    np.cumsum(BYTES[family][data] * powers(BASES[family], len(data)), out=out[1:])
     return out
 
 
@@ -155,9 +159,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, family: int = 0) -> np.ndarray:
     """64-bit hashes of the byte ranges [start, end); equal strings, equal hashes, wherever they stand."""
-    raw = (prefix[end] - prefix[start]) * powers("inverse", len(prefix))[start]
+    raw = (prefix[end] - prefix[start]) * powers(INVERSES[family], len(prefix))[start]
     return mix(raw + (end - start).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -166,7 +170,7 @@ def rolling_hash(prefix: np.ndarray, width: int) -> np.ndarray:
     n = len(prefix) - width
     if n <= 0:
         return np.zeros(0, np.uint64)
-    raw = (prefix[width:] - prefix[:n]) * powers("inverse", n)
+    raw = (prefix[width:] - prefix[:n]) * powers(INVERSES[0], n)
     return mix(raw + np.uint64(width * 0xC2B2AE3D27D4EB4F % (1 << 64)))
 
 

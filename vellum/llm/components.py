@@ -1,8 +1,8 @@
 """Connected components of a distributed edge list: alternating large and small stars.
 
 Each round hooks the neighbours of every node to the least of them, as minima that are combined before the
-shuffle and joined back (the rows of hubs are salted); rounds are written to the shared folder and
-end when the edges stay the same. No edge list or component is ever collected.
+shuffle and joined back (the rows of hubs are salted); rounds are written to the shared folder, each in place of
+the one before, and end when the edges stay the same. No edge list or component is ever collected.
 """
 
 from __future__ import annotations
@@ -51,5 +51,6 @@ def components(edges: DataFrame) -> DataFrame:
         if state == seen or not state[0]:
             break
         seen = state
-        now = C.cut(_stars(_stars(now, True, state[0]), False, state[0]), "edges")
+        before, now = now, C.cut(_stars(_stars(now, True, state[0]), False, state[0]), "edges")
+        C.discard(before)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -442,14 +442,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     shingles of size words, differ in at most radius bits are linked; component_id is the smallest id reached."""
     names = [f"f{w}" for w in range(words)]
     prints = C.cut(fingerprints(df, id_col, text_col, size, words), "prints")
-    distinct = C.cut(prints.groupBy(*names).agg(F.min("id").alias("least")), "distinct")
+    distinct = C.cut(prints.groupBy(*names).agg(F.min("id").alias("least"), F.count("*").alias("n")), "distinct")
     roots = components(links(distinct, radius, words))
-    keyed = distinct.select(_hex(names).alias("fingerprint"), "least")
-    member = C.cut(keyed.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint"), "members")
+    keyed = distinct.select(_hex(names).alias("fingerprint"), "least", "n")
+    member = C.cut(keyed.drop("n").join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint"), "members")
     least = member.groupBy("root").agg(F.min("least").alias("m"), F.count("*").alias("n"))
     groups = join_least(member, least, "root", member.count()).select("fingerprint", F.col("m").alias("group"))
-    every = keyed.join(groups, "fingerprint", "left").select("fingerprint", F.coalesce("group", "least").alias("component_id"))
-    return prints.select("id", _hex(names).alias("fingerprint")).join(every, "fingerprint").select("id", "fingerprint", "component_id")
+    every = keyed.join(groups, "fingerprint", "left").select("fingerprint", F.coalesce("group", "least").alias("m"), "n")
+    return join_least(prints.select("id", _hex(names).alias("fingerprint")), every, "fingerprint", prints.count()).select("id", "fingerprint", F.col("m").alias("component_id"))
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, radius: int = 60, words: int = 4, similarity: float = 0.8) -> DataFrame:

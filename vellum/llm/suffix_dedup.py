@@ -8,36 +8,40 @@ blocks first and one by one only where blocks do not settle them:
    windows whose key is at one place form a unit of two tokens: the key, and the hash of all its bytes.
 2. Units are sorted as suffixes of two tokens: splitters sampled from the units range-partition them by
    leading token (then the rest, so equal units can lie in several buckets), each bucket sorts by
-   multikey quicksort and compares neighbours; its first and last rows are compared across boundaries.
+   multikey quicksort and compares neighbours; buckets' first and last rows are compared with each other.
    A unit alone with its key holds no repeat. Equal units are repeats throughout.
 3. Units that share only their key, and one of each set of equal units beside them, are taken apart into blocks of STEP windows, aligned to the place of
    the key, whose tokens are the hash of the bytes that all of its windows share and that of all its
    bytes; they are sorted and compared alike.
 4. The windows of what is left are suffixes whose tokens are the hashes of their two halves.
 
-Tokens are 64-bit hashes; a repeat is one when two of them agree, 128 bits in all.
+Tokens are 64-bit hashes from two families with their own tables and bases, the first token from one, the second from the other; a
+repeat is one when both agree, 128 bits in all. (Tokens of the text itself would take a row of 200 bytes for each suffix.) Buckets
+are numbered by rows that are counted, but for units, which are so many bytes of text each; the sample for the splitters is
+one in so many rows by their hashes, MOST_SAMPLED at most.
 
 Nulls: a null text is empty; a null id is kept. Texts under `width` bytes lose nothing. Repeated rows
 count as separate texts, so their copies remove each other. No rows in, no rows out. Columns of the
-input beyond id and text are carried along in a struct, so their names can't clash.
+input beyond id and text are carried along in a struct, so their names can't clash. Very long texts are read in pieces.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common as C
 
 GRAM, STEP = 32, 12
-ROWS_PER_BUCKET = 2_000_000
+ROWS_PER_BUCKET, UNIT_BYTES = 2_000_000, 60
+SAMPLED, MOST_SAMPLED = 400, 1_000_000
+SMALL = 1 << 12
 #: cnt holds the number of windows, plus PACK times the distance from the start of the unit.
 PACK = 1 << 16
 TOKENS = "t1 long, t2 long, k long, n int, start int, cnt int"
@@ -73,36 +77,54 @@ def _units(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[dict[str,
             off = np.array([0, len(data)], np.int64) if off is None else off
             if len(data) < width:
                 continue
-            prefix = C.prefix_hash(data)
-            h = C.rolling_hash(prefix, GRAM)
+            h = C.rolling_hash(C.prefix_hash(data), GRAM)
             m = C.sliding_min(h, width - GRAM + 1)
             start, count = _runs(h, m, off, width)
             if not len(start):
                 continue
+            prefix = C.prefix_hash(data, 1)
             doc = np.searchsorted(off, start, "right") - 1
             yield {
-                "t1": C.signed(C.mix(m[start])), "t2": C.signed(C.range_hash(prefix, start, start + count + width - 1)), "k": keys[doc],
+                "t1": C.signed(C.mix(m[start])), "t2": C.signed(C.range_hash(prefix, start, start + count + width - 1, 1)), "k": keys[doc],
                 "n": (off[doc + 1] - off[doc] if block.num_rows > 1 else np.full(len(doc), len(whole))).astype(np.int32),
                 "start": (start - off[doc] + base).astype(np.int32), "cnt": count.astype(np.int32),
             }
 
 
 def multikey_order(columns: list[np.ndarray]) -> np.ndarray:
-    """The order of rows by their columns: all by the first, then only ties by the next, and so on."""
-    order = np.argsort(columns[0], kind="stable")
-    group = np.zeros(len(order), np.int64)
-    for depth, column in enumerate(columns[:-1]):
-        v = column[order]
-        new = np.ones(len(v), bool)
-        new[1:] = (v[1:] != v[:-1]) | (group[1:] != group[:-1])
-        group = np.cumsum(new)
-        tied = ~new
-        tied[:-1] |= ~new[1:]
+    """The order of rows by their columns, as multikey quicksort finds it: rows are split into those under, at and above a
+    pivot of the first column; those at it go on with the next column, the others with the same. Short stretches are sorted
+    outright, and their ties go on together."""
+    out = np.empty(len(columns[0]), np.int64)
+    todo = [(np.arange(len(out)), 0, 0)]  # rows, column, their place in the order
+    while todo:
+        rows, depth, place = todo.pop()
+        v = columns[depth][rows]
+        if len(rows) > SMALL:
+            some = np.sort(v[:: len(v) // 255])
+            pivot = some[len(some) // 2]
+            under, at = v < pivot, v == pivot
+            a, b = rows[under], rows[at]
+            c = rows[~(under | at)]
+            todo += [(x, d, p) for x, d, p in ((a, depth, place), (c, depth, place + len(a) + len(b))) if len(x)]
+            if depth + 1 < len(columns):
+                todo.append((b, depth + 1, place + len(a)))
+            else:
+                out[place + len(a) : place + len(a) + len(b)] = b
+            continue
+        order = np.argsort(v, kind="stable")
+        rows, v = rows[order], v[order]
+        out[place : place + len(rows)] = rows
+        if depth + 1 == len(columns) or len(rows) < 2:
+            continue
+        same = v[1:] == v[:-1]
+        if not same.any():
+            continue
+        tied = np.append(False, same) | np.append(same, False)
+        group = np.cumsum(np.append(True, ~same))[tied]
         at = np.flatnonzero(tied)
-        if not len(at):
-            break
-        order[at] = order[at][np.lexsort((columns[depth + 1][order[at]], group[at]))]
-    return order
+        out[place + at] = rows[at][np.lexsort([*(c[rows[at]] for c in reversed(columns[depth + 1 :])), group])]
+    return out
 
 
 def _bucket(rows: dict[str, np.ndarray], splitters: list[np.ndarray]) -> np.ndarray:
@@ -153,22 +175,21 @@ def _sorted_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield C.batch_of({c: v[i] for c, v in rows.items()} | {"state": state[i], "edge": edge[i]})
 
 
-def sort_and_compare(source: DataFrame, tokens, sample: DataFrame, estimate: float, what: str) -> DataFrame:
-    """Rows (k, n, start, cnt, state): 1 if another row has the same first token, 2 or 3 if also the second.
-    tokens turns batches of source into rows of TOKENS; sample is a small part of source for the splitters;
-    estimate is about the number of rows, only to choose how many buckets there are."""
+def sort_and_compare(source: DataFrame, tokens, total: int, what: str) -> DataFrame:
+    """Rows (k, n, start, cnt, base, state): state 1 if another row has the same first token, 2 or 3 if also the second. tokens turns batches of source into rows of TOKENS, total or so of them."""
     spark = source.sparkSession
-    n = int(max(C.partitions(spark), estimate // ROWS_PER_BUCKET))
+    n = int(max(C.partitions(spark), total // ROWS_PER_BUCKET))
+    one_in = max(1, total // min(MOST_SAMPLED, SAMPLED * n))
 
     @C.lean
-    def as_batches(batches):
+    def sampled(batches):
         for rows in tokens(batches):
-            yield C.batch_of({c: rows[c] for c in ("t1", "t2", "k", "n", "start", "cnt")})
+            chosen = C.mix(rows["k"].view(np.uint64) + rows["start"].astype(np.uint64)) % np.uint64(one_in) == 0
+            yield C.batch_of({c: rows[c][chosen] for c in KEY})
 
-    every = F.pmod(F.xxhash64("start", "k"), F.lit(16 if estimate > 16 * 400 * n else 1)) == 0
-    seen = sample.mapInArrow(as_batches, TOKENS).where(every).select(*KEY).orderBy(F.xxhash64("k", "start")).limit(n * 400).toArrow()  # splitters only shape the buckets
+    seen = source.mapInArrow(sampled, "t1 long, t2 long, k long, start int").toArrow()
     known = [seen.column(c).to_numpy() for c in KEY]
-    order = multikey_order(known) if len(known[0]) else np.zeros(0, np.int64)
+    order = multikey_order(known)
     cuts = order[[len(order) * i // n for i in range(1, n)]] if len(order) else order
     splitters = [np.ascontiguousarray(x[cuts]) for x in known]
 
@@ -178,22 +199,11 @@ def sort_and_compare(source: DataFrame, tokens, sample: DataFrame, estimate: flo
             yield C.batch_of({"bucket": _bucket(rows, splitters)} | {c: rows[c] for c in ("t1", "t2", "k", "n", "start", "cnt")})
 
     out = C.cut(source.mapInArrow(dealt, f"bucket int, {TOKENS}").repartitionById(n, F.col("bucket")).mapInArrow(_sorted_bucket, f"bucket int, {TOKENS}, state byte, edge byte"), what)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()  # the shuffle's files are no longer needed
-    edges = sorted((r.bucket, s, r.t1, r.t2) for r in out.where("edge > 0").select("bucket", "edge", "t1", "t2").collect() for s in (1, 2) if r.edge & s)  # two of each bucket
-    raised: dict[tuple[int, int], int] = {}
-    for a, b in zip(edges, edges[1:], strict=False):
-        if a[0] != b[0] and a[2] == b[2]:
-            level = 3 if a[3] == b[3] else 1
-            for x in (a, b):
-                raised[x[:2]] = max(raised.get(x[:2], 0), level)
-    state = F.col("state")
-    if raised:
-        patch = F.broadcast(spark.createDataFrame([Row(bucket=b, side=s, raised=v) for (b, s), v in raised.items()], "bucket int, side int, raised int"))
-        side = patch.groupBy("bucket").agg(F.max(F.when(F.col("side") == 1, F.col("raised"))).alias("first"), F.max(F.when(F.col("side") == 2, F.col("raised"))).alias("last"))
-        out = out.join(F.broadcast(side), "bucket", "left")
-        state = F.greatest(state, F.when(F.col("edge").bitwiseAND(1) > 0, F.col("first")), F.when(F.col("edge").bitwiseAND(2) > 0, F.col("last")))
-    return out.select("k", "n", "start", (F.col("cnt") % PACK).alias("cnt"), (F.col("start") - F.floor(F.col("cnt") / PACK)).cast("int").alias("base"), state.cast("int").alias("state")).where("state > 0")
+    ends = out.where("edge > 0")  # two of each bucket; rows with equal tokens in two buckets are at their ends
+    apart = lambda *tokens: F.min("bucket").over(Window.partitionBy(*tokens)) < F.max("bucket").over(Window.partitionBy(*tokens))
+    ends = ends.withColumn("both", apart("t1", "t2")).withColumn("state", F.greatest("state", F.when(F.col("both"), 3).when(apart("t1"), 1).otherwise(0).cast("byte"))).drop("both")
+    out_ = out.where("edge = 0").unionByName(ends).where("state > 0")
+    return out_.select("k", "n", "start", (F.col("cnt") % PACK).alias("cnt"), (F.col("start") - F.floor(F.col("cnt") / PACK)).cast("int").alias("base"), F.col("state").cast("int").alias("state"))
 
 
 @C.lean
@@ -246,8 +256,9 @@ def _steps(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[dict[str,
         lo, q, u = at[first], q[first], unit[first]
         shared = anchor[first] - q * STEP
         t1 = C.mix(C.range_hash(prefix, shared, shared + width - STEP + 1) + q.astype(np.uint64))
+        prefix = C.prefix_hash(data, 1)
         yield {
-            "t1": C.signed(t1), "t2": C.signed(C.range_hash(prefix, lo, lo + cnt + width - 1)), "k": k[u], "n": n[u],
+            "t1": C.signed(t1), "t2": C.signed(C.range_hash(prefix, lo, lo + cnt + width - 1, 1)), "k": k[u], "n": n[u],
             "start": (lo - off[u] + start[u]).astype(np.int32), "cnt": (cnt + PACK * (lo - off[u])).astype(np.int32),
         }
 
@@ -262,8 +273,10 @@ def _windows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[dict[str
         u = np.repeat(np.arange(len(k)), count)
         at = np.arange(len(u)) - np.repeat(np.cumsum(count) - count, count)
         place, half = at + off[u], width // 2
+        first = C.range_hash(prefix, place, place + half)
+        prefix = C.prefix_hash(data, 1)
         yield {
-            "t1": C.signed(C.range_hash(prefix, place, place + half)), "t2": C.signed(C.range_hash(prefix, place + half, place + width)), "k": k[u], "n": n[u],
+            "t1": C.signed(first), "t2": C.signed(C.range_hash(prefix, place + half, place + width, 1)), "k": k[u], "n": n[u],
             "start": (start[u] + at).astype(np.int32), "cnt": np.ones(len(u), np.int32),
         }
 
@@ -271,21 +284,21 @@ def _windows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[dict[str
 def repeated_spans(docs: DataFrame, width: int = 200) -> DataFrame:
     """docs (k, n, text) -> (k, n, spans): for each text that holds repeats, start and length of byte runs
     that cover all of them and nothing else; runs may overlap."""
-    spark = docs.sparkSession
-    size = C.estimated_bytes(docs)
-    share = min(1.0, max(0.0, C.partitions(spark) * 600 * 16 * width / max(size, 1.0)))
-    slots = 10_000
-    sample = docs.where(F.pmod(F.xxhash64("k", F.lit(1)), F.lit(slots)) < int(slots * share) + 1)
-    units = sort_and_compare(docs, lambda b: _units(b, width), sample, size / 50, "units")
-    wide = units.where("state in (1, 3)").groupBy("k", "n").agg(F.collect_list(F.struct("start", "cnt")).alias("units"))
+    size = docs.agg(F.sum("n")).first()[0] or 0
+    units = sort_and_compare(docs, lambda b: _units(b, width), size // UNIT_BYTES, "units")
+    open_ = units.where("state in (1, 3)")
+    windows_in = lambda df: df.agg(F.sum("cnt")).first()[0] or 0
+    wide = open_.groupBy("k", "n").agg(F.collect_list(F.struct("start", "cnt")).alias("units"))
     contents = C.cut(docs.join(wide, ["k", "n"]).select("k", "n", "text", "units").mapInArrow(lambda b: _contents(b, width), "k long, n int, start int, cnt int, text binary"), "contents")
-    part = contents.where(F.pmod(F.xxhash64("k", F.lit(2)), F.lit(slots)) < int(slots * min(1.0, share * 8)) + 1)
-    steps = sort_and_compare(contents, lambda b: _steps(b, width), part, size / 300, "steps")
-    both = steps.where("state in (1, 3)").groupBy("k", "n", "base").agg(F.collect_list(F.struct("start", "cnt")).alias("steps"))
+    steps = sort_and_compare(contents, lambda b: _steps(b, width), 2 * windows_in(contents) // STEP, "steps")
+    last = steps.where("state in (1, 3)")
+    both = last.groupBy("k", "n", "base").agg(F.collect_list(F.struct("start", "cnt")).alias("steps"))
     left = contents.select("k", "n", F.col("start").alias("base"), "text").join(both, ["k", "n", "base"]).select("k", "n", "base", "text", F.explode("steps").alias("s"))
     left = left.select("k", "n", F.col("s.start").alias("start"), F.col("s.cnt").alias("cnt"), F.expr(f"substring(text, s.start - base + 1, s.cnt + {width} - 1)").alias("text"))
-    thin = left.where(F.pmod(F.xxhash64("k", F.lit(3)), F.lit(slots)) < int(slots * min(1.0, share * 8)) + 1)
-    windows = sort_and_compare(left, lambda b: _windows(b, width), thin, size / 100, "windows")
+    left = C.cut(left, "left")
+    C.discard(contents)
+    windows = sort_and_compare(left, lambda b: _windows(b, width), windows_in(left), "windows")
+    C.discard(left)
     found = units.where("state > 1").unionByName(steps.where("state > 1")).unionByName(windows.where("state > 1"))
     return found.groupBy("k", "n").agg(F.collect_list(F.struct("start", (F.col("cnt") + (width - 1)).alias("length"))).alias("spans"))
 
