@@ -26,9 +26,9 @@ from . import common as C
 from .components import components, join_least
 
 SPREAD = 16
-LEAST_BITS, MOST_BITS = 512, 1 << 18
-#: Rows of a tile of near copies, some 200 bytes each.
-TILE = 250_000
+LEAST_BITS, MOST_BITS = 256, 1 << 18
+#: Tiles of near copies at least, each of which goes to as many tasks, and rows of a tile at most, some 200 bytes each.
+TILES, TILE = 8, 250_000
 SEED = 42
 _BYTES = np.uint64(0x0101010101010101)
 PART = 1 << 16
@@ -268,9 +268,9 @@ def links(prints: DataFrame, radius: int, words: int = 1) -> DataFrame:
 
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
-    """A set of shingles as 64-bit words: a bit for each value of its hash's low bits, LEAST_BITS at least and some four
+    """A set of shingles as 64-bit words: a bit for each value of its hash's low bits, LEAST_BITS at least and two to four
     a shingle, up to MOST_BITS. A bit that one set has and another lacks is a shingle that the other lacks."""
-    bits = min(MOST_BITS, max(LEAST_BITS, 1 << int(4 * len(shingles)).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << int(2 * len(shingles)).bit_length()))
     out = np.zeros(bits, np.uint8)
     out[(C.mix(shingles) & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").view(np.uint64)
@@ -378,15 +378,15 @@ def _candidates(batches: Iterator[pa.RecordBatch], radius: int, words: int, simi
 
 
 def _tile_pairs(rows: DataFrame, words: int, radius: int) -> DataFrame:
-    """(task, guest, t, c, f0, ..., n, bits): tiles by population count, a task for each two tiles within the radius. The
-    number of tiles is the least that gives every core tasks and keeps a tile under TILE rows, as each row goes to as many."""
+    """(task, guest, t, c, f0, ..., n, bits): tiles by population count, a task for each two tiles within the radius. Each row goes to
+    as many tasks as there are tiles, so these are TILES, or as many as keep a tile under TILE rows."""
     spark = rows.sparkSession
     names = [f"f{w}" for w in range(words)]
     count = sum((F.bit_count(c) for c in names[1:]), F.bit_count(names[0])).cast("int")
     rows = rows.withColumn("pop", count)
     histogram = {r["pop"]: r["count"] for r in rows.groupBy("pop").count().collect()}  # 64 * words + 1 rows at most
     total = sum(histogram.values())
-    wanted = max(1, int((2 * C.partitions(spark)) ** 0.5), -(-total // TILE))
+    wanted = max(TILES, -(-total // TILE))
     tiles = _tiles(histogram, max(64, -(-total // wanted)))
     tasks = [(a, b) for a in range(len(tiles)) for b in range(a, len(tiles)) if tiles[b][0] - tiles[a][1] <= radius]
     plan = [(tile, task, guest) for task, (a, b) in enumerate(tasks) for tile, guest in ((a, 0), (b, 1))[: 1 if a == b else 2]]
