@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
+import json
+import os
 import random
+import time
 import zipfile
 
 import numpy as np
@@ -15,10 +19,12 @@ from pyspark.sql import functions as F
 from vellum.config import BQ_CLOSE, BQ_OPEN, FN_CLOSE, FN_OPEN, REF_CLOSE, REF_OPEN, Config
 from vellum.functions import text as t
 from vellum.operators import catalog, chunk, clean, dispatch, eligibility, frontmatter, gate, lines, pdf, quality, segment
+from vellum.operators.lines import explode_lines
 from vellum.plans import pipeline
+from vellum.sources import files
 from vellum.sources.epub import epub_text
 from vellum.sources.html import html_text
-from vellum.sources.pdf import meaningful, normalized, split_pages
+from vellum.sources.pdf import meaningful, normalized, read_pages, split_pages
 
 
 def docs(spark, *texts):
@@ -146,6 +152,38 @@ def test_gate(spark):
     assert {r.doc_id for r in gate.gate_passes(bodies, segment.segment(bodies), config).where("passed").collect()} == {"fine"}
 
 
+def test_gate_details(spark):
+    """The first offenders with their places, one pass or two."""
+    body = f"x {BQ_OPEN}\nsee www.a.b\n{BQ_OPEN}\ny{REF_CLOSE}"
+    bodies = spark.createDataFrame([("a", body, "txt", "one", None), ("b", None, "txt", "", None)], "doc_id string, body string, source_format string, source_edition string, translation_layer string")
+    config = Config(min_size=1)
+    rows = {(r.doc_id, r.code): r for r in gate.static_checks(bodies, config).collect()}
+    details = lambda doc, code: json.loads(rows[doc, code].details)
+    assert details("a", "sentinels_isolated") == {"offenders": 1, "first_offenders": [{"char_start": 0, "line": f"x {BQ_OPEN}"}]}
+    assert details("a", "sentinels_balanced")["error"]["reason"] == "open without close"
+    assert details("a", "noteref_balanced")["error"] == {"reason": "close without open", "char_start": body.index(REF_CLOSE)}
+    assert details("a", "body_isolated")["first_leaks"] == [{"char_start": body.index("see"), "line": "see www.a.b"}]
+    assert not rows["b", "body_hashable"].passed and not rows["b", "provenance_frozen"].passed and rows["b", "sentinels_isolated"].passed
+    own = gate.own_checks(bodies.where("doc_id = 'a'").drop("body"), explode_lines(bodies, "body"), config).first()
+    assert own.body == body and [c.code for c in own.checks if not c.passed] == ["sentinels_isolated", "sentinels_balanced", "noteref_balanced", "body_isolated"]
+
+
+def test_gate_is_linear(spark):
+    """Twice the lines of one document take at most 2.5 times as long."""
+    def seconds(n):
+        body = "\n".join(f"Linha número {k} de um texto com várias palavras." for k in range(n))
+        bodies = spark.createDataFrame([(1, body, "txt", "one", None)], "doc_id long, body string, source_format string, source_edition string, translation_layer string")
+        paragraphs = segment.segment(bodies)
+        began = time.time()
+        assert all(r.passed for r in gate.roundtrip_checks(bodies, paragraphs).collect())
+        own = gate.own_checks(bodies.drop("body"), explode_lines(bodies, "body"), Config(min_size=1)).select("checks").first()
+        assert all(c.passed for c in own.checks)
+        return time.time() - began
+
+    seconds(2000)
+    assert seconds(40_000) <= 2.5 * seconds(20_000) + 1
+
+
 def test_roundtrip_of_foreign_structure(spark):
     bodies = spark.createDataFrame([(k, "ab cd\nef") for k in range(4)], "doc_id long, body string")
     spans = [(0, 0, 5, "ab cd"), (0, 6, 8, "ef"), (1, 0, 5, "ab cd"), (2, 0, 5, "ab xx"), (2, 6, 8, "ef"), (3, 0, 6, "ab cd\n"), (3, 5, 8, "\nef")]
@@ -268,6 +306,59 @@ def test_command_line(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "r")).first().total_chunks >= 1
 
 
+STUBS = {
+    "pdffonts": 'echo name; echo ----; grep -q ^LAYER "$1" && echo Times; exit 0',
+    "pdfinfo": 'echo "Title: x"; echo "Pages:          $(grep -c PAGE "$1")"',
+    "pdftotext": 'shift; [ "$1" = -l ] && shift 2; if grep -q ^LAYER "$1"; then tail -n +2 "$1" | sed "s/^PAGE.*/\\f/" | tail -n +2; fi; printf "\\f"',
+    "pdftoppm": 'for x; do last=$x; done; cp "${@: -2:1}" "$last.png"; echo "$5" >> "$last.png"',
+    "tesseract": 'echo "Texto reconhecido de uma página com palavras, folha $(tail -n 1 "$1")."',
+}
+
+
+def test_pdf_admission_catalog_and_memory(spark, tmp_path, monkeypatch):
+    """A scan is refused before it is extracted; what is processed is logged; a second run reuses it; forced, pages are recognised."""
+    from vellum import cli
+
+    (tmp_path / "bin").mkdir()
+    for name, script in STUBS.items():
+        (tmp_path / "bin" / name).write_text("#!/bin/bash\n" + script + "\n")
+        (tmp_path / "bin" / name).chmod(0o755)
+    monkeypatch.setenv("PATH", f"{os.environ['PATH']}:{tmp_path}/bin")
+    for folder in ("in", "scans"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "scan.pdf").write_text("SCAN\n" + "PAGE\n" * 11)
+    prose = "Uma página com palavras bastantes, escrita para o teste, que segue adiante.\n" * 16
+    (tmp_path / "in/good.pdf").write_text("LAYER\n" + "".join(f"PAGE\nA página {w} começa.\n{prose}A página {w} acaba.\n" for w in ("alfa", "beta", "gama", "delta")))
+    out = str(tmp_path / "out")
+    args = ["run", str(tmp_path / "in"), "-o", out, "--min-size", "20"]
+    name = lambda r: r.doc_id.rpartition("/")[2]
+    assert cli.main(args) == 0
+    assert {name(r): (r.decision, r.pages_analyzed, r.total_pages) for r in spark.read.json(f"{out}/pdf_diagnostics").collect()} == {"scan.pdf": ("abort", 1, 11), "good.pdf": ("pass", 4, 4)}
+    assert [name(r) for r in spark.read.parquet(f"{out}/bodies").collect()] == ["good.pdf"] and spark.read.parquet(f"{out}/raw").count() == 1
+    patterns, cases = files.read_memory(spark, f"{out}/pdf_resolution_memory")
+    (case,) = cases.collect()
+    text = (tmp_path / "in/good.pdf").read_bytes()
+    assert (case.decision, case.strategy_id, case.resolution_method, case.raw_hash) == ("pass", "robust_digital_born", "pattern_match", hashlib.sha256(text).hexdigest())
+    assert patterns.count() == 5 and patterns.where("notes is null").count() == 0
+    first = files.read_catalog(spark, f"{out}/anchor_catalog").collect()
+    assert [r.seq for r in first] == [1]
+    assert cli.main(args) == 0  # the catalog knows the text: nothing is registered again
+    assert files.read_catalog(spark, f"{out}/anchor_catalog").collect() == first and spark.read.json(f"{out}/anchor_catalog").count() == 1
+    _, cases = files.read_memory(spark, f"{out}/pdf_resolution_memory")
+    assert [(r.times_applied, r.example.filename) for r in pdf.usage(cases).collect()] == [(2, "good.pdf")]
+    assert cli.main(["run", str(tmp_path / "scans"), "-o", str(tmp_path / "refused")]) == 4
+    seen = {name(r): r for r in files.read_files(spark, str(tmp_path / "scans")).collect()}
+    assert seen["scan.pdf"].text == "\n\n".join(f"Texto reconhecido de uma página com palavras, folha {p}." for p in range(1, 12)) and seen["scan.pdf"].error is None
+
+
+def test_missing_programs(spark, tmp_path):
+    (tmp_path / "x.pdf").write_text("?")
+    (row,) = read_pages(files.binary_files(spark, str(tmp_path))).collect()
+    assert "not installed" in row.error and row.page_no is None
+    assert "not installed" in files.read_files(spark, str(tmp_path)).first().error
+    assert [r.rung for r in files.read_catalog(spark, str(tmp_path / "none")).collect()] == []
+
+
 def test_stream(spark, tmp_path):
     from vellum.streaming.documents import canonicalise_stream
 

@@ -8,13 +8,14 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vellum.config import Config
 from vellum.operators import pdf, quality
 from vellum.plans import pipeline
 from vellum.sources import files
-from vellum.sources.pdf import split_pages
+from vellum.sources.pdf import read_pages
 
 
 def parser() -> argparse.ArgumentParser:
@@ -39,29 +40,45 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def admit(spark: SparkSession, a: argparse.Namespace) -> tuple[DataFrame, DataFrame]:
+    """(diagnoses of the PDF files among the input, those refused), from their text layers, before anything is extracted. A file
+    that can't be diagnosed goes on without."""
+    raw = files.binary_files(spark, a.input)
+    pages = pipeline.written(read_pages(raw.where(F.lower("path").endswith(".pdf")), pdf.MAX_PAGES), f"{a.out}/tables/pdf_pages")
+    failed = pages.where("error is not null").select("doc_id", "error")
+    failed.write.mode("overwrite").json(f"{a.out}/pdf_undiagnosed")
+    good = pages.where("error is null")
+    known = good.groupBy("doc_id").agg(F.max("total_pages").alias("total_pages"), F.max("raw_hash").alias("raw_hash"))
+    diagnoses = pdf.diagnose(good.select("doc_id", "page_no", "text"), known.select("doc_id", "total_pages")).join(known.select("doc_id", "raw_hash"), "doc_id")
+    diagnoses = pipeline.written(diagnoses, f"{a.out}/tables/pdf_diagnoses")
+    diagnoses.write.mode("overwrite").json(f"{a.out}/pdf_diagnostics")
+    return diagnoses, diagnoses.where("decision = 'abort'").select("doc_id")
+
+
 def run(spark: SparkSession, a: argparse.Namespace) -> int:
     config = Config(a.min_size, a.size_unit, tuple(a.noise_pattern), a.keep_front_matter)
-    docs = files.read_files(spark, a.input, a.source_edition, a.translation_layer, a.source_format)
+    diagnoses = refused = None
+    if not a.skip_pdf_diagnosis:
+        diagnoses, refused = admit(spark, a)
+    docs = files.read_files(spark, a.input, a.source_edition, a.translation_layer, a.source_format, None if a.force_process else refused)
+    docs = pipeline.written(docs, f"{a.out}/tables/extracted")  # files are read, and pages recognised, once
     docs.where("error is not null").select("doc_id", "error").write.mode("overwrite").json(f"{a.out}/unreadable")
     docs = docs.where("error is null").drop("error")
-    if not a.skip_pdf_diagnosis:
-        pages = split_pages(docs.where("source_format = 'pdf'").select("doc_id", "text"))
-        diagnoses = pdf.diagnose(pages)
-        diagnoses.write.mode("overwrite").json(f"{a.out}/pdf_diagnostics")
-        best = pdf.match_patterns(diagnoses, pdf.seed_patterns(spark))
-        pdf.cases(diagnoses, best).write.mode("append").json(f"{a.out}/pdf_case_log")
-        if not a.force_process:
-            refused = diagnoses.where("decision = 'abort'").select("doc_id")
-            if not docs.isEmpty() and docs.join(refused, "doc_id", "left_anti").isEmpty():
-                return 4
-            docs = docs.join(refused, "doc_id", "left_anti")
-    results = pipeline.run(docs, config)
-    results.write(a.out, f"{a.out}/anchor_catalog")
+    if diagnoses is not None and not a.force_process and docs.isEmpty() and not refused.isEmpty():
+        return 4
+    log = f"{a.out}/anchor_catalog"
+    catalog = files.read_catalog(spark, log)
+    seq = 1 + (catalog.agg(F.max("seq")).first()[0] or 0)
+    results = pipeline.run(docs, config, catalog, seq=seq).write(a.out, log)
+    if diagnoses is not None:
+        patterns, _ = files.read_memory(spark, f"{a.out}/pdf_resolution_memory")
+        done = diagnoses.join(results.bodies.select("doc_id"), "doc_id", "left_semi")  # what was processed is logged, nothing else
+        files.save_memory(patterns, pdf.cases(done, pdf.match_patterns(done, patterns)), f"{a.out}/pdf_resolution_memory")
     status = {r["status"]: r["count"] for r in results.dispatched.groupBy("status").count().collect()}  # a row for each status
-    print(results.summary().toJSON().first())
+    print(results.summary(files.read_catalog(spark, log)).toJSON().first())
     if status and set(status) == {"too_small"}:
         return 2
-    return 3 if status and not set(status) & {"canonical", "reused", "config"} else 0
+    return 3 if status and not set(status) & set(pipeline.GOOD) else 0
 
 
 def score(spark: SparkSession, a: argparse.Namespace) -> int:

@@ -94,7 +94,7 @@ def half_even(c: Column, digits: int) -> Column:
 def _folds() -> tuple[str, str, tuple[tuple[str, str], ...]]:
     """From Unicode's own tables: characters that fold to one, those that vanish, and those that fold to several."""
     one, to, gone, many = [], [], [], []
-    for code in (*range(0x80, 0x250), *range(0x300, 0x370), *range(0x1E00, 0x1F00), *range(0x2000, 0x2070), *range(0xFB00, 0xFB07)):
+    for code in (*range(0x80, 0x250), *range(0x300, 0x370), *range(0x1E00, 0x1F00), *range(0x2000, 0x2070), *range(0xFB00, 0xFB07), *range(0xFF10, 0xFF5B)):
         ch = chr(code)
         if unicodedata.category(ch) in ("Cn", "Cs"):
             continue
@@ -112,7 +112,8 @@ def _folds() -> tuple[str, str, tuple[tuple[str, str], ...]]:
 
 
 def label_key(c: Column) -> Column:
-    """Without accents, case-folded, white space collapsed: exact for Latin scripts and general punctuation."""
+    """Without accents, case-folded, white space collapsed: exact for Latin scripts, full-width ones too, and general punctuation.
+    Labels are Latin, so other scripts, which keep their accents here, match none either way."""
     matching, replacing, many = _folds()
     out = F.lower(F.translate(c, matching, replacing))
     several = "".join(ch for ch, _ in many)

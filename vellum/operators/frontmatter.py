@@ -37,7 +37,7 @@ CONNECTIVES = (
 )
 CHAPTER_WORDS = ("capitulo", "cap", "parte", "chapter", "part", "livro", "tomo", "secao", "titulo")
 ORDINALS = ("primeir", "segund", "terceir", "quart", "quint", "sext", "setim", "oitav", "non", "decim")
-HEADING_WORDS, LONG_WORDS, SEVERAL_WORDS = 20, 25, 12
+HEADING_WORDS, LONG_WORDS, SEVERAL_WORDS, JOINED_WORDS = 20, 25, 12, 20
 
 _EDGE = f"(?:$|{NOT_WORD})"
 CONNECTIVE = f"(?:^|{NOT_WORD})(?:{'|'.join(CONNECTIVES)}){_EDGE}"
@@ -65,7 +65,7 @@ def with_signals(blocks: DataFrame, text: str = "text") -> DataFrame:
     })
     long = (wc >= LONG_WORDS) & (F.col("sentences") >= 1)
     several = (F.col("sentences") >= 2) & (wc >= SEVERAL_WORDS)
-    joined = F.col("has_connective") & (wc >= LONG_WORDS - 5)
+    joined = F.col("has_connective") & (wc >= JOINED_WORDS)
     out = out.withColumn("is_discursive", ~F.col("has_toc_leader") & (long | several | joined))
     quiet = ~F.col("is_discursive")
     prefix = key.rlike("^(?:" + "|".join(EDITORIAL_PREFIXES) + ")")

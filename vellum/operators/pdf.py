@@ -26,12 +26,17 @@ PUNCT_IN_WORD = rf"\p{{L}}[<>;:#~^/\\|]{WORD}"
 COLOPHON = rf"(?iu)(?<!{WORD})(?:ISBN|CDD|CDU)(?!{WORD})|Cataloga|Câmara Brasileira do Livro|Copyright ©"
 
 SEEDS = (
-    # id, case_type, decision, strategy, criteria, action, flags, risk
-    ("image_only_scan", "image_only_scan", "abort", "abort_no_text_layer", {"text_page_ratio_lt": 0.05}, "Abortar: nenhuma página com camada textual (PDF-scan sem OCR)", ("--force-process",), "high"),
-    ("low_body_confidence", "sparse_text_layer", "abort", "abort_low_body_confidence", {"body_confidence_lt": 0.25}, "Abortar: confiança de corpo principal muito baixa", (), "high"),
-    ("poor_ocr_quality", "poor_ocr_quality", "pass_with_warning", "pass_with_warning", {"ocr_risk_ge": 0.30, "body_confidence_ge": 0.25}, "Passar com ressalva: OCR ruim detectado, mas corpo suficiente", (), "medium"),
-    ("front_matter_heavy", "heavy_front_matter", "pass_with_warning", "pass_with_warning", {"front_matter_at_head": True, "body_confidence_ge": 0.30}, "Passar com ressalva: front matter pesado no começo", (), "low"),
-    ("robust_digital_born", "robust_digital_born", "pass", "pass_direct", {"text_page_ratio_ge": 0.85, "body_confidence_ge": 0.55, "ocr_risk_lt": 0.15}, "Passar: corpo robusto, nascido-digital ou bem-convertido", (), "low"),
+    # id, case_type, decision, strategy, criteria, action, flags, risk, notes
+    ("image_only_scan", "image_only_scan", "abort", "abort_no_text_layer", {"text_page_ratio_lt": 0.05}, "Abortar: nenhuma página com camada textual (PDF-scan sem OCR)", ("--force-process",), "high",
+     "PDFs escaneados sem OCR prévio — o diagnóstico evita gastar OCR de centenas de páginas."),
+    ("low_body_confidence", "sparse_text_layer", "abort", "abort_low_body_confidence", {"body_confidence_lt": 0.25}, "Abortar: confiança de corpo principal muito baixa", (), "high",
+     "Corpo muito fragmentado, esparso ou OCR muito ruim — não vale prosseguir."),
+    ("poor_ocr_quality", "poor_ocr_quality", "pass_with_warning", "pass_with_warning", {"ocr_risk_ge": 0.30, "body_confidence_ge": 0.25}, "Passar com ressalva: OCR ruim detectado, mas corpo suficiente", (), "medium",
+     "Mojibake, fragmentação de palavra — corpo entra mas requer atenção."),
+    ("front_matter_heavy", "heavy_front_matter", "pass_with_warning", "pass_with_warning", {"front_matter_at_head": True, "body_confidence_ge": 0.30}, "Passar com ressalva: front matter pesado no começo", (), "low",
+     "Sumário/índice/capa detectado — o preclean pode remover, corpo é robusto."),
+    ("robust_digital_born", "robust_digital_born", "pass", "pass_direct", {"text_page_ratio_ge": 0.85, "body_confidence_ge": 0.55, "ocr_risk_lt": 0.15}, "Passar: corpo robusto, nascido-digital ou bem-convertido", (), "low",
+     "PDF de alta qualidade, poucas ressalvas — segue para as trilhas."),
 )
 # ------------------------------------------------------------------------------------------------------------
 
@@ -62,10 +67,10 @@ def header_footer(lines: DataFrame) -> DataFrame:
     return counted.join(top, "doc_id", "left").select("doc_id", F.when(F.col("pages") >= 3, F.coalesce("top", F.lit(0)) / F.col("pages")).otherwise(0.0).alias("header_footer_ratio"))
 
 
-def diagnose(pages: DataFrame, totals: DataFrame | None = None) -> DataFrame:
-    """pages (doc_id, page_no from 0, text) -> one row per document: decision, metrics, reasons. Pages from MAX_PAGES on are not
-    read. totals (doc_id, total_pages) gives true page numbers where they are known."""
-    pages = pages.where(F.col("page_no") < MAX_PAGES).withColumn("text", F.coalesce("text", F.lit("")))
+def diagnose(pages: DataFrame, totals: DataFrame | None = None, max_pages: int | None = MAX_PAGES) -> DataFrame:
+    """pages (doc_id, page_no from 0, text) -> one row per document: decision, metrics, reasons. Pages from max_pages on are not
+    looked at; none: all are. totals (doc_id, total_pages) gives true page numbers where they are known."""
+    pages = (pages if max_pages is None else pages.where(F.col("page_no") < max_pages)).withColumn("text", F.coalesce("text", F.lit("")))
     pages = pages.withColumn("is_text", F.regexp_count("text", F.lit(r"\p{L}")) >= PAGE_LETTERS)
     n_text = F.sum(F.col("is_text").cast("int")).over(Window.partitionBy("doc_id"))
     sampled = pages.withColumn("_sampled", F.when(n_text > 0, F.col("is_text")).otherwise(True))
@@ -113,23 +118,26 @@ def diagnose(pages: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     )
 
 
+MOST_PATTERNS = 10_000
 CRITERIA = ("text_page_ratio_lt", "text_page_ratio_ge", "body_confidence_lt", "body_confidence_ge", "ocr_risk_lt", "ocr_risk_ge", "front_matter_at_head", "header_footer_ratio_ge", "short_line_ratio_head_ge")
 PATTERN_SCHEMA = (
     "ord int, id string, case_type string, decision string, resolution_strategy string, "
     + ", ".join(f"{c} {'boolean' if c == 'front_matter_at_head' else 'double'}" for c in CRITERIA)
-    + ", recommended_action string, recommended_cli_flags array<string>, residual_risk string"
+    + ", recommended_action string, recommended_cli_flags array<string>, residual_risk string, notes string"
 )
 CASE_SCHEMA = "timestamp string, path string, raw_hash string, decision string, strategy_id string, resolution_method string, notes string, diagnosis string"
 
 
 def seed_patterns(spark: SparkSession) -> DataFrame:
-    rows = [(k, i, case, decision, strategy, *[criteria.get(c) for c in CRITERIA], action, list(flags), risk) for k, (i, case, decision, strategy, criteria, action, flags, risk) in enumerate(SEEDS)]
+    rows = [(k, i, case, decision, strategy, *[criteria.get(c) for c in CRITERIA], action, list(flags), risk, notes) for k, (i, case, decision, strategy, criteria, action, flags, risk, notes) in enumerate(SEEDS)]
     return spark.createDataFrame(rows, PATTERN_SCHEMA)
 
 
 def match_patterns(diagnoses: DataFrame, patterns: DataFrame) -> DataFrame:
     """(doc_id, rank, pattern columns, confidence): all patterns that a (rounded) diagnosis meets, by score, then registry order. The registry is
-    tens of rows, so it is broadcast; a null criterion is ignored."""
+    tens of rows, so it is broadcast, of MOST_PATTERNS at most; a null criterion is ignored."""
+    if patterns.limit(MOST_PATTERNS + 1).count() > MOST_PATTERNS:
+        raise ValueError(f"more than {MOST_PATTERNS} patterns")
     metric = {"text_page_ratio": "text_page_ratio", "body_confidence": "body_confidence", "ocr_risk": "ocr_risk", "header_footer_ratio": "repeated_header_footer_ratio", "short_line_ratio_head": "short_line_ratio_head"}
     cond = F.lit(True)
     for c in CRITERIA:
@@ -149,17 +157,21 @@ def match_patterns(diagnoses: DataFrame, patterns: DataFrame) -> DataFrame:
     return out.withColumn("rank", rank).drop("ord")
 
 
-def cases(diagnoses: DataFrame, best: DataFrame, succeeded: bool = True, method: str = "automatic") -> DataFrame:
-    """Rows for the case log: a success is logged as pass, whatever the diagnosis, which is kept beside it."""
+def cases(diagnoses: DataFrame, best: DataFrame, succeeded: bool = True) -> DataFrame:
+    """Rows for the case log: a success is logged as pass, whatever the diagnosis, which is kept beside it; by the best pattern or,
+    without one, by default."""
     d = diagnoses.join(best.where("rank = 1").select("doc_id", F.col("id").alias("strategy_id")), "doc_id", "left")
     path = F.col("path") if "path" in d.columns else F.col("doc_id").cast("string")
     raw = F.col("raw_hash") if "raw_hash" in d.columns else F.lit(None).cast("string")
+    known = F.col("strategy_id").isNotNull()
+    notes = F.concat(F.lit("processed" if succeeded else "refused"), F.lit("; pattern: "), F.coalesce("strategy_id", F.lit("none")))
     return d.select(
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"), path.alias("path"), raw.alias("raw_hash"), F.when(F.lit(succeeded), "pass").otherwise(F.col("decision")).alias("decision"),
-        "strategy_id", F.lit(method).alias("resolution_method"), F.lit("").alias("notes"), F.col("decision").alias("diagnosis"),
+        "strategy_id", F.when(known, "pattern_match").otherwise("default").alias("resolution_method"), notes.alias("notes"), F.to_json(F.struct(*[c for c in diagnoses.columns if c not in ("doc_id", "path", "raw_hash")])).alias("diagnosis"),
     )
 
 
 def usage(case_log: DataFrame) -> DataFrame:
     """Per strategy: times_applied, last_applied and an example, from the log instead of mutable counters."""
-    return case_log.where("strategy_id is not null").groupBy("strategy_id").agg(F.count("*").alias("times_applied"), F.max("timestamp").alias("last_applied"), F.max_by("path", "timestamp").alias("example"))
+    example = F.struct(F.element_at(F.split("path", "/"), -1).alias("filename"), "raw_hash", "timestamp", "decision", F.get_json_object("diagnosis", "$.body_confidence").cast("double").alias("body_confidence"))
+    return case_log.where("strategy_id is not null").groupBy("strategy_id").agg(F.count("*").alias("times_applied"), F.max("timestamp").alias("last_applied"), F.max_by(example, F.struct("timestamp", "path")).alias("example"))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from vellum.config import CONCEPTUAL, ENGINE_VERSION, FORMAL, NOISE_PATTERNS
+import hashlib
+import re
+
+from vellum.config import CONCEPTUAL, ENGINE_VERSION, FORMAL, FRONT_MATTER_VERSION, NOISE_PATTERNS
 from vellum.functions.text import repertoire_hash
 from vellum.operators.eligibility import COPYRIGHT, CROSS_SELL, FRONT_MARKERS, OPENING, REASONS, THRESHOLDS, TRANSLATION
 from vellum.operators.frontmatter import CHAPTER_WORDS, CONNECTIVES, EDITORIAL_PREFIXES, ORDINALS, STRUCTURAL_LABELS
+from vellum.operators.pdf import LEGIT_SINGLE, SEEDS
 from vellum.operators.quality import PENALTIES
 
 #: Plain SQL that Spark and DuckDB read alike.
@@ -165,8 +169,9 @@ def _gate(body: str) -> str:
 GATED = "gated AS (SELECT doc_id, text AS body FROM docs)"
 ON_BODIES = ",\n".join((DOCS.replace("docs AS", "decorated AS"), "small AS (SELECT doc_id, len(list_filter(regexp_split_to_array(" + STRIP.format("text") + r", '\s+'), lambda x: x <> '')) < 200 AS small FROM decorated)"))
 
-CATALOG = """log AS (SELECT sha256(text) AS text_id, CASE WHEN doc_id % 6 = 0 THEN 'config' ELSE 'canonical' END AS rung, CASE WHEN doc_id % 4 = 0 THEN '0.9.0' ELSE '1.0.0' END AS contract_version, doc_id * 2 AS seq FROM docs WHERE doc_id % 2 = 0
-        UNION ALL SELECT sha256(text), 'hook', CASE WHEN doc_id % 4 = 0 THEN '0.9.0' ELSE '1.0.0' END, doc_id * 2 + 1 FROM docs WHERE doc_id % 10 = 0),
+CATALOG = """first AS (SELECT CASE WHEN doc_id % 2 = 0 THEN sha256(text) ELSE sha256(text || '?') END AS text_id, CASE WHEN doc_id % 6 = 0 THEN 'config' ELSE 'canonical' END AS rung, CASE WHEN doc_id % 4 = 0 THEN '0.9.0' ELSE '1.0.0' END AS contract_version,
+        sha256(text) AS body_hash, doc_id * 2 AS seq, doc_id FROM docs),
+    log AS (SELECT * FROM first UNION ALL SELECT text_id, 'hook', contract_version, body_hash, seq + CASE WHEN doc_id % 10 = 0 THEN 1 ELSE -1 END, doc_id FROM first),
     latest AS (SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY text_id ORDER BY seq DESC) = 1)"""
 
 PAGES = r"""pages_ AS (SELECT conv_id AS doc_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS page_no, coalesce(text, '') AS text FROM conversations),
@@ -204,6 +209,77 @@ PROFILE = """shared AS (SELECT c.doc_id, c.chunk_id, p.block_class, sum(least(c.
     profile AS (SELECT doc_id, chunk_id, block_class, n / sum(n) OVER (PARTITION BY doc_id, chunk_id)::DOUBLE AS share FROM shared)"""
 FORMAL_PARAS = "kept AS (SELECT * FROM paras WHERE block_type = 'body')"
 
+PLAIN_FILLING = repertoire_hash(NOISE_PATTERNS)
+TRIMMED_FILLING = hashlib.sha256(f"{PLAIN_FILLING}\x1ffm:{FRONT_MATTER_VERSION}:run=4:zone=80".encode()).hexdigest()
+
+
+def _freeze(filling: str) -> str:
+    return f"sha256(sha256(text) || chr(31) || {filling} || chr(31) || '{ENGINE_VERSION}')"
+
+
+#: Decorated texts (docs0), cleaned, and the gate's verdict on the bodies of those that are large enough (docs).
+DISPATCHED = ",\n".join((
+    ON_BODIES, "docs0 AS (SELECT doc_id, text FROM decorated)", LINES.replace("FROM docs)", "FROM docs0)"), CLEAN, BODY.replace("docs", "docs0"),
+    "docs AS (SELECT doc_id, body AS text FROM cleaned JOIN small USING (doc_id) WHERE NOT small)", LINES.replace("lines AS", "lines2 AS"), OFFSETS.replace("FROM lines", "FROM lines2"), DEPTH, GATED, _gate("body"),
+    "verdict AS (SELECT doc_id, arg_min(c.code, c.ord) FILTER (NOT c.passed) AS failure FROM checks GROUP BY doc_id)",
+))
+
+
+def _renamed(sql: str, *names: str) -> str:
+    """Common table expressions under names of their own."""
+    return re.sub(rf"\b({'|'.join(names)})\b", r"\1_f", sql)
+
+
+_WINDOWS = ("numbered", "fold", "windowed", "chunked", "q1", "q2", "q3", "q4", "q5", "scored")
+
+
+def _counts(key: str, source: str) -> str:
+    return f"""(SELECT '{{' || string_agg('"' || k || '":' || n, ',' ORDER BY k) || '}}' FROM (SELECT {key} AS k, count(*) AS n FROM {source} GROUP BY {key}))"""
+
+
+DIAGNOSED = rf"""tok AS (SELECT *, CASE WHEN texts > 0 THEN is_text ELSE true END AS sampled, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS w FROM pg),
+    per AS (SELECT doc_id, count(*) AS n, sum(is_text::INT) AS n_text, coalesce(sum(length(text)) FILTER (is_text), 0) AS text_chars, sum(length(text)) FILTER (sampled) + count(*) FILTER (sampled) - 1 AS every, sum(len(regexp_extract_all(text, '�'))) FILTER (sampled) AS repl,
+        sum(len(w)) FILTER (sampled) AS toks, sum(len(list_filter(w, lambda x: regexp_matches(x, '^\p{{L}}$') AND NOT contains('{LEGIT_SINGLE}', x)))) FILTER (sampled) AS single, sum(len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}[<>;:#~^/\\|][\p{{L}}\p{{N}}_]')))) FILTER (sampled) AS punct FROM tok GROUP BY doc_id),
+    hl AS (SELECT doc_id, 0 AS idx, line AS text FROM ln WHERE page_no < 6), {_signals("hl", "hs")},
+    heads AS (SELECT doc_id, avg((length(text) < 25)::INT) AS short, sum(is_structural_label::INT) + sum(has_toc_leader::INT) + sum(regexp_matches(text, '(?i)\b(ISBN|CDD|CDU)\b|Cataloga|Câmara Brasileira do Livro|Copyright ©')::INT) AS marks FROM hs GROUP BY doc_id),
+    loose AS (SELECT doc_id, avg(regexp_matches(line, '^\s*[-–—]?\s*[0-9]{{1,4}}\s*[-–—]?\s*$')::INT) AS loose FROM ln GROUP BY doc_id),
+    m1 AS (SELECT p.*, n_text / n::DOUBLE AS ratio, coalesce(text_chars / nullif(n_text, 0)::DOUBLE, 0) AS dense, coalesce(short, 0) AS short, coalesce(marks, 0) >= 3 AS fm, coalesce(loose, 0) AS loose, coalesce(header_footer_ratio, 0) AS hf,
+        least(1, greatest(0, 0.5::DOUBLE * least(1, repl / greatest(1, every)::DOUBLE * 1000) + 0.3::DOUBLE * least(1, single / greatest(1, toks)::DOUBLE * 100) + 0.2::DOUBLE * least(1, punct / greatest(1, toks)::DOUBLE * 100 / 0.5::DOUBLE))) AS risk
+        FROM per p LEFT JOIN heads USING (doc_id) LEFT JOIN loose USING (doc_id) LEFT JOIN header USING (doc_id)),
+    m2 AS (SELECT *, least(1, greatest(0, ratio * least(1, dense / 800) * (1 - 0.5::DOUBLE * risk))) AS conf FROM m1),
+    m3 AS (SELECT *, list_filter([CASE WHEN n_text = 0 THEN 'no_text_layer' END, CASE WHEN n_text > 0 AND ratio < 0.15 THEN 'sparse_text_layer' END, CASE WHEN n_text > 0 AND conf < 0.25 THEN 'low_body_confidence' END, CASE WHEN risk >= 0.3 THEN 'ocr_quality_risk' END,
+        CASE WHEN conf < 0.55 AND conf >= 0.25 THEN 'moderate_body_confidence' END, CASE WHEN fm THEN 'front_matter_at_head' END, CASE WHEN hf >= 0.5 THEN 'running_header_footer' END, CASE WHEN loose >= 0.18 THEN 'loose_numbering' END,
+        CASE WHEN short >= 0.55 AND conf < 0.55 THEN 'fragmented_head' END], lambda x: x IS NOT NULL) AS reasons FROM m2),
+    diagnosed AS (SELECT *, CASE WHEN list_has_any(reasons, ['no_text_layer', 'sparse_text_layer', 'low_body_confidence']) THEN 'abort' WHEN len(reasons) > 0 THEN 'pass_with_warning' ELSE 'pass' END AS decision FROM m3)"""
+
+
+def _patterns() -> str:
+    """Seed patterns met by the rounded metrics, with their confidence."""
+    column = {"text_page_ratio": "round_even(ratio, 4)", "body_confidence": "round_even(conf, 4)", "ocr_risk": "round_even(risk, 4)"}
+    parts = []
+    for k, seed in enumerate(SEEDS):
+        tests, score = [], "1.0::DOUBLE"
+        for name, value in seed[4].items():
+            if name == "front_matter_at_head":
+                tests.append("fm" if value else "NOT fm")
+                continue
+            x = column[name[:-3]]
+            tests.append(f"{x} {'<' if name.endswith('_lt') else '>='} {value}")
+            gap = f"abs({value} - {x})"
+            if name == "text_page_ratio_lt":
+                score += f" * CASE WHEN {gap} > 0.2 THEN 0.8::DOUBLE WHEN {gap} < 0.05 THEN 0.9::DOUBLE ELSE 1 END"
+            elif name == "body_confidence_lt":
+                score += f" * CASE WHEN {gap} > 0.2 OR {gap} < 0.05 THEN 0.85::DOUBLE ELSE 1 END"
+        parts.append(f"SELECT doc_id, {k} AS ord, '{seed[0]}' AS id, {score} AS confidence FROM diagnosed WHERE {' AND '.join(tests)}")
+    return "met AS (" + " UNION ALL ".join(parts) + "),\n    patterns AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY confidence DESC, ord)::INT AS rank FROM met)"
+
+
+#: The regular markup of the table: a head to skip, comments, blocks and inline tags, four entities.
+HTML_BLOCKS = r"""WITH a AS (SELECT page_id AS doc_id, regexp_replace(regexp_replace(html, '<head>.*?</head>', '', 'gs'), '<!--.*?-->', '', 'gs') AS h FROM pages),
+    b AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(h, '<br>', ' ', 'g'), '</?(p|li|div|article|h1)( [^>]*)?>', chr(1), 'g'), '<[^>]*>', '', 'g') AS h FROM a),
+    c AS (SELECT doc_id, replace(replace(replace(replace(h, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&') AS h FROM b)
+    SELECT doc_id, array_to_string(list_filter(list_transform(string_split(h, chr(1)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10) || chr(10)) AS text FROM c"""
+
 ORACLE_SQL: dict[str, str] = {
     "text_size": _sql(DOCS, select=rf"SELECT doc_id, len(list_filter(regexp_split_to_array({STRIP.format('text')}, '\s+'), lambda x: x <> ''))::INT AS words, length(regexp_replace({STRIP.format('text')}, '^\s+|\s+$', '', 'g'))::INT AS chars, sha256({STRIP.format('text')}) AS prose_sha256 FROM docs"),
     "freeze_key": f"SELECT doc_id, sha256(text) AS raw_hash, sha256(sha256(text) || chr(31) || CASE WHEN doc_id % 2 = 0 THEN '{repertoire_hash(NOISE_PATTERNS)}' ELSE '∅' END || chr(31) || '{ENGINE_VERSION}') AS freeze_key FROM documents",
@@ -236,7 +312,7 @@ ORACLE_SQL: dict[str, str] = {
     "catalog_current": _sql(DOCS, CATALOG, select="SELECT text_id, rung, contract_version, seq FROM latest"),
     "catalog_stats": _sql(DOCS, CATALOG, select="SELECT rung, count(*) AS n FROM latest GROUP BY rung"),
     "catalog_stale": _sql(DOCS, CATALOG, select="SELECT text_id FROM latest WHERE contract_version <> '1.0.0'"),
-    "catalog_lookup": _sql(DOCS, CATALOG, select="SELECT doc_id, rung, text_id AS body_hash FROM docs LEFT JOIN latest ON sha256(text) = text_id"),
+    "catalog_lookup": _sql(DOCS, CATALOG, select="SELECT docs.doc_id, rung, body_hash FROM docs LEFT JOIN latest ON sha256(text) = text_id"),
     "chunks": _sql(STRUCTURE, _greedy("paras", *CONCEPTUAL), select=CHUNK_ROWS, recursive=True),
     "chunks_formal": _sql(STRUCTURE, FORMAL_PARAS, _greedy("kept", *FORMAL), select=CHUNK_ROWS, recursive=True),
     "quality": _sql("docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)", LINES, OFFSETS, DEPTH, PARAGRAPHS, _greedy("paras", *CONCEPTUAL), _quality("chunked"), select=QUALITY_ROWS, recursive=True),
@@ -249,5 +325,27 @@ ORACLE_SQL: dict[str, str] = {
     "repeated_text": rf"WITH a AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+') AS w FROM documents), b AS (SELECT *, {_GRAMS} AS g FROM a) SELECT doc_id, {_REPEATED} AS score FROM b",
     "class_profile": _sql(STRUCTURE, CLASSES, _greedy("paras", *CONCEPTUAL), PROFILE, select="SELECT doc_id, chunk_id, block_class, round(share, 9) AS share FROM profile", recursive=True),
     "eligibility": _sql(STRUCTURE, CLASSES, FORMAL_PARAS, _greedy("kept", *FORMAL), PROFILE, _reason(), select="SELECT doc_id, chunk_id, unnest(['conceitual', 'formal']) AS track, reason IS NOT NULL AS is_noise, reason FROM reasons", recursive=True),
+    "dispatch_reuse": _sql(
+        DISPATCHED, """log AS (SELECT CASE WHEN doc_id % 8 = 7 THEN sha256(text || '?') ELSE sha256(text) END AS text_id, CASE doc_id % 8 WHEN 1 THEN 'unsupported_rung' WHEN 2 THEN 'drift' ELSE 'reused' END AS known, doc_id FROM decorated),
+    latest AS (SELECT text_id, arg_max(known, doc_id) AS known FROM log GROUP BY text_id),
+    reused AS (SELECT s.doc_id, small, known FROM small s JOIN decorated USING (doc_id) LEFT JOIN latest ON text_id = sha256(text))""",
+        select="""SELECT r.doc_id, CASE WHEN small THEN 'too_small' WHEN known IS NOT NULL THEN known WHEN failure IS NULL THEN 'canonical' ELSE 'needs_hook' END AS status, CASE WHEN NOT small THEN sha256(body) END AS body_hash
+            FROM reused r LEFT JOIN verdict USING (doc_id) LEFT JOIN cleaned USING (doc_id)"""),
+    "filling_hashes": _sql(DOCS, f"f AS (SELECT *, CASE WHEN doc_id % 3 = 0 THEN '{TRIMMED_FILLING}' ELSE '{PLAIN_FILLING}' END AS filling FROM docs)", select=f"SELECT doc_id, doc_id % 3 = 0 AS trimmed, filling AS filling_hash, {_freeze('filling')} AS freeze_key FROM f"),
+    "catalog_entries": _sql(
+        DISPATCHED, select=f"""SELECT sha256(text) AS text_id, 'canonical' AS rung, body_size, sha256(body) AS body_hash, {_freeze("'" + PLAIN_FILLING + "'")} AS freeze_key, '1.0.0' AS contract_version, CASE WHEN doc_id % 19 = 0 THEN '' ELSE 'first' END AS source_edition, 3::BIGINT AS seq
+            FROM verdict JOIN sized USING (doc_id) JOIN decorated USING (doc_id) WHERE failure IS NULL"""),
+    "run_summary": _sql(
+        DISPATCHED, PARAGRAPHS.replace("paras AS", "all_paras AS"), "paras AS (SELECT a.* FROM all_paras a JOIN verdict v USING (doc_id) WHERE failure IS NULL)", CLASSES, _greedy("paras", *CONCEPTUAL), _quality("chunked"),
+        FORMAL_PARAS, _renamed(_greedy("kept", *FORMAL), *_WINDOWS), _renamed(_quality("chunked"), *_WINDOWS),
+        "statuses AS (SELECT CASE WHEN small THEN 'too_small' WHEN failure IS NULL THEN 'canonical' ELSE 'needs_hook' END AS status, CASE WHEN NOT small AND failure IS NULL THEN 'canonical' END AS rung FROM small s LEFT JOIN verdict USING (doc_id))",
+        select=f"""SELECT {_counts('status', 'statuses')} AS documents, {_counts('block_class', 'classes')} AS classes, {_counts('rung', "(SELECT rung FROM statuses WHERE rung IS NOT NULL)")} AS catalog,
+            (SELECT count(*) FROM scored WHERE status = 'ok') AS ok_chunks, (SELECT count(*) FROM scored_f WHERE status = 'ok') AS ok_formal_chunks""", recursive=True),
+    "html_blocks": HTML_BLOCKS,
+    "pdf_pages": r"""WITH a AS (SELECT doc_id, string_split(coalesce(text, '') || chr(10), chr(10)) AS p FROM documents), b AS (SELECT doc_id, CASE WHEN trim(p[-1]) = '' THEN p[:-2] ELSE p END AS p FROM a),
+        c AS (SELECT doc_id, unnest(p) AS page, generate_subscripts(p, 1) - 1 AS page_no FROM b) SELECT doc_id, page_no::INT AS page_no, sha256(regexp_replace(page || chr(10) || chr(10) || '.', '^\s+', '')) AS text_sha256, length(trim(page)) >= 80 AS meaningful FROM c WHERE page_no < 50""",
+    "pdf_diagnostics": _sql(PAGES, HEADER, DIAGNOSED, select="SELECT doc_id, decision, n AS pages_analyzed, n_text::BIGINT AS pages_with_text, round(round_even(ratio, 4), 3) AS text_page_ratio, round(round_even(risk, 4), 3) AS ocr_risk, fm AS front_matter_at_head, array_to_string(reasons, ',') AS reasons FROM diagnosed"),
+    "pdf_patterns": _sql(PAGES, HEADER, DIAGNOSED, _patterns(), select="SELECT doc_id, rank, id, confidence FROM patterns"),
+    "pdf_usage": _sql(PAGES, HEADER, DIAGNOSED, _patterns(), select="SELECT id AS strategy_id, count(*) AS times_applied FROM patterns WHERE rank = 1 GROUP BY id"),
     "pdf_header_footer": _sql(PAGES, HEADER, select="SELECT doc_id, header_footer_ratio FROM header"),
 }

@@ -17,6 +17,7 @@ from vellum.oracles import DECORATED
 from vellum.oracles import ORACLE_SQL as ORACLE_SQL
 from vellum.plans import pipeline
 from vellum.sources.html import extract_html
+from vellum.sources.pdf import meaningful, normalized, split_pages
 
 CONFIG = Config(min_size=200)
 
@@ -127,16 +128,18 @@ def gate_results(spark, d):
 
 
 def _catalog(spark, d) -> DataFrame:
-    """A log built from decorated texts: hash by hash, an old contract for some, and later entries for a few."""
-    first = decorated(spark, d).where("doc_id % 2 = 0").select(
-        t.sha256(F.col("text")).alias("text_id"), F.when(F.col("doc_id") % 6 == 0, "config").otherwise("canonical").alias("rung"),
+    """A log of decorated texts, half of them under another hash, with an old contract for some; all are registered again, a few
+    of them later than at first."""
+    text_id = F.when(F.col("doc_id") % 2 == 0, t.sha256(F.col("text"))).otherwise(t.sha256(F.concat("text", F.lit("?"))))
+    first = decorated(spark, d).select(
+        text_id.alias("text_id"), F.when(F.col("doc_id") % 6 == 0, "config").otherwise("canonical").alias("rung"),
         F.struct(F.lit("canonical").alias("kind"), F.lit(None).cast("string").alias("ref")).alias("filling"),
         F.struct(F.lit("txt").alias("source_format"), F.lit("first").alias("source_edition"), F.lit(None).cast("string").alias("translation_layer")).alias("provenance"), F.lit(1).alias("body_size"),
         F.struct(F.lit(True).alias("passed"), F.when(F.col("doc_id") % 4 == 0, "0.9.0").otherwise("1.0.0").alias("contract_version")).alias("gate"),
         t.sha256(F.col("text")).alias("body_hash"), F.lit(None).cast("string").alias("freeze_key"), (F.col("doc_id") * 2).alias("seq"), "doc_id",
     )
-    later = first.where("doc_id % 10 = 0").withColumn("rung", F.lit("hook")).withColumn("seq", F.col("seq") + 1)
-    return first.unionByName(later).drop("doc_id")
+    again = first.withColumn("rung", F.lit("hook")).withColumn("seq", F.col("seq") + F.when(F.col("doc_id") % 10 == 0, 1).otherwise(-1))
+    return first.unionByName(again).drop("doc_id")
 
 
 def catalog_current(spark, d):
@@ -161,6 +164,37 @@ def dispatch_status(spark, d):
     return dispatch.dispatch(docs, CONFIG).select("doc_id", "status", "body_hash", "static_failure", "roundtrip_failure")
 
 
+def dispatch_reuse(spark, d):
+    """Against a log that knows all texts: with their bodies, with others, or by a rung without an engine; a few under another hash."""
+    docs = bodies(spark, d).withColumnRenamed("body", "text")
+    body = clean.preclean(docs, CONFIG).select("doc_id", "output_sha256")
+    i = F.col("doc_id") % 8
+    log = docs.join(body, "doc_id").select(
+        F.when(i == 7, t.sha256(F.concat("text", F.lit("?")))).otherwise(t.sha256(F.col("text"))).alias("text_id"), F.when(i == 1, "config").otherwise("canonical").alias("rung"),
+        F.when(i == 2, F.lit("other")).otherwise(F.col("output_sha256")).alias("body_hash"), F.struct(F.lit("1.0.0").alias("contract_version")).alias("gate"), F.col("doc_id").alias("seq"),
+    )
+    return dispatch.dispatch(docs, CONFIG, log).select("doc_id", "status", "body_hash")
+
+
+def filling_hashes(spark, d):
+    docs = bodies(spark, d).withColumnRenamed("body", "text").withColumn("source_format", F.when(F.col("doc_id") % 3 == 0, "epub").otherwise("txt"))
+    return dispatch.prepare(docs, CONFIG).select("doc_id", "trimmed", "filling_hash", "freeze_key")
+
+
+def catalog_entries(spark, d):
+    """What a run registers."""
+    docs = bodies(spark, d).withColumnRenamed("body", "text")
+    rows = pipeline.run(docs, CONFIG, seq=3).catalog_entries
+    return rows.select("text_id", "rung", "body_size", "body_hash", "freeze_key", F.col("gate.contract_version").alias("contract_version"), F.col("provenance.source_edition").alias("source_edition"), "seq")
+
+
+def pdf_pages(spark, d):
+    """Lines of the documents as pages of a text layer."""
+    layers = documents(spark, d).select("doc_id", F.replace(F.concat(F.coalesce("text", F.lit("")), F.lit("\n")), F.lit("\n"), F.lit("\f")).alias("text"))
+    pages = split_pages(layers, 50)
+    return pages.select("doc_id", "page_no", t.sha256(normalized(F.concat(F.lit(" \r\n"), "text", F.lit("\f.\r")))).alias("text_sha256"), meaningful(F.col("text")).alias("meaningful"))
+
+
 def _chunk_rows(df: DataFrame) -> DataFrame:
     types = F.array_join(F.transform(F.array_sort(F.map_entries("block_types")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",")
     spans = F.array_join(F.transform("paragraph_spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
@@ -236,15 +270,16 @@ def html_blocks(spark, d):
 
 def run_summary(spark, d):
     docs = bodies(spark, d).withColumnRenamed("body", "text")
-    return pipeline.run(docs, CONFIG).summary().select(F.to_json("documents").alias("documents"), "ok_chunks", "ok_formal_chunks")
+    results = pipeline.run(docs, CONFIG)
+    return results.summary(results.catalog_entries).select(*[F.to_json(c).alias(c) for c in ("documents", "classes", "catalog")], "ok_chunks", "ok_formal_chunks")
 
 
 QUERIES = {
     "text_size": text_size, "freeze_key": freeze_key, "lines_offsets": lines_offsets, "clean_noise": clean_noise, "clean_pagenum": clean_pagenum, "clean_dehyphen": clean_dehyphen,
     "clean_reflow": clean_reflow, "clean_front_matter": clean_front_matter, "clean_body": clean_body, "fm_signals": fm_signals, "fm_labels": fm_labels, "paragraphs": paragraphs,
-    "classification": classification, "class_counts": class_counts, "gate_checks": gate_checks, "gate_results": gate_results, "dispatch_status": dispatch_status,
+    "classification": classification, "class_counts": class_counts, "gate_checks": gate_checks, "gate_results": gate_results, "dispatch_status": dispatch_status, "dispatch_reuse": dispatch_reuse, "filling_hashes": filling_hashes, "catalog_entries": catalog_entries,
     "catalog_current": catalog_current, "catalog_stats": catalog_stats, "catalog_stale": catalog_stale, "catalog_lookup": catalog_lookup, "chunks": chunks, "chunks_formal": chunks_formal,
     "quality": quality_chunks, "quality_documents": quality_documents, "quality_report": quality_report, "repeated_text": repeated_text, "class_profile": class_profile, "eligibility": track_eligibility,
-    "pdf_header_footer": pdf_header_footer, "pdf_diagnostics": pdf_diagnostics, "pdf_patterns": pdf_patterns, "pdf_usage": pdf_usage, "html_blocks": html_blocks, "run_summary": run_summary,
+    "pdf_pages": pdf_pages, "pdf_header_footer": pdf_header_footer, "pdf_diagnostics": pdf_diagnostics, "pdf_patterns": pdf_patterns, "pdf_usage": pdf_usage, "html_blocks": html_blocks, "run_summary": run_summary,
 }
 
