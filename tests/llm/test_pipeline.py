@@ -30,3 +30,16 @@ def test_stages(spark, tmp_path):
     assert last + 1 not in seen[1] and docs[5]["doc_id"] in seen[1] | {r["doc_id"] for r in docs[:5]}
     assert seen[2] == seen[1] and last + 2 in seen[2] and last + 2 not in seen[3] and seen[4] == seen[3]
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == seen[4]
+
+
+def test_repeated_rows_and_empty_tables(spark, tmp_path):
+    """Repeated rows and null ids go through every stage; without rows, or without a benchmark, so does nothing."""
+    docs = pq.read_table("/root/testdata/sf0.001/documents.parquet").to_pylist()[:60]
+    odd = [docs[3]] * 5 + [docs[4] | {"doc_id": None}] * 3 + [docs[5] | {"lang": None}]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for name, rows, items in (("full", docs + odd, []), ("empty", [], [{"item_id": 1, "text": "some item to find"}])):
+        folder = tmp_path / name
+        spark.createDataFrame(rows, schema).write.parquet(str(folder / "documents.parquet"))
+        spark.createDataFrame(items, "item_id long, text string").write.parquet(str(folder / "benchmark.parquet"))
+        out = [r.doc_id for r in corpus_pipeline.run(spark, str(folder)).collect()]
+        assert len(out) == len(set(out)) and set(out) <= {r["doc_id"] for r in rows} and (name == "empty" or len(out) > 30)

@@ -201,7 +201,7 @@ def test_chat_grammar():
         list(chat.parse("<|im_start|>user\na<|im_start|>b<|im_end|>\n"))
 
 
-def test_chat_frames(spark, monkeypatch):
+def test_chat_frames(spark):
     rows = [(1, 1, "assistant", "b<|im_end|>"), (1, 0, "user", "a"), (2, None, None, None), (2, 0, "assistant", "x"), (2, 0, "assistant", "x"), (None, 5, "user", "z")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("part", F.lit(1)).withColumn("loss", F.lit(1))
     formatted = chat.format_conversations(df)
@@ -217,3 +217,16 @@ def test_chat_frames(spark, monkeypatch):
 def test_list_rows():
     table = pa.table({"a": pa.chunked_array([[[1, 2], []], [[3]]])})
     assert [x[0].tolist() for x in common.list_rows(table, "a")] == [[1, 2], [], [3]]
+
+
+def test_conversations_of_several_parts(spark, monkeypatch):
+    """A conversation that fills many parts comes back as one, in order; one of many turns on one number keeps them all."""
+    monkeypatch.setattr(chat, "PART", 200)
+    rows = [(c, t, "assistant" if t % 2 else "user", f"turn {t} <|im_end|> " * 5) for c in (1, 2) for t in range(60)] + [(3, 0, "user", f"{k:04d}") for k in range(300)]
+    formatted = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert formatted.where("conv_id = 1").count() > 20
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    for r in chat.read_back(formatted).collect():
+        mine = [x for x in rows if x[0] == r.conv_id]
+        assert (r.n_turns, r.turns_sha256) == (len(mine), sha("".join(f"{x[2]}\n{x[3]}\n" for x in mine)))
+        assert r.loss_sha256 == sha("".join(x[3] for x in mine if x[2] == "assistant"))

@@ -533,3 +533,207 @@ def test_best_chain(points):
     first = [points[i] for i in found[0]]
     score = len(first) * chaining.K - chaining.GAP * sum(q - p + v - u for (p, u), (q, v) in zip(first, first[1:], strict=False))
     assert score == pytest.approx(max(best))
+
+
+def small_vocabulary():
+    pieces_ = [("▁", -1.0), ("a", -1.0), ("aa", -2.0), ("▁a", -2.0), ("ab", -2.0), ("b", -1.0), ("aaa", -3.0)]
+    return pieces.Vocabulary([*pieces_, *[(None, 0.0)] * 256], list(range(len(pieces_), len(pieces_) + 256)))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="abz", min_size=1, max_size=8))
+def test_ties_go_to_the_longest_last_piece(s):
+    """By enumeration: of the best paths, that with the longest last piece, then the longest before it; in both searches."""
+    v = small_vocabulary()
+    size = {i: len(p) for p, i in v.ids.items()}
+    marked = pieces.MARK + s
+    paths = every_path(v, marked)
+    lengths = lambda ids: [size.get(i, 1) for i in reversed(ids)]
+    want = max((x for x in paths if x[0] == paths[0][0]), key=lambda x: lengths(x[1]))
+    assert v.nbest(marked, 3)[0] == want and [x for x, _ in v.nbest(marked, 3)] == [x for x, _ in paths[:3]]
+    assert np.frombuffer(pieces.Encoder(v, 4).encode(s)[0], np.int32).tolist() == list(want[1])
+
+
+def test_ties_cost_a_path_each():
+    v = small_vocabulary()
+    for n in (36, 400, 3000):
+        found = v.nbest(pieces.MARK + "a" * n, 4)
+        assert len({x for _, x in found}) == 4 and {x for x, _ in found} == {-float(n + 1)}
+
+
+def test_both_searches_agree():
+    """Random words of the real vocabulary, encoded many at once and alone."""
+    v, rng = _vocabulary(), random.Random(3)
+    words = ["".join(rng.choice("abdeghilnorstuyé") for _ in range(rng.randint(3, 40))) for _ in range(1500)]
+    encoder = pieces.Encoder(v, 4)
+    for w, (ids, scores) in zip(words, encoder.encode_all(words), strict=True):
+        alone = v.nbest(pieces.MARK + w, 4)
+        assert np.frombuffer(ids, np.int32).tolist() == list(alone[0][1]) and scores == [x for x, _ in alone]
+
+
+def test_one_letter_is_counted_in_slices(monkeypatch):
+    """A long text and an item of one letter: each of its q-grams meets every place of the other."""
+    monkeypatch.setattr(decontaminate, "HITS", 1 << 20)
+    items = decontaminate.Items(["a" * 100, "no such thing at all"], decontaminate.RATE)
+    data, off = decontaminate.normal(*common.text_buffer(pa.array(["a" * (1 << 20) + "b" * 19])))
+    assert items.find(data, off) == {(0, 0): 0}
+
+
+@pytest.mark.parametrize("hits", [50, 1000, 1 << 21])
+def test_slices_change_nothing(monkeypatch, sf_dir, hits):
+    rng = random.Random(6)
+    common_words = "of the people by the people for the people "
+    items = [common_words + prose(6, rng) for _ in range(20)] + ["ab", "x, Y!", "", "..", None]
+    texts = [common_words * rng.randint(1, 4) + rng.choice(items[:20]) + common_words for _ in range(10)] + ["ab", "cab abs", "x y", "X-y z ab", ""]
+    data, off = decontaminate.normal(*common.text_buffer(pa.array([x.lower() for x in texts])))
+    whole = decontaminate.Items(items, decontaminate.RATE).find(data, off)
+    monkeypatch.setattr(decontaminate, "HITS", hits)
+    assert decontaminate.Items(items, decontaminate.RATE).find(data, off) == whole
+    assert {k for k in whole if k[1] >= 20} == {(10, 20), (12, 21), (13, 20), (13, 21)} and {t for t, x in whole if x < 20} == set(range(10))
+
+
+def test_matches_across_pieces(spark):
+    """An item that lies across the place where a long text is cut."""
+    rng = random.Random(2)
+    item = prose(30, rng)
+    filler = ("".join(rng.choice("qwxyz ") for _ in range(997)) + "  ") * (1 + common.BLOCK // 999)
+    for at in (common.BLOCK - 40, common.BLOCK - 3, common.BLOCK + 1):
+        docs = spark.createDataFrame([(1, filler[:at] + " " + item + " " + filler[at:]), (2, filler)], "doc_id long, text string")
+        found = decontaminate.matches(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+        assert {r.row.doc_id: [(m.item_id, m.edits) for m in r.matches] for r in found} == {1: [(7, 0)], 2: []}
+
+
+def test_language_scores_by_a_plain_loop(spark):
+    """A frozen model's sums, subword by subword."""
+    rng = np.random.default_rng(5)
+    model = langid.Model(("x", "y", "z"), rng.normal(0, 1, (1 << langid.BITS, 3)).astype(np.float32), rng.normal(0, 1, 3), 0.5)
+    texts = ["Abc déf, g12h", "a", "Ünïcode  words\tand\nlines", prose(300)]
+    for text in texts:
+        raw = [" "] + list(text.lower()) + [" "]
+        data = [b if 97 <= b <= 122 or b >= 128 else 32 for b in "".join(raw).encode()]
+        total, n = np.zeros(3), 0
+        for size in langid.SIZES:
+            for i in range(len(data) - size + 1):
+                gram = data[i : i + size]
+                inner = gram[1:-1]
+                if (32 in inner) if size > 2 else gram == [32, 32]:
+                    continue
+                code = size
+                for b in gram:
+                    code = (code << 8 | b) & 0xFFFFFFFFFFFFFFFF
+                total += model.scores[(code * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> (64 - langid.BITS)]
+                n += 1
+        want = total / max(1, n) + model.bias
+        buffer = common.text_buffer(pa.array([" " + text.lower() + " "]))
+        assert langid.logits(model, *buffer)[0] == pytest.approx(want)
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)] + [(0, texts[0])], "doc_id long, text string")
+    rows = langid.identify(df, model).collect()
+    assert len(rows) == 5 and len({(r.id, r.lang_pred, r.score) for r in rows}) == 4
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([0.1, 0.3, 0.5, 0.7, 0.9]), st.booleans()), min_size=1, max_size=12))
+def test_rejection_makes_the_fewest_mistakes(rows):
+    confidence, right = np.array([c for c, _ in rows]), np.array([r for _, r in rows])
+    mistakes = lambda t: sum(r != (c >= t) for c, r in rows)
+    found = langid.rejection(confidence, right)
+    tried = [0.0, *(np.nextafter(c, 2) for c in sorted(set(confidence)))]
+    assert mistakes(found) == min(map(mistakes, tried)) and found == min(t for t in tried if mistakes(t) == mistakes(found))
+
+
+def test_fits_are_bounded(spark):
+    """Rows of one id, repeated rows and long texts count towards the bounds."""
+    rng = random.Random(1)
+    rows = [(1, prose(30, rng), "x") for _ in range(300)] + [(2, "one text", "y")] * 300 + [(None, prose(20, rng), "z") for _ in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    keyed = df.withColumn("key", F.xxhash64("doc_id", "text"))
+    last = langid.least_keys(keyed, 100)
+    chosen = keyed.where(F.col("key") <= last)
+    assert chosen.select("key").distinct().count() == 100
+    held = langid.bounded(chosen.withColumn("buckets", F.sequence(F.lit(1), F.lit(10))).select("key", "buckets"), "buckets", 305)
+    assert held.num_rows == 30 and held.column("key").to_pylist() == sorted(held.column("key").to_pylist())
+    assert langid.fit(df, F.lit(True), max_rows=50, max_features=2000).languages
+
+
+def plain_features(text):
+    """Words and pairs one by one: (weights' places, times)."""
+    kinds, out = {}, []
+    for b in text:
+        kind = 0 if b < 33 else 2 if 48 <= b <= 57 else 1 if 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 else 3
+        if out and kinds.get("last") == kind:
+            out[-1] += bytes([b])
+        else:
+            out.append(bytes([b]))
+        kinds["last"] = kind
+    words = [w for w in out if w[0] >= 33]
+    digit = [bytes(48 if 48 <= b <= 57 else b for b in w) for w in words]
+    one = lambda w: int(common.range_hash(common.prefix_hash(np.frombuffer(w, np.uint8)), np.array([0]), np.array([len(w)]))[0])
+    hashes = [one(w) for w in digit]
+    both = [int(quality._PAIR) if a == b else int(common.mix(np.array([(a * int(quality._PAIR) + b) & 0xFFFFFFFFFFFFFFFF], np.uint64))[0]) for a, b in zip(hashes, hashes[1:])]
+    return Counter(h >> (64 - quality.BITS) for h in hashes + both)
+
+
+def test_quality_features_by_a_plain_loop(spark, monkeypatch):
+    """Features of a text, whole or read in pieces, and its score from a frozen model."""
+    rng = random.Random(7)
+    texts = ["It's 12 or 345 — ok?! ok ok", "", "  \n", "é" * 40 + " x", "word" * 200, prose(200, rng), "a1b2 " * 60 + "!" * 90]
+    monkeypatch.setattr(common, "BLOCK", 64)
+    for text in texts:
+        want = plain_features(text.encode())
+        block = pa.RecordBatch.from_arrays([pa.array([text])], names=["text"])
+        found = Counter()
+        for data, off, known in quality._pieces(block):
+            found.update(quality.features(data, off, known)[1].tolist())
+        assert found == want
+    weights = np.random.default_rng(1).normal(0, 1, 1 << quality.BITS).astype(np.float32)
+    rows = quality.score(spark.createDataFrame(list(enumerate([*texts, texts[0]])), "doc_id long, text string"), quality.Model(weights, 0.25)).collect()
+    for r in rows:
+        f = plain_features([*texts, texts[0]][r.id].encode())
+        total = sum(float(weights[k]) * n for k, n in f.items()) / max(1, sum(f.values())) ** 0.5
+        assert r.score == pytest.approx(1 / (1 + np.exp(-(0.25 + total))), rel=1e-5)
+
+
+def test_near_copies_against_brute_force(spark, sf_dir):
+    """The rows that stay on a whole table, by the sets of shingles of every two texts."""
+    table = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["doc_id", "text"]).to_pydict()
+    sets = []
+    for text in table["text"]:
+        w = (text or "").encode().lower().split()
+        sets.append(frozenset(b" ".join(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) > 4 else frozenset([b" ".join(w)] * bool(w)))
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    places = {}
+    for i, x in enumerate(sets):
+        for g in x or [b""]:
+            places.setdefault(g, []).append(i)
+    for at in places.values():
+        for i in at:
+            for j in at[: at.index(i)] if len(at) < 200 else ():
+                a, b = sets[i], sets[j]
+                if find(i) != find(j) and (table["text"][i] == table["text"][j] or len(a & b) >= 0.8 * len(a | b) > 0):
+                    parent[max(find(i), find(j))] = min(find(i), find(j))
+    ids = table["doc_id"]
+    groups: dict[int, list[int]] = {}
+    for i in range(len(ids)):
+        groups.setdefault(find(i), []).append(ids[i])
+    want = {min(g) for g in groups.values()}
+    kept = {r.doc_id for r in simhash.keep_one(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")).collect()}
+    gone = len(ids) - len(want)
+    assert gone > 20 and len(kept - want) <= 0.02 * gone and len(want - kept) <= 0.02 * gone
+
+
+def test_bitmaps_reject_nothing_alike():
+    rng = np.random.default_rng(3)
+    for n in (10, 150, 1000, 5000):
+        whole = rng.integers(0, 1 << 63, 2 * n).astype(np.uint64)
+        sets = [np.unique(whole[rng.random(2 * n) < p]) for p in (0.5, 0.55, 0.9, 0.95, 1.0, 1.0)] + [whole[:n], whole[: n + n // 5], whole[n // 10 :]]
+        side = simhash._Side(pa.table({"t": list(range(len(sets))), "c": [0] * len(sets), "n": pa.array([len(x) for x in sets], pa.int32()), "f0": [0] * len(sets), "bits": [simhash.bitmap(x).tobytes() for x in sets]}), 1)
+        i, j = np.triu_indices(len(sets), 1)
+        possible = simhash._possible(side, i, side, j, 0.8)
+        true = np.array([len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b])) for a, b in zip(i, j)])
+        assert possible[true >= 0.8].all() and not possible[true < 0.6].any()
