@@ -30,14 +30,19 @@ def lean(f):
         try:
             yield from f(*args)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim is not None:
-                trim(0)
+            give_back()
 
     return run
 
 
+def give_back() -> None:
+    """Freed memory, to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def small_batches(spark: SparkSession) -> None:
     """From now on rows reach Python in Arrow batches of some MB, however long their texts, and a query's shuffle
     files go when it ends: what later queries read is written by cut()."""

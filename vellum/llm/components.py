@@ -2,7 +2,7 @@
 
 Each round hooks the neighbours of every node to the least of them, as minima that are combined before the
 shuffle and joined back (the rows of hubs are salted); rounds are written to the shared folder, each in place of
-the one before, and end when the edges stay the same. No edge list or component is ever collected.
+the one before, and end when the edges are stars. No edge list or component is ever collected.
 """
 
 from __future__ import annotations
@@ -38,19 +38,22 @@ def _stars(edges: DataFrame, large: bool, total: int) -> DataFrame:
         down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
         out = join_least(down, least, "a", total).select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-    return out.where("a != b").distinct()
+    return out.where("a != b")
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars already: each node has one edge up at most, and none if one comes down to it."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up > 1 or (up > 0 and down > 0)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(a, b) of any one orderable type -> (node, root): each node of an edge with the least node that it
     reaches. Nulls and loops are left out; repeated edges change nothing; no edges, no rows."""
     now = C.cut(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    seen = None
-    while True:
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen or not state[0]:
-            break
-        seen = state
-        before, now = now, C.cut(_stars(_stars(now, True, state[0]), False, state[0]), "edges")
+    while not _settled(now):
+        total = now.count()
+        before, now = now, C.cut(_stars(_stars(now, True, total), False, total).distinct(), "edges")
         C.discard(before)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

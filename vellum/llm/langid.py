@@ -139,6 +139,8 @@ def fit(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "t
     loss = [-np.log(np.maximum(_softmax(logits / t)[np.arange(len(aside)), y[aside]], 1e-12)).mean() for t in heats]
     heat = heats[int(np.argmin(loss))]
     p = _softmax(logits / heat)
+    del found, flat, emb
+    C.give_back()  # the driver's, too
     return Model(names, (scores / heat).astype(np.float32), bias / heat, rejection(p.max(axis=1), p.argmax(axis=1) == y[aside]))
 
 
