@@ -28,7 +28,7 @@ from .components import components, join_least
 SPREAD = 16
 LEAST_BITS, MOST_BITS = 256, 1 << 18
 #: Tiles of near copies at least, each of which goes to as many tasks, and rows of a tile at most, some 200 bytes each.
-TILES, TILE = 8, 250_000
+TILES, TILE, FORESTS = 8, 250_000, 2
 SEED = 42
 _BYTES = np.uint64(0x0101010101010101)
 PART = 1 << 16
@@ -268,9 +268,9 @@ def links(prints: DataFrame, radius: int, words: int = 1) -> DataFrame:
 
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
-    """A set of shingles as 64-bit words: a bit for each value of its hash's low bits, LEAST_BITS at least and two to four
+    """A set of shingles as 64-bit words: a bit for each value of its hash's low bits, LEAST_BITS at least and four to eight
     a shingle, up to MOST_BITS. A bit that one set has and another lacks is a shingle that the other lacks."""
-    bits = min(MOST_BITS, max(LEAST_BITS, 1 << int(2 * len(shingles)).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << int(4 * len(shingles)).bit_length()))
     out = np.zeros(bits, np.uint8)
     out[(C.mix(shingles) & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").view(np.uint64)
@@ -319,12 +319,13 @@ class _Side:
         return self.maps[size][self.at[i, (self.size[i] != size).astype(np.int64)]]
 
 
-def _possible(a: _Side, i: np.ndarray, b: _Side, j: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether the Jaccard similarity of each pair may reach that, by sizes and bitmaps: never false where it does."""
+def _at_most(a: _Side, i: np.ndarray, b: _Side, j: np.ndarray, similarity: float) -> np.ndarray:
+    """What the Jaccard similarity of each pair is at most, by sizes and bitmaps; zero where that is under the one asked for."""
     n, m = a.n[i].astype(np.int64), b.n[j].astype(np.int64)
     good = np.minimum(n, m) >= similarity * np.maximum(n, m)
     least = np.minimum(a.size[i], b.size[j])
     good &= np.maximum(a.size[i], b.size[j]) <= 2 * least
+    out = np.zeros(len(i))
     for s in np.unique(least[good]).tolist():
         at = np.flatnonzero(good & (least == s))
         step = max(1, (1 << 21) // s)
@@ -332,15 +333,16 @@ def _possible(a: _Side, i: np.ndarray, b: _Side, j: np.ndarray, similarity: floa
             x, y = a.bitmaps(i[k], s), b.bitmaps(j[k], s)
             only = [np.bitwise_count(p & ~q).sum(axis=1, dtype=np.int64) for p, q in ((x, y), (y, x))]
             both = np.minimum(n[k] - only[0], m[k] - only[1])
-            good[k] = both >= similarity * (n[k] + m[k] - both) - 1e-9
-    return good
+            out[k] = both / np.maximum(1, n[k] + m[k] - both)
+    return np.where(out >= similarity - 1e-9, out, 0.0)
 
 
 @C.lean
 def _candidates(batches: Iterator[pa.RecordBatch], radius: int, words: int, similarity: float, forest: bool) -> Iterator[pa.RecordBatch]:
     """Tasks of a tile's rows (guest 0) and those of the tile that it meets (guest 1; none: the tile with itself), in order:
     (a, b) for pairs of texts within the radius that may reach the similarity and whose groups c differ. As a forest: only
-    pairs that join what no earlier pair of the task joins."""
+    pairs that join what no earlier pair of the task joins, and of the others once more, FORESTS times, so that what is connected
+    stays so when some of them fail."""
     held: list[pa.RecordBatch] = []
     now = None
 
@@ -351,16 +353,21 @@ def _candidates(batches: Iterator[pa.RecordBatch], radius: int, words: int, simi
         b = _Side(rows.filter(pa.array(guest)), words) if guest.any() else a
         if not len(a.t):
             return
-        groups = _Union(len(a.t) + (len(b.t) if b is not a else 0))
+        forests = [_Union(len(a.t) + (len(b.t) if b is not a else 0)) for _ in range(FORESTS)]
         shift = len(a.t) if b is not a else 0
         for i, j in _near(a.prints, b.prints, radius, b is a):
             apart = a.c[i] != b.c[j]
             i, j = i[apart], j[apart]
-            keep = _possible(a, i, b, j, similarity)
+            most = _at_most(a, i, b, j, similarity)
+            keep = np.flatnonzero(most)
+            if forest:  # the likeliest first, as few of these fail
+                left, taken = keep[np.argsort(-most[keep], kind="stable")], []
+                for groups in forests:
+                    joined = groups.union(i[left], j[left] + shift)
+                    taken.append(left[joined])
+                    left = np.delete(left, joined)
+                keep = np.concatenate(taken)
             i, j = i[keep], j[keep]
-            if forest:
-                first = groups.union(i, j + shift)
-                i, j = i[first], j[first]
             if len(i):
                 yield C.batch_of({"a": a.t[i], "b": b.t[j]})
 
