@@ -16,6 +16,7 @@ from vellum.operators import chunk, clean, dispatch, eligibility, frontmatter, g
 from vellum.oracles import DECORATED
 from vellum.oracles import ORACLE_SQL as ORACLE_SQL
 from vellum.plans import pipeline
+from vellum.sources import tables
 from vellum.sources.html import extract_html
 from vellum.sources.pdf import meaningful, normalized, split_pages
 
@@ -23,7 +24,7 @@ CONFIG = Config(min_size=200)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return tables.parquet(spark, f"{sf_dir}/documents.parquet", "doc_id", "text")
 
 
 def decorated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,8 +265,8 @@ def pdf_usage(spark, d):
 
 
 def html_blocks(spark, d):
-    pages = spark.read.parquet(f"{d}/pages.parquet").select(F.col("page_id").alias("doc_id"), "html")
-    return extract_html(pages)
+    pages = tables.parquet(spark, f"{d}/pages.parquet", "page_id", "html")
+    return extract_html(pages.withColumnRenamed("page_id", "doc_id"))
 
 
 def run_summary(spark, d):
