@@ -29,7 +29,9 @@ from . import common as C
 
 Q, RATE = 8, 0.1
 PART_BYTES = 4 << 20
-HITS = 1 << 21
+HITS = 1 << 20
+#: Bytes of text that are searched at once.
+STEP = C.BLOCK // 2
 _READ = np.full(256, 32, np.uint8)
 _READ[48:58] = np.arange(48, 58)
 _READ[97:123] = np.arange(97, 123)
@@ -55,7 +57,7 @@ def normal(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, out_off + 2 * np.arange(len(off))
 
 
-def long_text(data: np.ndarray, overlap: int, step: int = C.BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def long_text(data: np.ndarray, overlap: int, step: int = STEP) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The normal form of one text in pieces, each after the last overlap bytes of the form before it."""
     held = np.zeros(0, np.uint8)
     for p in range(0, max(1, len(data)), step):
@@ -262,7 +264,7 @@ def _pass(source: DataFrame, held, arrow: pa.DataType, kind: T.ArrayType, rate:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, ids = held.value
         items = Items(texts, rate)
-        for block in C.blocks(batches):
+        for block in C.blocks(batches, limit=STEP):
             data, off = C.text_buffer(block.column("text"))
             found: dict[tuple[int, int], int] = {}
             for part, ends in [normal(data, off)] if block.num_rows > 1 else long_text(data, 2 * items.longest + Q):
