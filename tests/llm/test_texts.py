@@ -737,3 +737,17 @@ def test_bitmaps_reject_nothing_alike():
         possible = simhash._at_most(side, i, side, j, 0.8) > 0
         true = np.array([len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b])) for a, b in zip(i, j)])
         assert possible[true >= 0.8].all() and not possible[true < 0.6].any()
+
+
+def test_passages_where_every_fifth_word_is_changed(spark):
+    rng = random.Random(11)
+    new = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    changes = [set(range(4, 39, 5)), {8 + 4 * k for k in range(8)}, {3, 7, 11, 15, 24, 28, 32, 36}, *[set(rng.sample(range(1, 39), 8)) for _ in range(30)]]
+    texts = []
+    for changed in changes:
+        words = new(40)
+        other = [new(1)[0] if k in changed else w for k, w in enumerate(words)]
+        texts += [" ".join(new(50) + words + new(50)), " ".join(new(60) + other + new(40))]
+    out = chaining.repeated_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), k=4).collect()
+    assert {tuple(sorted((r.doc_id, r.other_id))) for r in out} == {(2 * k, 2 * k + 1) for k in range(len(changes))}
+    assert all(r["last"] - r["first"] >= 40 and r.matched >= 32 for r in out)
