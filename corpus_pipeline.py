@@ -39,8 +39,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's piece ids, the scores of its four best segmentations, and its round trip."""
     common.small_batches(spark)
-    encoded = pieces.encode(docs, carry=["doc_id"])
-    out = pieces.digests(encoded)
+    out = pieces.encoded_digests(docs, carry=["doc_id"])
     return out.select("row.doc_id", "n_pieces", "ids_sha256", "scores", "decoded_bytes", "decoded_sha256")
 
 

@@ -751,3 +751,11 @@ def test_passages_where_every_fifth_word_is_changed(spark):
     out = chaining.repeated_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), k=4).collect()
     assert {tuple(sorted((r.doc_id, r.other_id))) for r in out} == {(2 * k, 2 * k + 1) for k in range(len(changes))}
     assert all(r["last"] - r["first"] >= 40 and r.matched >= 32 for r in out)
+
+
+def test_pieces_are_encoded_and_digested_in_one_worker(spark):
+    rows = spark.createDataFrame([(1, "to be  or not"), (2, None), (3, ""), (4, f"{pieces.MARK}a\u2028b"), (1, "to be  or not")], "doc_id long, text string")
+    once = pieces.encoded_digests(rows, carry=["doc_id"])
+    assert once._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    both = pieces.digests(pieces.encode(rows, carry=["doc_id"]))
+    assert once.schema == both.schema and sorted(once.collect(), key=repr) == sorted(both.collect(), key=repr)

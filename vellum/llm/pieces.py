@@ -41,7 +41,10 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 OWN_MARK = "\0" + MARK
 PENALTY = 10.0
+#: Stretches that an encoder remembers: some 250 bytes each.
 CACHE = 800_000
+ENCODED = (("ids", T.ArrayType(T.IntegerType())), ("scores", T.ArrayType(T.DoubleType())))
+DIGESTED = (("n_pieces", T.LongType()), ("ids_sha256", T.StringType()), ("scores", T.ArrayType(T.DoubleType())), ("decoded_bytes", T.LongType()), ("decoded_sha256", T.StringType()))
 
 
 class Vocabulary:
@@ -311,8 +314,20 @@ def vocabulary(spark, model: str | None = None):
 def encode(df: DataFrame, text_col: str = "text", n: int = 4, carry: list[str] | None = None, model: str | None = None) -> DataFrame:
     """(row, ids, scores) for each row of df: row a struct of its columns in carry (all by default), the ids of
     its best segmentation, and the scores of its n best."""
-    held = vocabulary(df.sparkSession, model)
-    source = df.select(F.struct(*[F.col(f"`{c}`") for c in (df.columns if carry is None else carry)]).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    held, source = vocabulary(df.sparkSession, model), _source(df, text_col, carry)
+    return source.mapInArrow(_encoding(held, n), _schema(source, ENCODED))
+
+
+def _source(df: DataFrame, text_col: str, carry: list[str] | None) -> DataFrame:
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in (df.columns if carry is None else carry)]).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
+
+
+def _schema(source: DataFrame, columns: tuple[tuple[str, T.DataType], ...]) -> T.StructType:
+    return T.StructType([source.schema["row"], *(T.StructField(c, t) for c, t in columns)])
+
+
+def _encoding(held, n: int):
+    """Batches (row, text) -> (row, ids, scores)."""
 
     @C.lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,12 +339,11 @@ def encode(df: DataFrame, text_col: str = "text", n: int = 4, carry: list[str] |
             ids = pa.ListArray.from_arrays(pa.array(off, mask=np.array([x is None for x in found] + [False])), pa.array(flat))
             yield pa.RecordBatch.from_arrays([block.column("row"), ids, pa.array([x and x[1] for x in found], pa.list_(pa.float64()))], names=["row", "ids", "scores"])
 
-    return source.mapInArrow(work, T.StructType([source.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("scores", T.ArrayType(T.DoubleType()))]))
+    return work
 
 
-def digests(encoded: DataFrame, model: str | None = None) -> DataFrame:
-    """(row, n_pieces, ids_sha256, scores, decoded_bytes, decoded_sha256): what encode() returned, decoded again."""
-    held = vocabulary(encoded.sparkSession, model)
+def _digesting(held):
+    """Batches of encode() -> those of digests()."""
 
     @C.lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,11 +359,22 @@ def digests(encoded: DataFrame, model: str | None = None) -> DataFrame:
             n, ids_sha, size, sha = zip(*out, strict=True) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), batch.column("scores"), pa.array(size, pa.int64()), pa.array(sha, pa.string())], names=["row", "n_pieces", "ids_sha256", "scores", "decoded_bytes", "decoded_sha256"])
 
-    kinds = (("n_pieces", T.LongType()), ("ids_sha256", T.StringType()), ("scores", T.ArrayType(T.DoubleType())), ("decoded_bytes", T.LongType()), ("decoded_sha256", T.StringType()))
-    return encoded.mapInArrow(work, T.StructType([encoded.schema["row"], *(T.StructField(c, t) for c, t in kinds)]))
+    return work
+
+
+def digests(encoded: DataFrame, model: str | None = None) -> DataFrame:
+    """(row, n_pieces, ids_sha256, scores, decoded_bytes, decoded_sha256): what encode() returned, decoded again."""
+    return encoded.mapInArrow(_digesting(vocabulary(encoded.sparkSession, model)), _schema(encoded, DIGESTED))
+
+
+def encoded_digests(df: DataFrame, text_col: str = "text", n: int = 4, carry: list[str] | None = None, model: str | None = None) -> DataFrame:
+    """digests(encode(df, ...)) with one vocabulary and one worker for each task: ids don't leave it."""
+    held, source = vocabulary(df.sparkSession, model), _source(df, text_col, carry)
+    encoding, digesting = _encoding(held, n), _digesting(held)
+    return source.mapInArrow(lambda batches: digesting(encoding(batches)), _schema(source, DIGESTED))
 
 
 def op5_pieces(spark, sf_dir: str) -> DataFrame:
-    out = digests(encode(C.table(spark, sf_dir, "documents"), carry=["doc_id"]))
+    out = encoded_digests(C.table(spark, sf_dir, "documents"), carry=["doc_id"])
     best = [F.get("scores", F.lit(k)).alias(f"score{k + 1}") for k in range(4)]
     return out.select("row.doc_id", "n_pieces", "ids_sha256", *best, "decoded_bytes", "decoded_sha256")
