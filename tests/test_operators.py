@@ -400,3 +400,8 @@ def test_same_results_whatever_the_partitions(spark, sf_dir):
         assert runs[0] == runs[1]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_run_summary_reads_each_text_once(spark, sf_dir):
+    plan = registry.QUERIES["run_summary"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" not in plan  # texts are cut into lines before, for all parts together

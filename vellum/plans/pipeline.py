@@ -60,6 +60,11 @@ class Results:
             cat.register(log, r.catalog_entries)
         return r
 
+    def settled(self, path: str) -> Results:
+        """With dispatch and paragraphs, which all else is made of, as tables under path: several sinks don't compute them again."""
+        r = of_dispatched(self.raw, written(self.dispatched, f"{path}/dispatched"), self.config, self.seq)
+        return replace(r, **of_structure(written(r.structure, f"{path}/structure"), self.config))
+
     def summary(self, catalog: DataFrame | None = None) -> DataFrame:
         """One row: documents by status, paragraphs by class, good chunks of both windows, and, given the catalog, its entries by
         rung. Each part is one aggregate of a few rows."""

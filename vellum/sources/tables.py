@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -15,3 +20,15 @@ def spread(df: DataFrame) -> DataFrame:
 def parquet(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(path)
     return spread(df.select(*columns) if columns else df)
+
+
+def scratch(spark: SparkSession, what: str) -> str:
+    """A new folder's path under spark.checkpoint.dir, which driver and executors share, or in local mode a temporary one."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        own = tempfile.mkdtemp(prefix="vellum-")
+        atexit.register(shutil.rmtree, own, True)
+        found = f"file://{own}"
+    return f"{found.rstrip('/')}/{what}-{uuid.uuid4().hex}"
