@@ -759,3 +759,28 @@ def test_pieces_are_encoded_and_digested_in_one_worker(spark):
     assert once._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
     both = pieces.digests(pieces.encode(rows, carry=["doc_id"]))
     assert once.schema == both.schema and sorted(once.collect(), key=repr) == sorted(both.collect(), key=repr)
+
+
+def test_near_copies_meet_by_keys(monkeypatch):
+    """Every two sets of 0.8 or more meet in a task, whatever shingles are frequent and however large blocks are; sets of
+    nothing in common never do, so that work doesn't grow with the square of the texts."""
+    rng = np.random.default_rng(5)
+    fresh = lambda n: rng.integers(0, 1 << 63, n).astype(np.uint64)
+    line, sets = fresh(20), []
+    for n in (1, 2, 5, 9, 60, 200, 300):
+        whole = np.append(fresh(n), line[: n // 8])
+        sets += [np.unique(np.append(whole[rng.random(len(whole)) < p], fresh(k))) for p in (1, 1, 0.97, 0.9, 0.85) for k in (0, n // 20, n // 8)]
+    sets += [np.unique(np.append(fresh(200), line)) for _ in range(40)] + [np.unique(fresh(300)) for _ in range(200)] + [np.zeros(0, np.uint64)]
+    for often in (fresh(0), np.sort(line), np.unique(np.concatenate(sets[::2]))):
+        order = often, rng.integers(3, 9, len(often))
+        rows = common.batch_of({"t": np.arange(len(sets)), "n": np.array([len(x) for x in sets], np.int32), "keys": pa.array([simhash.keys(x, order, 0.8).tobytes() for x in sets], pa.binary())})
+        dealt = pa.Table.from_batches(simhash._dealt_keys(iter([rows.slice(0, 100), rows.slice(100)]), 5)).sort_by("bucket").to_batches()
+        for limit in (20_000, 7):
+            monkeypatch.setattr(simhash, "ROWS", limit)
+            tasks: dict[int, tuple[set[int], set[int]]] = {}
+            for r in pa.Table.from_batches(simhash._met(iter(dealt), 0.8)).to_pylist():
+                tasks.setdefault(r["task"], (set(), set()))[r["guest"]].add(r["t"])
+            met = {(min(a, b), max(a, b)) for own, guests in tasks.values() for a in own for b in guests or own if a != b}
+            alike = {(a, b) for a in range(len(sets)) for b in range(a) if len(x := np.intersect1d(sets[a], sets[b])) >= 0.8 * (len(sets[a]) + len(sets[b]) - len(x)) > 0}
+            assert len(alike) > 100 and {(b, a) for a, b in alike} <= met
+            assert max(max(p) for p in met) < len(sets) - 201

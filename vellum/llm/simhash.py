@@ -13,12 +13,13 @@ but a component's id is its smallest id that isn't null. Repeated rows share a f
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,8 +28,11 @@ from .components import components, join_least
 
 SPREAD = 16
 LEAST_BITS, MOST_BITS = 256, 1 << 18
-#: Tiles of near copies at least, each of which goes to as many tasks, and rows of a tile at most, some 200 bytes each.
-TILES, TILE, FORESTS = 8, 250_000, 2
+#: Near copies: forests of a block's likeliest pairs, blocks of a text that these are taken of, and rows of a block at most.
+FORESTS, BLOCKS, ROWS = 2, 2, 20_000
+#: Keys of a bucket, about. Shingles are counted in one of SHARE texts, or in COUNTED if these are more; FREQUENT of them hold a
+#: frequent one, of which OFTEN are told at most.
+KEYS, COUNTED, SHARE, FREQUENT, OFTEN = 1 << 20, 1 << 13, 16, 3, 1 << 20
 SEED = 42
 _BYTES = np.uint64(0x0101010101010101)
 PART = 1 << 16
@@ -264,7 +268,8 @@ def links(prints: DataFrame, radius: int, words: int = 1) -> DataFrame:
     return found.select(_hex(ends[:words]).alias("a"), _hex(ends[words:]).alias("b"))
 
 
-# --- near copies at a similarity: fingerprints choose pairs, bitmaps of the shingles reject most that fall short
+# --- near copies at a similarity: rare shingles that two texts must share say which fingerprints meet, fingerprints choose
+# pairs of these, bitmaps of the shingles reject most that fall short
 
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
@@ -276,9 +281,37 @@ def bitmap(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(out, bitorder="little").view(np.uint64)
 
 
+def frequent(texts: DataFrame, total: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes in order, counts) of shingles that FREQUENT or more of the counted ones of total texts (t, text) hold. It only says which
+    shingles are taken as keys last: any order gives the same pairs, and this one few keys that many texts share."""
+
+    @C.lean
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in C.blocks(batches, limit=4 * C.BLOCK):
+            sets = [np.unique(np.concatenate([np.zeros(0, np.uint64), *_shingles((x or "").encode(), size)])) for x in block.column("text").to_pylist()]
+            yield C.batch_of({"h": C.signed(np.concatenate(sets))})
+
+    some = texts.where(F.pmod("t", F.lit(max(1, min(SHARE, total // COUNTED)))) == 0).dropDuplicates(["t"])
+    counts = some.mapInArrow(compute, "h long").groupBy("h").count().where(F.col("count") >= FREQUENT)
+    counts = counts.orderBy(F.desc("count"), "h").limit(OFTEN).toArrow()
+    hashes = counts.column("h").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], counts.column("count").to_numpy()[order]
+
+
+def keys(shingles: np.ndarray, order: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The first of a set's shingles, in ascending order of the set, in that order of all shingles: so many that sets of the
+    similarity have at least one in common, as either holds that share of the other."""
+    often, count = order
+    if len(often) and len(shingles):
+        at = np.minimum(np.searchsorted(often, shingles), len(often) - 1)
+        shingles = shingles[np.argsort(np.where(often[at] == shingles, count[at], 0), kind="stable")]
+    return shingles[: len(shingles) - math.ceil(similarity * len(shingles) - 1e-9) + 1]
+
+
 @C.lean
-def _sketches(batches: Iterator[pa.RecordBatch], size: int, words: int) -> Iterator[pa.RecordBatch]:
-    """(t, f0, ..., n, bits) of each text that the task has not seen yet: fingerprint, shingles in its set, bitmap."""
+def _sketches(batches: Iterator[pa.RecordBatch], size: int, words: int, order, similarity: float) -> Iterator[pa.RecordBatch]:
+    """(t, f0, ..., n, bits, keys) of each text that the task has not seen yet: fingerprint, shingles in its set, bitmap, keys."""
     seen: set[int] = set()
     for block in C.blocks(batches, limit=4 * C.BLOCK):
         fresh = []
@@ -293,7 +326,115 @@ def _sketches(batches: Iterator[pa.RecordBatch], size: int, words: int) -> Itera
         texts = [(x or "").encode() for x in block.column("text").to_pylist()]
         prints = fingerprints_of(texts, size, words)
         sets = [np.unique(np.concatenate([np.zeros(0, np.uint64), *_shingles(x, size)])) for x in texts]
-        yield C.batch_of({"t": block.column("t")} | {f"f{w}": C.signed(prints[:, w]) for w in range(words)} | {"n": np.array([len(x) for x in sets], np.int32), "bits": pa.array([bitmap(x).tobytes() for x in sets], pa.binary())})
+        binary = {"bits": [bitmap(x).tobytes() for x in sets], "keys": [keys(x, order.value, similarity).tobytes() for x in sets]}
+        yield C.batch_of({"t": block.column("t")} | {f"f{w}": C.signed(prints[:, w]) for w in range(words)} | {"n": np.array([len(x) for x in sets], np.int32)} | {k: pa.array(v, pa.binary()) for k, v in binary.items()})
+
+
+@C.lean
+def _dealt_keys(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(t, n, keys) -> (bucket, body): the keys of a bucket, each with its text, the size of its set, and how many shingles of
+    it come from that key on."""
+    for batch in batches:
+        lists = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("keys")]
+        sizes = np.array([len(x) for x in lists], np.int64)
+        if not sizes.sum():
+            continue
+        key, n = np.concatenate(lists), np.repeat(batch.column("n").to_numpy(), sizes)
+        left = (n - np.arange(len(key)) + np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
+        t = np.repeat(batch.column("t").to_numpy(), sizes)
+        bucket = (C.mix(key) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.append(np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)), len(order))
+        parts = [order[lo:hi] for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        yield C.batch_of({"bucket": bucket[[x[0] for x in parts]], "body": pa.array([b"".join(c[x].tobytes() for c in (key, t, n, left)) for x in parts], pa.binary())})
+
+
+def _possible(n: np.ndarray, left: np.ndarray, m: np.ndarray, right: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets of n and m shingles that share a key, and none before it, can reach the similarity."""
+    return np.minimum(left, right) >= similarity / (1 + similarity) * (n + m) - 1e-9
+
+
+def _blocks(key: np.ndarray, t: np.ndarray, n: np.ndarray, left: np.ndarray, similarity: float) -> Iterator[tuple[int, np.ndarray]]:
+    """(name, texts) of the keys that two texts or more share, without texts that no other can be alike by that key. The same texts
+    have one name, whatever their key."""
+    order = np.argsort(key, kind="stable")
+    starts = np.flatnonzero(np.append(True, np.diff(key[order]) != 0))
+    sizes = np.diff(np.append(starts, len(order)))
+    i, j = order[starts[sizes == 2]], order[starts[sizes == 2] + 1]
+    good = _possible(n[i], left[i], n[j], left[j], similarity)
+    i, j = i[good], j[good]
+    names = C.mix(C.mix(t[i].view(np.uint64)) + C.mix(t[j].view(np.uint64)))
+    _, once = np.unique(names, return_index=True)
+    yield from zip(names[once].tolist(), np.stack([t[i[once]], t[j[once]]], axis=1), strict=True)
+    seen: set[int] = set()
+    for lo, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+        at = order[lo : lo + size]
+        if size <= 1024:
+            good = _possible(n[at][:, None], left[at][:, None], n[at], left[at], similarity)
+            np.fill_diagonal(good, False)
+            at = at[good.any(axis=1)]
+        name = int(C.mix(np.array([C.mix(t[at].view(np.uint64)).sum()], np.uint64))[0])
+        if len(at) and name not in seen:
+            seen.add(name)
+            yield name, t[at]
+
+
+@C.lean
+def _met(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """(bucket, body), in order -> (block, m, task, guest, t): the texts of each block, m in all. A block of over ROWS texts is
+    dealt to a task for each two parts of it."""
+
+    def solve(bodies: list[bytes]) -> Iterator[pa.RecordBatch]:
+        counts = [len(x) // 24 for x in bodies]
+        fields = ((np.uint64, 0, 8), (np.int64, 8, 8), (np.int32, 16, 4), (np.int32, 20, 4))
+        columns = [np.concatenate([np.frombuffer(x, d, c, at * c) for x, c in zip(bodies, counts, strict=True)]) for d, at, _ in fields]
+        out: list[tuple[int, int, int, int, np.ndarray]] = []
+        held = 0
+
+        def flush() -> pa.RecordBatch:
+            sizes = [len(x[4]) for x in out]
+            cols = {c: np.repeat(np.array([x[k] for x in out], d), sizes) for k, (c, d) in enumerate((("block", np.uint64), ("m", np.int64), ("task", np.uint64), ("guest", np.int8)))}
+            return C.batch_of({c: C.signed(v) if v.dtype == np.uint64 else v for c, v in cols.items()} | {"t": np.concatenate([x[4] for x in out])})
+
+        for name, t in _blocks(*columns, similarity):
+            parts = -(-len(t) // ROWS)
+            if parts == 1:
+                out.append((name, len(t), name, 0, t))
+                held += len(t)
+            else:
+                part = (C.mix(t.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+                for a in range(parts):
+                    for b in range(a, parts):
+                        task = int(C.mix(np.array([name], np.uint64) + np.uint64(1 + a * parts + b))[0])
+                        out += [(name, len(t), task, k, t[part == x]) for k, x in ((0, a), (1, b))[: 1 if a == b else 2]]
+                        held += sum(len(x[4]) for x in out[-2:])
+            if held > 100_000:
+                yield flush()
+                out, held = [], 0
+        if out:
+            yield flush()
+
+    now, held = None, []
+    for batch in batches:
+        for bucket, body in zip(batch.column("bucket").to_pylist(), batch.column("body").to_pylist(), strict=True):
+            if bucket != now and held:
+                yield from solve(held)
+                held = []
+            now = bucket
+            held.append(body)
+    if held:
+        yield from solve(held)
+
+
+def blocks(rows: DataFrame, similarity: float) -> DataFrame:
+    """(block, m, task, guest, t) of rows (t, n, keys): every two texts of the similarity or more meet in a task. Rows are as many as
+    the keys that several texts share, at most; it needs no comparison of all texts."""
+    sizes = rows.agg(F.sum("n").alias("n"), F.count("*").alias("rows")).first()
+    buckets = max(8, int((1 - similarity) * (sizes["n"] or 0) + sizes["rows"]) // KEYS)
+    dealt = rows.select("t", "n", "keys").mapInArrow(lambda b: _dealt_keys(b, buckets), "bucket int, body binary")
+    n = min(buckets, 20_000)
+    dealt = dealt.repartitionById(n, F.col("bucket") % n).sortWithinPartitions("bucket")
+    return dealt.mapInArrow(lambda b: _met(b, similarity), "block long, m long, task long, guest byte, t long").distinct()
 
 
 class _Side:
@@ -339,23 +480,17 @@ def _at_most(a: _Side, i: np.ndarray, b: _Side, j: np.ndarray, similarity: float
 
 @C.lean
 def _candidates(batches: Iterator[pa.RecordBatch], radius: int, words: int, similarity: float, forest: bool) -> Iterator[pa.RecordBatch]:
-    """Tasks of a tile's rows (guest 0) and those of the tile that it meets (guest 1; none: the tile with itself), in order:
+    """Tasks of a block's rows (guest 0) and those of the part that they meet (guest 1; none: the rows with each other), in order:
     (a, b) for pairs of texts within the radius that may reach the similarity and whose groups c differ. As a forest: only
     pairs that join what no earlier pair of the task joins, and of the others once more, FORESTS times, so that what is connected
     stays so when some of them fail."""
     held: list[pa.RecordBatch] = []
     now = None
 
-    def solve() -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(held)
-        guest = rows.column("guest").to_numpy() == 1
-        a = _Side(rows.filter(pa.array(~guest)), words)
-        b = _Side(rows.filter(pa.array(guest)), words) if guest.any() else a
-        if not len(a.t):
-            return
-        forests = [_Union(len(a.t) + (len(b.t) if b is not a else 0)) for _ in range(FORESTS)]
+    def chosen(a: _Side, b: _Side, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         shift = len(a.t) if b is not a else 0
-        for i, j in _near(a.prints, b.prints, radius, b is a):
+        forests = [_Union(len(a.t) + (len(b.t) if b is not a else 0)) for _ in range(FORESTS)]
+        for i, j in pairs:
             apart = a.c[i] != b.c[j]
             i, j = i[apart], j[apart]
             most = _at_most(a, i, b, j, similarity)
@@ -367,55 +502,56 @@ def _candidates(batches: Iterator[pa.RecordBatch], radius: int, words: int, simi
                     taken.append(left[joined])
                     left = np.delete(left, joined)
                 keep = np.concatenate(taken)
-            i, j = i[keep], j[keep]
-            if len(i):
-                yield C.batch_of({"a": a.t[i], "b": b.t[j]})
+            if len(keep):
+                x, y = a.t[i[keep]], b.t[j[keep]]
+                yield C.batch_of({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+
+    def solve() -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held)
+        guest = rows.column("guest").to_numpy() == 1
+        a = _Side(rows.filter(pa.array(~guest)), words)
+        b = _Side(rows.filter(pa.array(guest)), words) if guest.any() else a
+        if len(a.t):
+            yield from chosen(a, b, _near(a.prints, b.prints, radius, b is a))
+
+    def solve_small(rows: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        side, starts = _Side(pa.Table.from_batches([rows]), words), np.cumsum(sizes) - sizes
+
+        def near() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for size in np.unique(sizes).tolist():
+                i, j = ((starts[sizes == size][:, None] + x).ravel() for x in np.triu_indices(size, 1))
+                good = np.bitwise_count(side.prints[i] ^ side.prints[j]).sum(axis=1, dtype=np.int64) <= radius
+                yield i[good], j[good]
+
+        yield from chosen(side, side, near())
 
     for batch in batches:
         tasks = batch.column("task").to_numpy()
-        cuts = np.append(np.flatnonzero(np.append(True, tasks[1:] != tasks[:-1])), len(tasks))[: len(tasks) + 1]
-        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        if not len(tasks):
+            continue
+        starts = np.flatnonzero(np.append(True, tasks[1:] != tasks[:-1]))
+        sizes = np.diff(np.append(starts, len(tasks)))
+        small = (sizes <= 64) & (np.add.reduceat(batch.column("guest").to_numpy().astype(np.int64), starts) == 0)
+        small[[0, -1]] = False  # these may go on in another batch
+        if small.any():
+            yield from solve_small(batch.filter(pa.array(np.repeat(small, sizes))), sizes[small])
+        for lo, size in zip(starts[~small].tolist(), sizes[~small].tolist(), strict=True):
             if tasks[lo] != now and held:
                 yield from solve()
                 held = []
             now = tasks[lo]
-            held.append(batch.slice(lo, hi - lo))
+            held.append(batch.slice(lo, size))
     if held:
         yield from solve()
 
 
-def _tile_pairs(rows: DataFrame, words: int, radius: int) -> DataFrame:
-    """(task, guest, t, c, f0, ..., n, bits): tiles by population count, a task for each two tiles within the radius. Each row goes to
-    as many tasks as there are tiles, so these are TILES, or as many as keep a tile under TILE rows."""
-    spark = rows.sparkSession
+def candidates(met: DataFrame, rows: DataFrame, words: int, radius: int, similarity: float, forest: bool) -> DataFrame:
+    """Pairs (a, b) of rows (t, c, f0, ..., n, bits) that meet (task, guest, t), as in _candidates."""
     names = [f"f{w}" for w in range(words)]
-    count = sum((F.bit_count(c) for c in names[1:]), F.bit_count(names[0])).cast("int")
-    rows = rows.withColumn("pop", count)
-    histogram = {r["pop"]: r["count"] for r in rows.groupBy("pop").count().collect()}  # 64 * words + 1 rows at most
-    total = sum(histogram.values())
-    wanted = max(TILES, -(-total // TILE))
-    tiles = _tiles(histogram, max(64, -(-total // wanted)))
-    tasks = [(a, b) for a in range(len(tiles)) for b in range(a, len(tiles)) if tiles[b][0] - tiles[a][1] <= radius]
-    plan = [(tile, task, guest) for task, (a, b) in enumerate(tasks) for tile, guest in ((a, 0), (b, 1))[: 1 if a == b else 2]]
-    sent: dict[int, list[tuple[int, int]]] = {}
-    for tile, task, guest in plan:
-        sent.setdefault(tile, []).append((task, guest))
-    first = F.lit(0)
-    parts = F.lit(1)
-    for k, (lo, hi, part, n) in enumerate(tiles):
-        if part == 0:
-            first, parts = F.when(F.col("pop").between(lo, hi), k).otherwise(first), F.when(F.col("pop").between(lo, hi), n).otherwise(parts)
-    schema = "tile int, sent array<struct<task: int, guest: int>>"
-    lists = spark.createDataFrame([(k, v) for k, v in sorted(sent.items())], schema)  # as many rows as tiles
-    dealt = rows.withColumn("tile", (first + F.pmod(F.xxhash64("t"), parts)).cast("int")).join(F.broadcast(lists), "tile")
-    dealt = dealt.select(F.explode("sent").alias("s"), "t", "c", *names, "n", "bits").select("s.task", F.col("s.guest").cast("byte").alias("guest"), "t", "c", *names, "n", "bits")
-    n = max(1, min(len(tasks), 20_000))
-    return dealt.repartitionById(n, F.col("task") % n).sortWithinPartitions("task")
-
-
-def candidates(rows: DataFrame, words: int, radius: int, similarity: float, forest: bool) -> DataFrame:
-    """Pairs (a, b) of rows (t, c, f0, ..., n, bits), as in _candidates."""
-    return _tile_pairs(rows, words, radius).mapInArrow(lambda b: _candidates(b, radius, words, similarity, forest), "a long, b long").distinct()
+    dealt = met.select("task", "guest", "t").join(rows.select("t", "c", *names, "n", "bits"), "t")
+    n = max(C.partitions(met.sparkSession), met.count() // 100_000)
+    dealt = dealt.select("task", "guest", "t", "c", *names, "n", "bits").repartition(n, "task").sortWithinPartitions("task")
+    return dealt.mapInArrow(lambda b: _candidates(b, radius, words, similarity, forest), "a long, b long").distinct()
 
 
 def alike(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -441,7 +577,9 @@ def alike(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> D
     need = pairs.select(F.col("a").alias("t")).union(pairs.select(F.col("b").alias("t"))).distinct()
     sets = C.cut(texts.join(need, "t", "left_semi").dropDuplicates(["t"]).mapInArrow(compute, "t long, s binary"), "sets")
     joined = pairs.join(sets.select(F.col("t").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("t").alias("b"), F.col("s").alias("y")), "b")
-    return C.cut(joined.select("a", "b", "x", "y").mapInArrow(compared, "a long, b long"), "alike")
+    out = C.cut(joined.select("a", "b", "x", "y").mapInArrow(compared, "a long, b long"), "alike")
+    C.discard(sets)
+    return out
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 3, words: int = 1) -> DataFrame:
@@ -463,8 +601,9 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     """The rows of df without near copies: of each group the row with the smallest id stays, and of repeated rows
     one. Texts are linked if their sets of 5-word shingles have a Jaccard similarity of at least 0.8, which is verified for
     every link; groups are components of links. Fingerprints only say which pairs are looked at. By default these have 256
-    bits: at 0.8 texts differ in 39 bits on average (standard deviation 6), unrelated ones in 128. Of the pairs within the
-    radius, those that sizes and bitmaps can't reject are verified in two rounds: first a forest of them, then, without
+    bits: at 0.8 texts differ in 39 bits on average (standard deviation 6), unrelated ones in 128. Fingerprints are compared
+    where texts share one of their keys, as all texts of that similarity do. Of the pairs within the
+    radius, those that sizes and bitmaps can't reject are verified in two rounds: first a forest of some of them, then, without
     a limit, every one whose groups still differ. Null ids count as the smallest, null texts as empty."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     digest = F.xxhash64(F.col(f"`{id_col}`").isNull(), F.col(f"`{text_col}`").cast("string"))
@@ -474,12 +613,23 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     texts = df.select(F.xxhash64(text).alias("t"), text.alias("text"))
     names = [f"f{w}" for w in range(words)]
     longs = ", ".join(f"{c} long" for c in names)
-    each = texts.mapInArrow(lambda b: _sketches(b, size, words), f"t long, {longs}, n int, bits binary")
+    order = df.sparkSession.sparkContext.broadcast(frequent(texts, least.count(), size))
+    each = texts.mapInArrow(lambda b: _sketches(b, size, words, order, similarity), f"t long, {longs}, n int, bits binary, keys binary")
     rows = C.cut(each.dropDuplicates(["t"]), "sketches")
-    sure = alike(C.cut(candidates(rows.withColumn("c", F.col("t")), words, radius, similarity, True), "nearest"), texts, size, similarity)
+    met = C.cut(blocks(rows, similarity), "blocks")
+    largest = F.dense_rank().over(Window.partitionBy("t").orderBy(F.desc("m"), "block"))
+    some = C.cut(met.withColumn("k", largest).where(F.col("k") <= BLOCKS).select("task", "guest", "t"), "some")
+    pairs = C.cut(candidates(some, rows.withColumn("c", F.col("t")), words, radius, similarity, True), "nearest")
+    sure = alike(pairs, texts, size, similarity)
     roots = C.cut(components(sure), "roots")
-    grouped = C.cut(rows.join(roots, F.col("t") == F.col("node"), "left").select("t", F.coalesce("root", "t").alias("c"), *names, "n", "bits"), "grouped")
-    more = alike(C.cut(candidates(grouped, words, radius, similarity, False), "crossing"), texts, size, similarity)
+    C.discard(some, pairs)
+    group = met.join(roots, F.col("t") == F.col("node"), "left").select("task", "guest", "t", F.coalesce("root", "t").alias("c"))
+    unsettled = group.groupBy("task").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least < most").select("task")
+    some = C.cut(group.join(unsettled, "task"), "open")
+    groups = some.select("t", "c").distinct()
+    pairs = C.cut(candidates(some, rows.join(groups, "t"), words, radius, similarity, False), "crossing")
+    more = alike(pairs, texts, size, similarity)
+    C.discard(rows, met, some, pairs)
     merged = more.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
     merged = merged.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).distinct()  # links between groups, not texts
     final = components(merged).withColumnRenamed("node", "group").withColumnRenamed("root", "top")
