@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 import random
 from collections import Counter
 
@@ -784,3 +785,78 @@ def test_near_copies_meet_by_keys(monkeypatch):
             alike = {(a, b) for a in range(len(sets)) for b in range(a) if len(x := np.intersect1d(sets[a], sets[b])) >= 0.8 * (len(sets[a]) + len(sets[b]) - len(x)) > 0}
             assert len(alike) > 100 and {(b, a) for a, b in alike} <= met
             assert max(max(p) for p in met) < len(sets) - 201
+
+
+def segmentations(v, ids):
+    """Each list of ids as its score and the pieces' texts, bytes that spell a character as one."""
+    score, run, raw = 0.0, 0, set(v.bytes)
+    for i in ids:
+        if i not in raw:
+            score += v.score[i]
+        elif not run:
+            run = len(f"{v.spell[i][0]:08b}".split("0")[0]) or 1  # the bytes of the character
+            score += v.unknown
+        run = max(run - 1, 0) if i in raw else 0
+    return score
+
+
+@pytest.mark.parametrize("word", ["", "ab", "the bathing  other", "é\u65e5 z▁z", "▁", "aaaa aaaa", "x" * 70])
+def test_nbest_are_segmentations(spark, word):
+    """The n best of a text, not their scores alone: ids, each with its score, all different, each decoded to the text."""
+    v = _vocabulary()
+    found = pieces.Encoder(v, 4).nbest_all([word])[0]
+    ids = [np.frombuffer(x, np.int32).tolist() for _, x in found]
+    assert [segmentations(v, x) for x in ids] == [x for x, _ in found] and len({tuple(x) for x in ids}) == len(ids)
+    assert all(pieces.decode(v, x) == word for _, x in found)
+    if len(word) < 20 and pieces.MARK not in word:
+        whole = every_path(v, pieces.MARK + word.replace(" ", pieces.MARK)) if word else [(0.0, ())]
+        assert all((s, tuple(x)) in whole for (s, _), x in zip(found, ids, strict=True)) and [s for s, _ in found] == [s for s, _ in whole[:4]]
+
+
+def test_nbest_reach_the_rows(spark):
+    rows = spark.createDataFrame([(1, "to be  or not"), (2, None), (3, ""), (4, f"{pieces.MARK}a"), (1, "to be  or not")], "doc_id long, text string")
+    encoded = pieces.encode(rows, carry=["doc_id"])
+    v, sha = _vocabulary(), lambda x: hashlib.sha256(x).hexdigest()
+    for r, d in zip(*(sorted(x.collect(), key=lambda r: r.row.doc_id) for x in (encoded, pieces.digests(encoded))), strict=True):
+        text = {1: "to be  or not", 3: "", 4: f"{pieces.MARK}a"}.get(r.row.doc_id)
+        if text is None:
+            assert r.others is None and d.others is None
+            continue
+        found = pieces.Encoder(v, 4).nbest_all([text])[0]
+        assert [np.array(x, np.int32).tobytes() for x in (r.ids, *r.others)] == [x for _, x in found] and len(r.scores) == len(found)
+        assert [tuple(x) for x in d.others] == [(len(x) // 4, sha(x), sha(text.encode())) for _, x in found[1:]]
+
+
+@pytest.fixture(scope="module")
+def unigram_models(tmp_path_factory):
+    """Small models whose scores are learnt, so that the library has n best segmentations itself: without rules, and with its usual ones."""
+    import sentencepiece
+
+    lines = [x for t in pq.read_table("/root/testdata/sf0.001/documents.parquet").to_pydict()["text"][:60] for x in t.split("\n")]
+    out = []
+    for rules in ({"normalization_rule_name": "identity", "remove_extra_whitespaces": False}, {}, {"add_dummy_prefix": False}):
+        out.append(str(tmp_path_factory.mktemp("unigram") / "m"))
+        sentencepiece.SentencePieceTrainer.train(
+            sentence_iterator=iter(lines), model_prefix=out[-1], vocab_size=800, model_type="unigram", byte_fallback=True, minloglevel=2, num_threads=1, **rules
+        )
+    return [f"{x}.model" for x in out], lines
+
+
+@pytest.mark.parametrize("k", [0, 1, 2])
+def test_nbest_are_the_library_s(unigram_models, k):
+    """The library's own n best, in order, but for those of equal scores; texts are normalised as it does."""
+    import sentencepiece
+
+    (path, lines), n = (unigram_models[0][k], unigram_models[1]), 0
+    sp, v = sentencepiece.SentencePieceProcessor(model_file=path), pickle.loads(pickle.dumps(pieces.Vocabulary.load(path)))
+    texts = ["", " ", " two  spaces ", "ﬁ Ａ", "a\tb", *(x[:150] for x in lines[:300:3])]
+    for text, found in zip(texts, pieces.Encoder(v, 4).nbest_all(texts), strict=True):
+        want = sp.nbest_encode_as_ids(text, 5) if text.strip() else [sp.encode(text)]
+        got, scores = [np.frombuffer(x, np.int32).tolist() for _, x in found], [segmentations(v, x) for x in want]
+        assert len({tuple(x) for x in got}) == len(got) and [x for x, _ in found] == pytest.approx(scores[: len(found)], abs=1e-3)
+        assert [segmentations(v, x) for x in got] == pytest.approx([x for x, _ in found], abs=1e-3)
+        if all(a - b > 1e-3 for a, b in zip(scores, scores[1:], strict=False)):
+            assert got == want[:4]
+            n += 1
+        assert {pieces.decode(v, x) for _, x in found} == {sp.decode(want[0])}
+    assert n > 40

@@ -8,14 +8,15 @@ score below all others. A forward Viterbi pass gives each place the best score o
 search from the end takes these scores as its heuristic, which is exact, so complete paths come out best first; of equal
 ranks the one nearest to the start is followed, so ties cost no more than a path each.
 
-Texts get a space in front, spaces are written as the mark, and a lattice is cut where no piece can cross:
-before a run of marks and, if no piece holds both letters and other signs, between these. A text's N best paths are the N least sums of the losses of its stretches' N best, and
-only the N - 1 stretches whose second best loses least can differ from their best; just these are searched.
-Viterbi runs over many new stretches at once, forward, and backward for the second best (the best path with an
-edge off the best one). Stretches are kept in a bounded cache; its size changes no result.
-
-Decoding joins pieces, turns marks into spaces and drops the first. It gives every text back, the mark itself
-included, as that is spelt in bytes when it stands in a text. Nulls: a null text is null in all results; an
+A text is normalised by the rules in the vocabulary's file (that of MODEL has none), gets a space in front, and spaces are written
+as the mark. A lattice is cut where no piece can cross: before a run of marks and, if no piece holds both letters and other signs,
+between these. What a text's N best paths lose against the best is the sum of what its stretches' paths lose, so only the N - 1 stretches
+whose second best loses least can differ from their best; just these are searched, and the A* goes on over them to whole texts' paths,
+whose ids and scores are all returned. Viterbi runs over many new stretches at once, forward, and backward for the second best (the best
+path with an edge off the best one). Stretches are kept in a bounded cache; its size changes no result.
+
+Decoding joins pieces, turns marks into spaces and drops the first. It gives every text back from each of its segmentations, the mark itself
+included, as that is spelt in bytes when it stands in a text (a text that rules change comes back as they leave it). Nulls: a null text is null in all results; an
 empty text has no pieces and score 0. Repeated rows get the same results; other columns are carried in a
 struct. Long texts are held whole with their ids, and a stretch of any length takes memory in proportion.
 """
@@ -43,20 +44,28 @@ OWN_MARK = "\0" + MARK
 PENALTY = 10.0
 #: Stretches that an encoder remembers: some 250 bytes each.
 CACHE = 800_000
-ENCODED = (("ids", T.ArrayType(T.IntegerType())), ("scores", T.ArrayType(T.DoubleType())))
-DIGESTED = (("n_pieces", T.LongType()), ("ids_sha256", T.StringType()), ("scores", T.ArrayType(T.DoubleType())), ("decoded_bytes", T.LongType()), ("decoded_sha256", T.StringType()))
+ENCODED = (("ids", T.ArrayType(T.IntegerType())), ("scores", T.ArrayType(T.DoubleType())), ("others", T.ArrayType(T.ArrayType(T.IntegerType()))))
+OTHER = (("n_pieces", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType()))
+DIGESTED = (
+    ("n_pieces", T.LongType()), ("ids_sha256", T.StringType()), ("scores", T.ArrayType(T.DoubleType())), ("decoded_bytes", T.LongType()), ("decoded_sha256", T.StringType()),
+    ("others", T.ArrayType(T.StructType([T.StructField(*c) for c in OTHER]))),
+)
 
 
 class Vocabulary:
-    """pieces: (text, score) by id, text None for those that no text holds; bytes_: the id of each byte's piece."""
+    """pieces: (text, score) by id, text None for those that no text holds; bytes_: the id of each byte's piece;
+    normalizer: the processor that normalises texts first, None if texts stay as they are but for the space in front;
+    prefix: whether there is that space."""
 
-    def __init__(self, pieces: list[tuple[str | None, float]], bytes_: list[int]) -> None:
+    def __init__(self, pieces: list[tuple[str | None, float]], bytes_: list[int], normalizer=None, prefix: bool = True) -> None:
+        self.normalizer, self.prefix = normalizer, prefix
         self.ids = {p: i for i, (p, _) in enumerate(pieces) if p}
         self.score = [float(s) for _, s in pieces]
         self.bytes = bytes_
         self.spell = [b"" if p is None else p.replace(MARK, " ").encode() for p, _ in pieces]
         for b, i in enumerate(bytes_):
             self.spell[i] = bytes([b])
+        self.spelling = np.array(self.spell, object)
         self.longest = max(map(len, self.ids), default=1)
         self.unknown = min((self.score[i] for i in self.ids.values()), default=0.0) - PENALTY
         if any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids):
@@ -68,11 +77,14 @@ class Vocabulary:
     @classmethod
     def load(cls, path: str) -> Vocabulary:
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        rules = sentencepiece_model_pb2.ModelProto.FromString(sp.serialized_model_proto()).normalizer_spec
+        changes = bool(rules.precompiled_charsmap) or rules.remove_extra_whitespaces or not rules.add_dummy_prefix
         n = sp.get_piece_size()
         plain = [not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)) for i in range(n)]
-        return cls([(sp.id_to_piece(i) if plain[i] else None, sp.get_score(i)) for i in range(n)], [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)])
+        return cls([(sp.id_to_piece(i) if plain[i] else None, sp.get_score(i)) for i in range(n)], [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)], sp if changes else None, rules.add_dummy_prefix)
 
     def edges(self, s: str, end: int) -> list[tuple[int, float, tuple[int, ...]]]:
         """(start, score, ids) of the edges that end there."""
@@ -125,6 +137,8 @@ class Vocabulary:
     def stretches(self, text: str) -> list[str]:
         """The parts of a text, spaces as marks, between which no piece can lie. A mark of the text itself is a
         part alone, OWN_MARK."""
+        if self.normalizer is not None:
+            return self.cut(self.normalizer.normalize(text))
         if not text:
             return []
         if MARK not in text:
@@ -176,6 +190,18 @@ class Lookup:
         return out
 
 
+class Places(dict):
+    """Stretches by number, in the order in which they are first asked for; new ones are noted."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, s: str) -> int:
+        self[s] = at = len(self)
+        self.new.append(s)
+        return at
+
+
 class Encoder:
     """Encodes texts, remembering stretches: the best segmentation of each and the loss of its second best.
     The other segmentations are searched for only in stretches that a text's N best need."""
@@ -186,13 +212,17 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[str, int] = {}
+        self.at = Places()
         self.ids: list[bytes] = []
-        self.scores, self.least = array("d"), array("d")
-        self.losses: dict[str, tuple[float, ...]] = {}
+        self.sizes, self.scores, self.least = array("q"), array("d"), array("d")
+        self.others: dict[str, list[tuple[float, bytes]]] = {}
 
-    def learn(self, stretches: set[str]) -> None:
+    def learn(self) -> None:
         """Forward Viterbi over all new stretches of a length together, and backward for the second best."""
+        stretches, self.at.new = self.at.new, []
+        self.ids += [b""] * len(stretches)
+        for x in (self.sizes, self.scores, self.least):
+            x.frombytes(bytes(8 * len(stretches)))
         by_length: dict[int, list[str]] = {}
         for s in stretches:
             by_length.setdefault(len(s) if len(s) <= 64 and "\0" not in s else 0, []).append(s)
@@ -207,10 +237,8 @@ class Encoder:
                     self._add(s, np.array(found[0][1], np.int32).tobytes(), found[0][0], found[0][0] - found[1][0] if len(found) > 1 else float("inf"))
 
     def _add(self, s: str, ids: bytes, score: float, least: float) -> None:
-        self.at[s] = len(self.ids)
-        self.ids.append(ids)
-        self.scores.append(score)
-        self.least.append(least)
+        at = self.at[s]
+        self.ids[at], self.sizes[at], self.scores[at], self.least[at] = ids, len(ids), score, least
 
     def _search(self, s: str) -> list[tuple[float, tuple[int, ...]]]:
         if s == OWN_MARK:
@@ -271,39 +299,62 @@ class Encoder:
             else:
                 self._add(s, path32[r, length - k :].tobytes(), best, loss)
 
-    def encode_all(self, texts: list[str | None]) -> list[tuple[bytes, list[float]] | None]:
-        """For each text, the ids of its best segmentation as little-endian int32 and the scores of its n best."""
+    def nbest_all(self, texts: list[str | None]) -> list[list[tuple[float, bytes]] | None]:
+        """For each text its n best segmentations (all, if fewer), best first: score, and ids as little-endian int32."""
         if len(self.ids) > CACHE:
             self.clear()
-        split: list[list[str] | None] = []
-        for text in texts:
-            split.append(None if text is None else self.v.stretches(text))
-        self.learn({p for parts in split if parts for p in parts}.difference(self.at))
-        return [None if parts is None else self._one(parts) for parts in split]
+        split = [None if text is None else self.v.stretches(text) for text in texts]
+        rows = [None if parts is None else np.fromiter(map(self.at.__getitem__, parts), np.int64, len(parts)) for parts in split]
+        self.learn()
+        return [None if parts is None else self._nbest(parts, at) for parts, at in zip(split, rows, strict=True)]
+
+    def encode_all(self, texts: list[str | None]) -> list[tuple[bytes, list[float]] | None]:
+        """For each text, the ids of its best segmentation as little-endian int32 and the scores of its n best."""
+        return [found and (found[0][1], [x for x, _ in found]) for found in self.nbest_all(texts)]
 
     def encode(self, text: str) -> tuple[bytes, list[float]]:
         return self.encode_all([text])[0]
 
-    def _one(self, parts: list[str]) -> tuple[bytes, list[float]]:
-        rows = np.fromiter(map(self.at.__getitem__, parts), np.int64, len(parts))
+    def _losing(self, s: str) -> list[tuple[float, bytes]]:
+        """The n best segmentations of a stretch as ids, with what each loses against the best."""
+        if s not in self.others:
+            found = self._search(s)
+            self.others[s] = [(found[0][0] - x, np.array(ids, np.int32).tobytes()) for x, ids in found]
+        return self.others[s]
+
+    def _nbest(self, parts: list[str], rows: np.ndarray) -> list[tuple[float, bytes]]:
+        best = b"".join(map(self.ids.__getitem__, rows.tolist()))
         total = float(np.frombuffer(self.scores)[rows].sum()) if len(rows) else 0.0
-        sums = [0.0]
-        if self.n > 1 and len(rows):
-            least = np.frombuffer(self.least)[rows]
-            most = np.partition(least, min(self.n, len(rows)) - 1)[min(self.n, len(rows)) - 1]
-            near = np.flatnonzero(least <= most)
-            for i in near[np.argsort(least[near], kind="stable")][: self.n - 1].tolist():
-                s = parts[i]
-                if s not in self.losses:
-                    found = self._search(s)
-                    self.losses[s] = tuple(found[0][0] - x for x, _ in found[1:])
-                sums = sorted(a + b for a in sums for b in (0.0, *self.losses[s]))[: self.n]
-        return b"".join(map(self.ids.__getitem__, rows.tolist())), [total - x for x in sums]
+        if self.n == 1 or not len(rows):
+            return [(total, best)]
+        least = np.frombuffer(self.least)[rows]
+        most = np.partition(least, min(self.n, len(rows)) - 1)[min(self.n, len(rows)) - 1]
+        near = np.flatnonzero(least <= most)
+        near = np.sort(near[np.argsort(least[near], kind="stable")][: self.n - 1])
+        ends = np.cumsum(np.frombuffer(self.sizes, np.int64)[rows])[near].tolist()
+        choices = [self._losing(parts[i]) for i in near.tolist()]
+        out: list[tuple[float, bytes]] = []
+        heap = [(0.0, len(near), 0, None)]  # backward A* over the stretches: before the places passed, all can be the best
+        pushed = 0
+        while heap and len(out) < self.n:
+            loss, at, _, changes = heapq.heappop(heap)
+            if not at:
+                ids, done = [], 0
+                while changes is not None:
+                    (k, other), changes = changes
+                    ids += [best[done : ends[k] - len(choices[k][0][1])], other]
+                    done = ends[k]
+                out.append((total - loss, b"".join([*ids, best[done:]]) if ids else best))
+                continue
+            for x, other in choices[at - 1]:
+                heapq.heappush(heap, (loss + x, at - 1, pushed, ((at - 1, other), changes) if other is not choices[at - 1][0][1] else changes))
+                pushed += 1
+        return out
 
 
 def decode(vocabulary: Vocabulary, ids: bytes) -> str:
-    """The text that was encoded."""
-    return b"".join(map(vocabulary.spell.__getitem__, np.frombuffer(ids, np.int32).tolist()))[1:].decode(errors="replace")
+    """The text that was encoded, normalised if the vocabulary's file says so."""
+    return b"".join(vocabulary.spelling[np.frombuffer(ids, np.int32)].tolist())[vocabulary.prefix :].decode(errors="replace")
 
 
 def vocabulary(spark, model: str | None = None):
@@ -312,8 +363,8 @@ def vocabulary(spark, model: str | None = None):
 
 
 def encode(df: DataFrame, text_col: str = "text", n: int = 4, carry: list[str] | None = None, model: str | None = None) -> DataFrame:
-    """(row, ids, scores) for each row of df: row a struct of its columns in carry (all by default), the ids of
-    its best segmentation, and the scores of its n best."""
+    """(row, ids, scores, others) for each row of df: row a struct of its columns in carry (all by default), the ids of
+    its best segmentation, the scores of its n best, and the ids of the second to the n-th best."""
     held, source = vocabulary(df.sparkSession, model), _source(df, text_col, carry)
     return source.mapInArrow(_encoding(held, n), _schema(source, ENCODED))
 
@@ -326,18 +377,28 @@ def _schema(source: DataFrame, columns: tuple[tuple[str, T.DataType], ...]) -> T
     return T.StructType([source.schema["row"], *(T.StructField(c, t) for c, t in columns)])
 
 
+def _lists(sizes: list[int | None], values: pa.Array) -> pa.ListArray:
+    """Lists of these sizes, null where None, that share out the values in order."""
+    off = np.append(0, np.cumsum([size or 0 for size in sizes])).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(off, mask=np.array([size is None for size in sizes] + [False])), values)
+
+
+def _id_lists(found: list[bytes | None]) -> pa.ListArray:
+    return _lists([None if ids is None else len(ids) // 4 for ids in found], pa.array(np.frombuffer(b"".join(ids for ids in found if ids), np.int32)))
+
+
 def _encoding(held, n: int):
-    """Batches (row, text) -> (row, ids, scores)."""
+    """Batches (row, text) -> (row, ids, scores, others)."""
 
     @C.lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(held.value, n)
         for block in C.blocks(batches):
-            found = encoder.encode_all(block.column("text").to_pylist())
-            flat = np.frombuffer(b"".join(x[0] for x in found if x), np.int32)
-            off = np.append(0, np.cumsum([len(x[0]) // 4 if x else 0 for x in found])).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(off, mask=np.array([x is None for x in found] + [False])), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([block.column("row"), ids, pa.array([x and x[1] for x in found], pa.list_(pa.float64()))], names=["row", "ids", "scores"])
+            found = encoder.nbest_all(block.column("text").to_pylist())
+            ids = _id_lists([x and x[0][1] for x in found])
+            scores = pa.array([x and [score for score, _ in x] for x in found], pa.list_(pa.float64()))
+            others = _lists([x and len(x) - 1 for x in found], _id_lists([ids for x in found if x for _, ids in x[1:]]))
+            yield pa.RecordBatch.from_arrays([block.column("row"), ids, scores, others], names=["row", "ids", "scores", "others"])
 
     return work
 
@@ -345,25 +406,28 @@ def _encoding(held, n: int):
 def _digesting(held):
     """Batches of encode() -> those of digests()."""
 
+    def digest(ids: pa.ListScalar) -> tuple[int, str, int, str]:
+        raw = ids.values.to_numpy().astype(np.int32).tobytes()
+        text = decode(held.value, raw).encode()
+        return len(raw) // 4, hashlib.sha256(raw).hexdigest(), len(text), hashlib.sha256(text).hexdigest()
+
     @C.lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for ids in batch.column("ids"):
-                if not ids.is_valid:
-                    out.append((None, None, None, None))
-                    continue
-                raw = ids.values.to_numpy().astype(np.int32).tobytes()
-                text = decode(held.value, raw).encode()
-                out.append((len(raw) // 4, hashlib.sha256(raw).hexdigest(), len(text), hashlib.sha256(text).hexdigest()))
-            n, ids_sha, size, sha = zip(*out, strict=True) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), batch.column("scores"), pa.array(size, pa.int64()), pa.array(sha, pa.string())], names=["row", "n_pieces", "ids_sha256", "scores", "decoded_bytes", "decoded_sha256"])
+            best = [digest(ids) if ids.is_valid else (None,) * 4 for ids in batch.column("ids")]
+            n, ids_sha, size, sha = zip(*best, strict=True) if best else ((),) * 4
+            others = [[(k, a, b) for k, a, _, b in map(digest, found.values)] if found.is_valid else None for found in batch.column("others")]
+            parts = list(zip(*(x for found in others if found for x in found), strict=True)) or [()] * 3
+            struct = pa.StructArray.from_arrays([pa.array(parts[0], pa.int64()), pa.array(parts[1], pa.string()), pa.array(parts[2], pa.string())], names=[c for c, _ in OTHER])
+            columns = [batch.column("row"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), batch.column("scores"), pa.array(size, pa.int64()), pa.array(sha, pa.string())]
+            yield pa.RecordBatch.from_arrays([*columns, _lists([None if x is None else len(x) for x in others], struct)], names=["row", *(c for c, _ in DIGESTED)])
 
     return work
 
 
 def digests(encoded: DataFrame, model: str | None = None) -> DataFrame:
-    """(row, n_pieces, ids_sha256, scores, decoded_bytes, decoded_sha256): what encode() returned, decoded again."""
+    """(row, n_pieces, ids_sha256, scores, decoded_bytes, decoded_sha256, others): what encode() returned, decoded again;
+    others has (n_pieces, ids_sha256, decoded_sha256) of each further segmentation."""
     return encoded.mapInArrow(_digesting(vocabulary(encoded.sparkSession, model)), _schema(encoded, DIGESTED))
 
 
@@ -377,4 +441,5 @@ def encoded_digests(df: DataFrame, text_col: str = "text", n: int = 4, carry: li
 def op5_pieces(spark, sf_dir: str) -> DataFrame:
     out = encoded_digests(C.table(spark, sf_dir, "documents"), carry=["doc_id"])
     best = [F.get("scores", F.lit(k)).alias(f"score{k + 1}") for k in range(4)]
-    return out.select("row.doc_id", "n_pieces", "ids_sha256", *best, "decoded_bytes", "decoded_sha256")
+    others = [F.get("others", F.lit(k))[c].alias(c.replace("_", f"{k + 2}_", 1) if c != "n_pieces" else f"{c}{k + 2}") for k in range(3) for c, _ in OTHER]
+    return out.select("row.doc_id", "n_pieces", "ids_sha256", *best, "decoded_bytes", "decoded_sha256", *others)
