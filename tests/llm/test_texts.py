@@ -860,3 +860,21 @@ def test_nbest_are_the_library_s(unigram_models, k):
             n += 1
         assert {pieces.decode(v, x) for _, x in found} == {sp.decode(want[0])}
     assert n > 40
+
+
+def test_merges_are_the_library_s(spark):
+    """Ids by merges, many stretches at once and alone, are those of the library for a BPE file; without merges there are none."""
+    import sentencepiece
+
+    sp, v = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL), _vocabulary()
+    texts = ["", "  ", "é日 z", "x" * 300, "\x00 a", "日本語日本語 mixed1text 12,5%", "aaa bbb" * 30]
+    texts += [x[:2000] for x in pq.read_table("/root/testdata/sf0.001/documents.parquet").to_pydict()["text"][:100]]
+    got = [np.frombuffer(x, np.int32).tolist() for _, x in pieces.Encoder(v, 4).all(texts)]
+    assert got == sp.encode(texts, num_threads=1) and got != [np.frombuffer(x[0][1], np.int32).tolist() for x, _ in pieces.Encoder(v, 4).all(texts)]
+    assert [[i for s in v.stretches(x) for i in v.merged(s)] for x in texts] == got
+    assert pieces.Encoder(small_vocabulary(), 4).all(["ab"])[0][1] is None
+    rows = spark.createDataFrame([(1, "the bathing"), (2, None)], "doc_id long, text string")
+    encoded = pieces.encode(rows, carry=["doc_id"])
+    assert {r.row.doc_id: r.merged for r in encoded.collect()} == {1: sp.encode("the bathing"), 2: None}
+    out = {r.row.doc_id: r.merged for r in pieces.digests(encoded).collect()}
+    assert out[2] is None and tuple(out[1])[2] == hashlib.sha256(b"the bathing").hexdigest()

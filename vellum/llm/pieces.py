@@ -2,8 +2,8 @@
 
 A vocabulary file gives pieces and scores; a text's segmentations are the paths of its piece lattice, the better
 the greater their sum of scores. Of best paths with equal sums, as scores that are ranks often give, the one counts that has
-the longest last piece, then the longest piece before it, and so on. (The ids are those of the best sum; a library that merges
-pairs in order of rank can give others.) Characters that no piece covers are spelt in byte pieces, as one edge with a
+the longest last piece, then the longest piece before it, and so on. (The scores of a BPE file, as MODEL is, are the order of its merges; the
+ids that merging gives, as in the library, are returned beside.) Characters that no piece covers are spelt in byte pieces, as one edge with a
 score below all others. A forward Viterbi pass gives each place the best score of reaching it; a backward A*
 search from the end takes these scores as its heuristic, which is exact, so complete paths come out best first; of equal
 ranks the one nearest to the start is followed, so ties cost no more than a path each.
@@ -26,8 +26,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,21 +43,21 @@ OWN_MARK = "\0" + MARK
 PENALTY = 10.0
 #: Stretches that an encoder remembers: some 250 bytes each.
 CACHE = 800_000
-ENCODED = (("ids", T.ArrayType(T.IntegerType())), ("scores", T.ArrayType(T.DoubleType())), ("others", T.ArrayType(T.ArrayType(T.IntegerType()))))
+ENCODED = (("ids", T.ArrayType(T.IntegerType())), ("scores", T.ArrayType(T.DoubleType())), ("others", T.ArrayType(T.ArrayType(T.IntegerType()))), ("merged", T.ArrayType(T.IntegerType())))
 OTHER = (("n_pieces", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType()))
 DIGESTED = (
     ("n_pieces", T.LongType()), ("ids_sha256", T.StringType()), ("scores", T.ArrayType(T.DoubleType())), ("decoded_bytes", T.LongType()), ("decoded_sha256", T.StringType()),
-    ("others", T.ArrayType(T.StructType([T.StructField(*c) for c in OTHER]))),
+    ("others", T.ArrayType(T.StructType([T.StructField(*c) for c in OTHER]))), ("merged", T.StructType([T.StructField(*c) for c in OTHER])),
 )
 
 
 class Vocabulary:
     """pieces: (text, score) by id, text None for those that no text holds; bytes_: the id of each byte's piece;
     normalizer: the processor that normalises texts first, None if texts stay as they are but for the space in front;
-    prefix: whether there is that space."""
+    prefix: whether there is that space; merging: whether scores are the order in which neighbours merge (BPE)."""
 
-    def __init__(self, pieces: list[tuple[str | None, float]], bytes_: list[int], normalizer=None, prefix: bool = True) -> None:
-        self.normalizer, self.prefix = normalizer, prefix
+    def __init__(self, pieces: list[tuple[str | None, float]], bytes_: list[int], normalizer=None, prefix: bool = True, merging: bool = False) -> None:
+        self.normalizer, self.prefix, self.merging = normalizer, prefix, merging
         self.ids = {p: i for i, (p, _) in enumerate(pieces) if p}
         self.score = [float(s) for _, s in pieces]
         self.bytes = bytes_
@@ -80,11 +79,12 @@ class Vocabulary:
         from sentencepiece import sentencepiece_model_pb2
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        rules = sentencepiece_model_pb2.ModelProto.FromString(sp.serialized_model_proto()).normalizer_spec
+        model = sentencepiece_model_pb2.ModelProto.FromString(sp.serialized_model_proto())
+        rules, merging = model.normalizer_spec, model.trainer_spec.model_type == sentencepiece_model_pb2.TrainerSpec.BPE
         changes = bool(rules.precompiled_charsmap) or rules.remove_extra_whitespaces or not rules.add_dummy_prefix
         n = sp.get_piece_size()
         plain = [not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)) for i in range(n)]
-        return cls([(sp.id_to_piece(i) if plain[i] else None, sp.get_score(i)) for i in range(n)], [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)], sp if changes else None, rules.add_dummy_prefix)
+        return cls([(sp.id_to_piece(i) if plain[i] else None, sp.get_score(i)) for i in range(n)], [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)], sp if changes else None, rules.add_dummy_prefix, merging)
 
     def edges(self, s: str, end: int) -> list[tuple[int, float, tuple[int, ...]]]:
         """(start, score, ids) of the edges that end there."""
@@ -134,6 +134,34 @@ class Vocabulary:
                 heapq.heappush(heap, (-(best[start] + score + behind), start, pushed, behind + score, (ids_, path)))
         return out
 
+    def merged(self, s: str) -> tuple[int, ...]:
+        """The ids of a stretch by merges: of all neighbours that form a piece those of the best score merge first, the leftmost of equal ones."""
+        n, heap = len(s), []
+        end, start = [*range(1, n + 1), n], [0, *range(n)]  # of the symbol that starts, or ends, at a place
+
+        def offer(a: int, m: int, b: int) -> None:
+            i = self.ids.get(s[a:b]) if b - a <= self.longest else None
+            if i is not None:
+                heapq.heappush(heap, (-self.score[i], a, m, b))
+
+        for a in range(n - 1):
+            offer(a, a + 1, a + 2)
+        while heap:
+            _, a, m, b = heapq.heappop(heap)
+            if end[a] != m or end[m] != b:
+                continue
+            end[a], end[m], start[b] = b, -1, a
+            if a:
+                offer(start[a], a, b)
+            if b < n:
+                offer(a, b, end[b])
+        out, at = [], 0
+        while at < n:
+            i = self.ids.get(s[at : end[at]])
+            out += [i] if i is not None else [self.bytes[b] for b in s[at].encode()]
+            at = end[at]
+        return tuple(out)
+
     def stretches(self, text: str) -> list[str]:
         """The parts of a text, spaces as marks, between which no piece can lie. A mark of the text itself is a
         part alone, OWN_MARK."""
@@ -202,8 +230,39 @@ class Places(dict):
         return at
 
 
+def _more(x: np.ndarray, n: int) -> np.ndarray:
+    """x with room for n elements at least."""
+    if n <= len(x):
+        return x
+    out = np.zeros(max(n, len(x) * 3 // 2, 1 << 12), x.dtype)
+    out[: len(x)] = x
+    return out
+
+
+class Ids:
+    """Lists of ids by number, end to end in one array."""
+
+    def __init__(self) -> None:
+        self.data, self.used = np.zeros(0, np.int32), 0
+        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def put(self, at: np.ndarray, sizes: np.ndarray, data: np.ndarray) -> None:
+        self.data = _more(self.data, self.used + len(data))
+        self.data[self.used : self.used + len(data)] = data
+        most = int(at.max(initial=-1)) + 1
+        self.start, self.size = _more(self.start, most), _more(self.size, most)
+        self.start[at], self.size[at] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.used += len(data)
+
+    def take(self, at: np.ndarray) -> np.ndarray:
+        """The lists of these numbers, joined."""
+        sizes = self.size[at].astype(np.int64)
+        ends = np.cumsum(sizes)
+        return self.data[np.repeat(self.start[at] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class Encoder:
-    """Encodes texts, remembering stretches: the best segmentation of each and the loss of its second best.
+    """Encodes texts, remembering stretches: the best segmentation of each and the loss of its second best, and that by merges.
     The other segmentations are searched for only in stretches that a text's N best need."""
 
     def __init__(self, vocabulary: Vocabulary, n: int) -> None:
@@ -213,16 +272,14 @@ class Encoder:
 
     def clear(self) -> None:
         self.at = Places()
-        self.ids: list[bytes] = []
-        self.sizes, self.scores, self.least = array("q"), array("d"), array("d")
+        self.best, self.merges = Ids(), Ids()
+        self.scores, self.least = np.zeros(0), np.zeros(0)
         self.others: dict[str, list[tuple[float, bytes]]] = {}
 
     def learn(self) -> None:
         """Forward Viterbi over all new stretches of a length together, and backward for the second best."""
         stretches, self.at.new = self.at.new, []
-        self.ids += [b""] * len(stretches)
-        for x in (self.sizes, self.scores, self.least):
-            x.frombytes(bytes(8 * len(stretches)))
+        self.scores, self.least = _more(self.scores, len(self.at)), _more(self.least, len(self.at))
         by_length: dict[int, list[str]] = {}
         for s in stretches:
             by_length.setdefault(len(s) if len(s) <= 64 and "\0" not in s else 0, []).append(s)
@@ -234,11 +291,14 @@ class Encoder:
                     continue
                 for s in part:
                     found = self._search(s)
-                    self._add(s, np.array(found[0][1], np.int32).tobytes(), found[0][0], found[0][0] - found[1][0] if len(found) > 1 else float("inf"))
+                    at = self.at[s]
+                    self.scores[at], self.least[at] = found[0][0], found[0][0] - found[1][0] if len(found) > 1 else np.inf
+                    self._put(self.best, [at], [found[0][1]])
+                    if self.v.merging:
+                        self._put(self.merges, [at], [found[0][1] if s == OWN_MARK else self.v.merged(s)])
 
-    def _add(self, s: str, ids: bytes, score: float, least: float) -> None:
-        at = self.at[s]
-        self.ids[at], self.sizes[at], self.scores[at], self.least[at] = ids, len(ids), score, least
+    def _put(self, where: Ids, at: Iterable[int], lists: list[Iterable[int]]) -> None:
+        where.put(np.array(at, np.int64), np.array([len(x) for x in lists], np.int64), np.array([i for x in lists for i in x], np.int32))
 
     def _search(self, s: str) -> list[tuple[float, tuple[int, ...]]]:
         if s == OWN_MARK:
@@ -283,30 +343,78 @@ class Encoder:
             through[used] = none
             np.maximum(second, through.max(axis=1), out=second)
         total = ahead[:, length]
-        lengths = (path > -2).sum(axis=1)  # the paths' ends are aligned
-        path32 = path.astype(np.int32)
+        at = np.fromiter(map(self.at.__getitem__, group), np.int64, n)
+        self.scores[at], self.least[at] = total, total - second
+        here = path > -2  # the paths' ends are aligned
         odd = (path == -1).any(axis=1)
-        for r, (s, k, best, loss) in enumerate(zip(group, lengths.tolist(), total.tolist(), (total - second).tolist(), strict=True)):
-            if odd[r]:
-                out, steps, e = [], [], length
-                while e:
-                    steps.append((e - int(step[r, e]), e))
-                    e -= int(step[r, e])
-                for a, b in reversed(steps):
-                    i = int(ids[b - a - 1][r, a])
-                    out += [i] if i >= 0 else [self.v.bytes[x] for x in s[a:b].encode()]
-                self._add(s, np.array(out, np.int32).tobytes(), best, loss)
-            else:
-                self._add(s, path32[r, length - k :].tobytes(), best, loss)
+        self.best.put(at[~odd], here[~odd].sum(axis=1), path[here & ~odd[:, None]])
+        spelt = []
+        for r in np.flatnonzero(odd).tolist():
+            steps, e = [], length
+            while e:
+                steps.append((e - int(step[r, e]), e))
+                e -= int(step[r, e])
+            spelt.append(self._spelt(group[r], ids, r, reversed(steps)))
+        self._put(self.best, at[odd], spelt)
+        if self.v.merging:
+            self._merge(group, length, at, ids)
+
+    def _spelt(self, s: str, ids: list[np.ndarray], r: int, steps: Iterable[tuple[int, int]]) -> list[int]:
+        """The ids of a path, bytes where no piece is."""
+        out = []
+        for a, b in steps:
+            i = int(ids[b - a - 1][r, a])
+            out += [i] if i >= 0 else [self.v.bytes[x] for x in s[a:b].encode()]
+        return out
+
+    def _merge(self, group: list[str], length: int, at: np.ndarray, ids: list[np.ndarray]) -> None:
+        """Vocabulary.merged of many stretches of a length, a merge of each at a time."""
+        n, most, none = len(group), len(ids), -np.inf
+        piece = np.full((most + 1, n, length), -1, np.int32)  # by size, row and start
+        for k, x in enumerate(ids):
+            piece[k + 1, :, : length - k] = x
+        score = lambda size, r, a: np.where((i := piece[np.where(size <= most, size, 0), r, a]) >= 0, self.score[i], none)
+        rows, live = np.arange(n), np.ones((n, length), bool)
+        end, start = np.tile(np.arange(1, length + 2), (n, 1)), np.tile(np.arange(-1, length), (n, 1))
+        pair = np.full((n, length), none)  # score of the symbol at a place with the next one
+        for a in range(length - 1):
+            pair[:, a] = score(np.full(n, 2), rows, np.full(n, a))
+        while True:
+            a = pair.argmax(axis=1)  # of equal ones the leftmost
+            r = np.flatnonzero(pair[rows, a] > none)
+            if not len(r):
+                break
+            a = a[r]
+            m = end[r, a]
+            b = end[r, m]
+            end[r, a], start[r, b], live[r, m], pair[r, m] = b, a, False, none
+            last = b == length
+            pair[r, a] = np.where(last, none, score(end[r, b] - a, r, a))
+            left = np.flatnonzero(a > 0)
+            r, a, b = r[left], a[left], b[left]
+            before = start[r, a]
+            pair[r, before] = score(b - before, r, before)
+        r, a = np.nonzero(live)
+        found, sizes = piece[end[r, a] - a, r, a], live.sum(axis=1)
+        odd = np.zeros(n, bool)
+        odd[r[found < 0]] = True
+        self.merges.put(at[~odd], sizes[~odd], found[~odd[r]])
+        spelt = [self._spelt(group[k], ids, k, [(x, int(end[k, x])) for x in np.flatnonzero(live[k]).tolist()]) for k in np.flatnonzero(odd).tolist()]
+        self._put(self.merges, at[odd], spelt)
 
     def nbest_all(self, texts: list[str | None]) -> list[list[tuple[float, bytes]] | None]:
         """For each text its n best segmentations (all, if fewer), best first: score, and ids as little-endian int32."""
-        if len(self.ids) > CACHE:
+        return [found and found[0] for found in self.all(texts)]
+
+    def all(self, texts: list[str | None]) -> list[tuple[list[tuple[float, bytes]], bytes | None] | None]:
+        """nbest_all, each with the ids by merges, None if the vocabulary has no merges."""
+        if len(self.at) > CACHE:
             self.clear()
         split = [None if text is None else self.v.stretches(text) for text in texts]
         rows = [None if parts is None else np.fromiter(map(self.at.__getitem__, parts), np.int64, len(parts)) for parts in split]
         self.learn()
-        return [None if parts is None else self._nbest(parts, at) for parts, at in zip(split, rows, strict=True)]
+        merged = lambda at: self.merges.take(at).tobytes() if self.v.merging else None
+        return [None if parts is None else (self._nbest(parts, at), merged(at)) for parts, at in zip(split, rows, strict=True)]
 
     def encode_all(self, texts: list[str | None]) -> list[tuple[bytes, list[float]] | None]:
         """For each text, the ids of its best segmentation as little-endian int32 and the scores of its n best."""
@@ -323,15 +431,15 @@ class Encoder:
         return self.others[s]
 
     def _nbest(self, parts: list[str], rows: np.ndarray) -> list[tuple[float, bytes]]:
-        best = b"".join(map(self.ids.__getitem__, rows.tolist()))
-        total = float(np.frombuffer(self.scores)[rows].sum()) if len(rows) else 0.0
+        best = self.best.take(rows).tobytes()
+        total = float(self.scores[rows].sum()) if len(rows) else 0.0
         if self.n == 1 or not len(rows):
             return [(total, best)]
-        least = np.frombuffer(self.least)[rows]
+        least = self.least[rows]
         most = np.partition(least, min(self.n, len(rows)) - 1)[min(self.n, len(rows)) - 1]
         near = np.flatnonzero(least <= most)
         near = np.sort(near[np.argsort(least[near], kind="stable")][: self.n - 1])
-        ends = np.cumsum(np.frombuffer(self.sizes, np.int64)[rows])[near].tolist()
+        ends = (4 * np.cumsum(self.best.size[rows], dtype=np.int64))[near].tolist()
         choices = [self._losing(parts[i]) for i in near.tolist()]
         out: list[tuple[float, bytes]] = []
         heap = [(0.0, len(near), 0, None)]  # backward A* over the stretches: before the places passed, all can be the best
@@ -363,8 +471,9 @@ def vocabulary(spark, model: str | None = None):
 
 
 def encode(df: DataFrame, text_col: str = "text", n: int = 4, carry: list[str] | None = None, model: str | None = None) -> DataFrame:
-    """(row, ids, scores, others) for each row of df: row a struct of its columns in carry (all by default), the ids of
-    its best segmentation, the scores of its n best, and the ids of the second to the n-th best."""
+    """(row, ids, scores, others, merged) for each row of df: row a struct of its columns in carry (all by default), the ids of
+    its best segmentation, the scores of its n best, the ids of the second to the n-th best, and the ids by merges (null if the
+    vocabulary has none)."""
     held, source = vocabulary(df.sparkSession, model), _source(df, text_col, carry)
     return source.mapInArrow(_encoding(held, n), _schema(source, ENCODED))
 
@@ -387,18 +496,24 @@ def _id_lists(found: list[bytes | None]) -> pa.ListArray:
     return _lists([None if ids is None else len(ids) // 4 for ids in found], pa.array(np.frombuffer(b"".join(ids for ids in found if ids), np.int32)))
 
 
+def _structs(rows: list[tuple[int, str, str] | None]) -> pa.StructArray:
+    parts = [pa.array([x and x[k] for x in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string()))]
+    return pa.StructArray.from_arrays(parts, names=[c for c, _ in OTHER], mask=pa.array([x is None for x in rows], pa.bool_()))
+
+
 def _encoding(held, n: int):
-    """Batches (row, text) -> (row, ids, scores, others)."""
+    """Batches (row, text) -> (row, ids, scores, others, merged)."""
 
     @C.lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(held.value, n)
         for block in C.blocks(batches):
-            found = encoder.nbest_all(block.column("text").to_pylist())
+            both = encoder.all(block.column("text").to_pylist())
+            found, merged = [x and x[0] for x in both], _id_lists([x and x[1] for x in both])
             ids = _id_lists([x and x[0][1] for x in found])
             scores = pa.array([x and [score for score, _ in x] for x in found], pa.list_(pa.float64()))
             others = _lists([x and len(x) - 1 for x in found], _id_lists([ids for x in found if x for _, ids in x[1:]]))
-            yield pa.RecordBatch.from_arrays([block.column("row"), ids, scores, others], names=["row", "ids", "scores", "others"])
+            yield pa.RecordBatch.from_arrays([block.column("row"), ids, scores, others, merged], names=["row", *(c for c, _ in ENCODED)])
 
     return work
 
@@ -406,28 +521,35 @@ def _encoding(held, n: int):
 def _digesting(held):
     """Batches of encode() -> those of digests()."""
 
+    known: dict[str, tuple[int, str]] = {}  # of the last text decoded: a row's segmentations mostly decode to one text
+
     def digest(ids: pa.ListScalar) -> tuple[int, str, int, str]:
-        raw = ids.values.to_numpy().astype(np.int32).tobytes()
-        text = decode(held.value, raw).encode()
-        return len(raw) // 4, hashlib.sha256(raw).hexdigest(), len(text), hashlib.sha256(text).hexdigest()
+        raw = ids.values.to_numpy().astype(np.int32, copy=False).tobytes()
+        text = decode(held.value, raw)
+        if text not in known:
+            known.clear()
+            known[text] = len(data := text.encode()), hashlib.sha256(data).hexdigest()
+        return len(raw) // 4, hashlib.sha256(raw).hexdigest(), *known[text]
 
     @C.lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            best = [digest(ids) if ids.is_valid else (None,) * 4 for ids in batch.column("ids")]
+            best, others, merged = [], [], []
+            for ids, found, joined in zip(batch.column("ids"), batch.column("others"), batch.column("merged"), strict=True):
+                best.append(digest(ids) if ids.is_valid else (None,) * 4)
+                others.append([(k, a, b) for k, a, _, b in map(digest, found.values)] if found.is_valid else None)
+                merged += [(k, a, b) for k, a, _, b in [digest(joined)]] if joined.is_valid else [None]
             n, ids_sha, size, sha = zip(*best, strict=True) if best else ((),) * 4
-            others = [[(k, a, b) for k, a, _, b in map(digest, found.values)] if found.is_valid else None for found in batch.column("others")]
-            parts = list(zip(*(x for found in others if found for x in found), strict=True)) or [()] * 3
-            struct = pa.StructArray.from_arrays([pa.array(parts[0], pa.int64()), pa.array(parts[1], pa.string()), pa.array(parts[2], pa.string())], names=[c for c, _ in OTHER])
             columns = [batch.column("row"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), batch.column("scores"), pa.array(size, pa.int64()), pa.array(sha, pa.string())]
-            yield pa.RecordBatch.from_arrays([*columns, _lists([None if x is None else len(x) for x in others], struct)], names=["row", *(c for c, _ in DIGESTED)])
+            columns += [_lists([None if x is None else len(x) for x in others], _structs([x for found in others if found for x in found])), _structs(merged)]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", *(c for c, _ in DIGESTED)])
 
     return work
 
 
 def digests(encoded: DataFrame, model: str | None = None) -> DataFrame:
-    """(row, n_pieces, ids_sha256, scores, decoded_bytes, decoded_sha256, others): what encode() returned, decoded again;
-    others has (n_pieces, ids_sha256, decoded_sha256) of each further segmentation."""
+    """(row, n_pieces, ids_sha256, scores, decoded_bytes, decoded_sha256, others, merged): what encode() returned, decoded again;
+    others has (n_pieces, ids_sha256, decoded_sha256) of each further segmentation, merged of that by merges."""
     return encoded.mapInArrow(_digesting(vocabulary(encoded.sparkSession, model)), _schema(encoded, DIGESTED))
 
 
@@ -442,4 +564,4 @@ def op5_pieces(spark, sf_dir: str) -> DataFrame:
     out = encoded_digests(C.table(spark, sf_dir, "documents"), carry=["doc_id"])
     best = [F.get("scores", F.lit(k)).alias(f"score{k + 1}") for k in range(4)]
     others = [F.get("others", F.lit(k))[c].alias(c.replace("_", f"{k + 2}_", 1) if c != "n_pieces" else f"{c}{k + 2}") for k in range(3) for c, _ in OTHER]
-    return out.select("row.doc_id", "n_pieces", "ids_sha256", *best, "decoded_bytes", "decoded_sha256", *others)
+    return out.select("row.doc_id", "n_pieces", "ids_sha256", *best, "decoded_bytes", "decoded_sha256", *others, *[F.col(f"merged.{c}").alias(f"merged_{c}") for c, _ in OTHER])
