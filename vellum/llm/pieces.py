@@ -18,7 +18,7 @@ path with an edge off the best one). Stretches are kept in a bounded cache; its
 Decoding joins pieces, turns marks into spaces and drops the first. It gives every text back from each of its segmentations, the mark itself
 included, as that is spelt in bytes when it stands in a text (a text that rules change comes back as they leave it). Nulls: a null text is null in all results; an
 empty text has no pieces and score 0. Repeated rows get the same results; other columns are carried in a
-struct. Long texts are held whole with their ids, and a stretch of any length takes memory in proportion.
+struct. Long texts are held whole with the ids of all their segmentations, and a stretch of any length takes memory in proportion.
 """
 
 from __future__ import annotations
@@ -255,10 +255,13 @@ class Ids:
         self.used += len(data)
 
     def take(self, at: np.ndarray) -> np.ndarray:
-        """The lists of these numbers, joined."""
-        sizes = self.size[at].astype(np.int64)
-        ends = np.cumsum(sizes)
-        return self.data[np.repeat(self.start[at] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        """The lists of these numbers, joined; in parts, as an index takes more than the ids."""
+        out = [self.data[:0]]
+        for part in (at[lo : lo + (1 << 18)] for lo in range(0, len(at), 1 << 18)):
+            sizes = self.size[part].astype(np.int64)
+            ends = np.cumsum(sizes)
+            out.append(self.data[np.repeat(self.start[part] - ends + sizes, sizes) + np.arange(ends[-1])])
+        return np.concatenate(out)
 
 
 class Encoder:
